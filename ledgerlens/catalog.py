@@ -10,13 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import daily, oracle_daily as od
+from .plans import daily, merchant, oracle_daily as od, oracle_merchant as om
 from .sources.fixtures import oracle_ctes
 from .sources.tables import load_tables
 
 # Whole-data report window: the driver's orders run 1995-01-01 .. 2001-08-01
 # and derived activity trails them by at most ~45 days.
 D0, D1 = "1995-01-01", "2001-12-31"
+M0, M1 = "1995-01", "2001-12"
 
 _REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 
@@ -37,6 +38,11 @@ register("fee_merchant_daily", _ranged(daily.fee_merchant_daily), od.FEE_MERCHAN
 register("volume_daily", _ranged(daily.volume_daily), od.VOLUME_DAILY)
 register("volume_merchant_daily", _ranged(daily.volume_merchant_daily), od.VOLUME_MERCHANT_DAILY)
 register("platform_daily", _ranged(daily.platform_daily), od.PLATFORM_DAILY)
+register("merchant_volume_daily", _ranged(merchant.merchant_volume_daily), om.MERCHANT_VOLUME_DAILY)
+register("merchant_volume_daily_utc",
+         lambda t: merchant.merchant_volume_daily(t, D0, D1, tz=None, with_unlinked=False),
+         om.MERCHANT_VOLUME_DAILY_UTC)
+register("merchant_monthly", lambda t: merchant.merchant_monthly(t, M0, M1), om.MERCHANT_MONTHLY)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -50,5 +56,6 @@ def oracle_sql() -> dict[str, str]:
     for name, (_, sql) in _REGISTRY.items():
         if sql is None:
             continue
-        out[name] = oracle_ctes(sql.replace("{d0}", D0).replace("{d1}", D1))
+        sql = sql.replace("{d0}", D0).replace("{d1}", D1).replace("{m0}", M0).replace("{m1}", M1)
+        out[name] = oracle_ctes(sql)
     return out
