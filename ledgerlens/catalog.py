@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import daily, merchant, oracle_daily as od, oracle_merchant as om
+from .plans import daily, fees, merchant, tracing
+from .plans import oracle_daily as od, oracle_merchant as om, oracle_reports as orr
 from .sources.fixtures import oracle_ctes
 from .sources.tables import load_tables
 
@@ -18,6 +19,10 @@ from .sources.tables import load_tables
 # and derived activity trails them by at most ~45 days.
 D0, D1 = "1995-01-01", "2001-12-31"
 M0, M1 = "1995-01", "2001-12"
+# Lower bound for the `created > since` sheets: before the first driver day.
+SINCE = "1994-12-31"
+# `now()` of the six-month dispute dashboard.
+AS_OF, MONTHS = "2001-09-01", 6
 
 _REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 
@@ -43,6 +48,25 @@ register("merchant_volume_daily_utc",
          lambda t: merchant.merchant_volume_daily(t, D0, D1, tz=None, with_unlinked=False),
          om.MERCHANT_VOLUME_DAILY_UTC)
 register("merchant_monthly", lambda t: merchant.merchant_monthly(t, M0, M1), om.MERCHANT_MONTHLY)
+register("fee_report", _ranged(fees.fee_report), orr.FEE_REPORT)
+register("balance_report", _ranged(fees.balance_report), orr.BALANCE_REPORT)
+register("payout_breakdown", lambda t: fees.payout_breakdown(t), orr.PAYOUT_BREAKDOWN)
+register("payout_breakdown_accrual", lambda t: fees.payout_breakdown(t, with_accrual=True),
+         orr.PAYOUT_BREAKDOWN_ACCRUAL)
+register("payout_activity_timing", lambda t: fees.payout_activity_timing(t, SINCE),
+         orr.PAYOUT_ACTIVITY_TIMING)
+register("icplus_tagged", lambda t: fees.icplus_tagged(t, SINCE), orr.ICPLUS_TAGGED)
+register("invoice_fee_daily", fees.invoice_fee_daily, orr.INVOICE_FEE_DAILY)
+register("account_debit_unlinked", tracing.account_debit_unlinked, orr.ACCOUNT_DEBIT_UNLINKED)
+register("unlinked_refund_cards", lambda t: tracing.unlinked_refund_cards(t, SINCE),
+         orr.UNLINKED_REFUND_CARDS)
+register("interac_not_reversed", lambda t: tracing.interac_not_reversed(t, SINCE),
+         orr.INTERAC_NOT_REVERSED)
+register("sales_with_paydowns", lambda t: tracing.sales_with_paydowns(t, SINCE),
+         orr.SALES_WITH_PAYDOWNS)
+register("dispute_dashboard", lambda t: tracing.dispute_dashboard(t, AS_OF, MONTHS),
+         orr.DISPUTE_DASHBOARD)
+register("dispute_sheet", tracing.dispute_sheet, orr.DISPUTE_SHEET)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -56,6 +80,8 @@ def oracle_sql() -> dict[str, str]:
     for name, (_, sql) in _REGISTRY.items():
         if sql is None:
             continue
-        sql = sql.replace("{d0}", D0).replace("{d1}", D1).replace("{m0}", M0).replace("{m1}", M1)
+        for k, v in (("{d0}", D0), ("{d1}", D1), ("{m0}", M0), ("{m1}", M1), ("{since}", SINCE),
+                     ("{as_of}", AS_OF), ("{months}", str(MONTHS))):
+            sql = sql.replace(k, v)
         out[name] = oracle_ctes(sql)
     return out
