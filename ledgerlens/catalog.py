@@ -6,11 +6,12 @@ report range covers every day of the driver data.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import daily, fees, merchant, tracing
+from .plans import daily, fees, line_items, merchant, tracing
 from .plans import oracle_daily as od, oracle_merchant as om, oracle_reports as orr
 from .sources.fixtures import oracle_ctes
 from .sources.tables import load_tables
@@ -23,6 +24,8 @@ M0, M1 = "1995-01", "2001-12"
 SINCE = "1994-12-31"
 # `now()` of the six-month dispute dashboard.
 AS_OF, MONTHS = "2001-09-01", 6
+# Line-item window (half-open) and the first instant whose fee text is parsed.
+LO, HI, PERIOD_SINCE = "1995-01-01 00:00:00", "2002-01-01 00:00:00", "1995-01-01"
 
 _REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 
@@ -67,6 +70,11 @@ register("sales_with_paydowns", lambda t: tracing.sales_with_paydowns(t, SINCE),
 register("dispute_dashboard", lambda t: tracing.dispute_dashboard(t, AS_OF, MONTHS),
          orr.DISPUTE_DASHBOARD)
 register("dispute_sheet", tracing.dispute_sheet, orr.DISPUTE_SHEET)
+register("line_items",
+         lambda t: line_items.line_items(t, dt.datetime.fromisoformat(LO),
+                                         dt.datetime.fromisoformat(HI),
+                                         period_since=PERIOD_SINCE),
+         orr.LINE_ITEMS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -81,7 +89,8 @@ def oracle_sql() -> dict[str, str]:
         if sql is None:
             continue
         for k, v in (("{d0}", D0), ("{d1}", D1), ("{m0}", M0), ("{m1}", M1), ("{since}", SINCE),
-                     ("{as_of}", AS_OF), ("{months}", str(MONTHS))):
+                     ("{as_of}", AS_OF), ("{months}", str(MONTHS)), ("{lo}", LO),
+                     ("{hi}", HI), ("{period_since}", PERIOD_SINCE)):
             sql = sql.replace(k, v)
         out[name] = oracle_ctes(sql)
     return out

@@ -6,6 +6,8 @@ and aggregate partially on the map side before any shuffle.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,9 +46,14 @@ ZERO_DECIMAL_CURRENCIES = (
 
 
 def decimalize(currency: Column, amount: Column, digits: int | None = None) -> Column:
-    """X1 decimalize_amount: minor units / 10^exponent(currency), optionally rounded."""
+    """X1 decimalize_amount: minor units / 10^exponent(currency), optionally rounded.
+
+    Computed in exact decimals (x * 0.01, not a double division) so that the
+    rounding to `digits` is HALF_UP on the true value; returned as double.
+    """
     zero = F.lower(currency).isin(*ZERO_DECIMAL_CURRENCIES)
-    val = F.when(zero, amount.cast("double")).otherwise(amount.cast("double") / F.lit(100.0))
+    exact = amount.cast("decimal(24,12)")
+    val = F.when(zero, exact).otherwise(exact * F.lit(Decimal("0.01")))
     if digits is not None:
         val = F.round(val, digits)
-    return F.when(currency.isNotNull() & amount.isNotNull(), val)
+    return F.when(currency.isNotNull() & amount.isNotNull(), val.cast("double"))
