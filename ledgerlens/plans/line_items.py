@@ -11,9 +11,11 @@ Plan shape
   rows without a charge id - every fee row, a large and hot share of the
   ledger - bypass that join and are unioned back, so the null key never
   lands on one reducer.
-* Each activity row yields its gross and fee lines through one explode
-  (likewise fee and tax lines of each itemised fee), so no input is read
-  twice; the four line families are then unioned distinct as in the source.
+* Each activity row yields its gross and fee lines as two projections of
+  the same shuffled input (likewise fee and tax lines of each itemised fee);
+  Spark reuses the exchange, so the joins run once, and both projections
+  stay in whole-stage codegen. The four line families are then unioned
+  distinct as in the source.
 """
 
 from __future__ import annotations
@@ -159,7 +161,7 @@ def _ledger_lines(act: DataFrame) -> DataFrame:
                       amount=amount.cast("decimal(38,12)"),
                       customer_facing_currency=cf_currency,
                       customer_facing_amount=cf_amount.cast("bigint"))
-        return F.struct(*[fields[c].alias(c) for c in LINE_COLS])
+        return [fields[c].alias(c) for c in LINE_COLS]
 
     gross_component = F.when(rc.isin("fee", "network_cost"), F.lit("other_fee")) \
                        .otherwise(F.lit("gross"))
@@ -169,12 +171,15 @@ def _ledger_lines(act: DataFrame) -> DataFrame:
                      .when(rc == "other_adjustment", F.lit("other_fee"))
                      .otherwise(F.lit("payments_fee")))
     none_s = F.lit(None).cast("string")
-    gross = F.when(F.col("gross") != 0, line(gross_component, F.col("gross"),
-                                             F.col("customer_facing_currency"),
-                                             F.col("customer_facing_amount")))
-    fee = F.when(F.col("fee") != 0, line(fee_component, -F.col("fee"), none_s, F.lit(None)))
-    lines = F.filter(F.array(gross, fee), lambda x: x.isNotNull())
-    return act.select(F.explode(lines).alias("l")).select("l.*")
+    # Two projections of the same input: the shuffle below `act` is computed
+    # once and reused by both branches (ReuseExchange), and each branch stays
+    # in whole-stage codegen (a wide struct explode does not).
+    gross = act.where(F.col("gross") != 0).select(
+        *line(gross_component, F.col("gross"), F.col("customer_facing_currency"),
+              F.col("customer_facing_amount")))
+    fee = act.where(F.col("fee") != 0).select(
+        *line(fee_component, -F.col("fee"), none_s, F.lit(None)))
+    return gross.unionByName(fee)
 
 
 def _icplus_lines(t, lo, hi, currency) -> DataFrame:
@@ -225,13 +230,12 @@ def _icplus_lines(t, lo, hi, currency) -> DataFrame:
     def line(component, amount):
         fields = dict(common, balance_transaction_component=component,
                       amount=amount.cast("decimal(38,12)"))
-        return F.struct(*[fields[c].alias(c) for c in LINE_COLS])
+        return [fields[c].alias(c) for c in LINE_COLS]
 
-    fee = F.when(F.col("subtotal_amount") != 0,
-                 line(F.col("fee_name"), -F.col("subtotal_amount") * fx))
-    tax = F.when(F.col("tax_amount") != 0, line(F.lit("tax"), -F.col("tax_amount") * fx))
-    return j.select(F.explode(F.filter(F.array(fee, tax), lambda x: x.isNotNull())).alias("l")) \
-            .select("l.*")
+    fee = j.where(F.col("subtotal_amount") != 0).select(
+        *line(F.col("fee_name"), -F.col("subtotal_amount") * fx))
+    tax = j.where(F.col("tax_amount") != 0).select(*line(F.lit("tax"), -F.col("tax_amount") * fx))
+    return fee.unionByName(tax)
 
 
 def line_items(t, lo, hi, currency: str | None = None,
