@@ -77,6 +77,11 @@ register("line_items",
          orr.LINE_ITEMS)
 
 
+def plans() -> dict[str, Callable]:
+    """name -> plan(tables): the report over an already bound `Tables`."""
+    return {name: fn for name, (fn, _) in _REGISTRY.items()}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(load_tables(spark, sf_dir))

@@ -1,24 +1,32 @@
 """Period-fee attribution (J16 / R5f) without a cross join.
 
 The source spreads each fee over the calendar by crossing calendar x fees
-and testing `day between start and end`. Here each fee is exploded into
-its own days only: day d counts when start <= d 00:00 <= end, i.e. from
-the first midnight at or after `start` to date(end), clipped to the
-report range. Work is fees x their own days, not fees x calendar, and no
-pair of unrelated rows is ever formed. The share is the billing amount
-divided by whole 24-hour days between start and end (n+1 days share n
-parts when both ends sit at midnight, as in the source); a zero-day
-period divides to null instead of failing.
+and testing `day between start and end`. A fee counts on day d when
+start <= d 00:00 <= end, i.e. from the first midnight at or after `start`
+through date(end), clipped to the report range; its daily share is the
+billing amount divided by the whole 24-hour days between start and end
+(n+1 days share n parts when both ends sit at midnight, as in the source),
+and a zero-day period divides to null instead of failing.
+
+Plan: a difference array. Each fee emits +share on its first day and
+-share on the day after its last; events are summed per day (map-side
+partial aggregation, so any number of fees reduces to at most two rows per
+calendar day), and a running sum over the calendar gives each day's total.
+Work is 2 events per fee instead of fees x days (or fees x calendar), and
+the only single-partition step is the running sum over the calendar, whose
+size is the length of the requested range. Decimal addition is exact, so
+the totals equal the per-day sums of the source.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timebuckets import whole_days_between
+from .calendars import calendar_days
 
 
 def _d(x):
@@ -27,17 +35,21 @@ def _d(x):
 
 def attributed_daily(icplus: DataFrame, d0, d1, amount: str = "billing_amount",
                      out: str = "attr_interchange") -> DataFrame:
+    """Per calendar day d0..d1: sum of the shares of every period fee covering it."""
     d0, d1 = _d(d0), _d(d1)
     s, e = F.col("attribution_start_time"), F.col("attribution_end_time")
     fees = icplus.where(s.isNotNull() & e.isNotNull()
                         & (F.to_date(e) >= F.lit(d0)) & (F.to_date(s) <= F.lit(d1)))
     first = F.when(s == F.to_date(s).cast("timestamp_ntz"), F.to_date(s)) \
              .otherwise(F.date_add(F.to_date(s), 1))
-    lo = F.greatest(first, F.lit(d0))
-    hi = F.least(F.to_date(e), F.lit(d1))
-    share = F.try_divide(F.col(amount), whole_days_between(s, e))
-    days = (fees.select(lo.alias("_lo"), hi.alias("_hi"), share.alias("_share"))
-            .where(F.col("_lo") <= F.col("_hi"))
-            .select(F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias("day"),
-                    "_share"))
-    return days.groupBy("day").agg(F.sum("_share").alias(out))
+    spans = fees.select(F.greatest(first, F.lit(d0)).alias("_lo"),
+                        F.least(F.to_date(e), F.lit(d1)).alias("_hi"),
+                        F.try_divide(F.col(amount), whole_days_between(s, e)).alias("_share")) \
+                .where(F.col("_lo") <= F.col("_hi"))
+    events = spans.select(F.col("_lo").alias("day"), F.col("_share").alias("_delta")) \
+        .unionByName(spans.select(F.date_add("_hi", 1).alias("day"),
+                                  (-F.col("_share")).alias("_delta")))
+    deltas = events.groupBy("day").agg(F.sum("_delta").alias("_delta"))
+    cal = calendar_days(icplus.sparkSession, d0, d1)
+    running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return cal.join(deltas, "day", "left").select("day", F.sum("_delta").over(running).alias(out))

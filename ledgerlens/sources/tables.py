@@ -26,6 +26,22 @@ SORT_KEYS = {
 }
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A table stored as one file with one row group scans as a single task, so
+    everything up to the first shuffle (derivation, filters, map-side
+    aggregation) would run on one core. Only then is the scan spread
+    round-robin; a large table (many files / row groups) already has more
+    input partitions than cores and is left untouched. Column pruning and
+    filter pushdown still reach the scan below the repartition.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str, derived_dir: str | None = None):
         self.spark = spark
@@ -42,7 +58,7 @@ class Tables:
         df = self._dfs.get(name)
         if df is None:
             if name in DRIVER_TABLES:
-                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                df = _spread(self.spark, self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
             elif self.derived_dir and name in FIXTURES and not name.startswith("order_facts"):
                 df = self.spark.read.parquet(f"{self.derived_dir}/{name}")
             elif name in FIXTURES:
