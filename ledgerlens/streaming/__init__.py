@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference reports are batch SQL over warehouse tables: no streams,
+watermarks, event-time windows or state (SURVEY 2.10). Daily and monthly
+buckets are batch groupings (`functions.timebuckets`). Nothing is built here.
+"""
