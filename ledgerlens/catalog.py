@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import daily, fees, line_items, merchant, tracing
+from .plans import daily, fees, line_items, merchant, primitives as pr, tracing
+from .plans import oracle_primitives as op
 from .plans import oracle_daily as od, oracle_merchant as om, oracle_reports as orr
 from .sources.fixtures import oracle_ctes
 from .sources.tables import load_tables
@@ -76,6 +77,31 @@ register("line_items",
                                          period_since=PERIOD_SINCE),
          orr.LINE_ITEMS)
 
+# Operator-level queries on the driver tables.
+# Months for the semi-join check: one per year of the data.
+SEMI_MONTHS = ["1995-03", "1996-07", "1997-11", "1998-02", "1999-06", "2000-10", "2001-04"]
+register("prim_day_spine", _ranged(pr.day_spine_orders), op.DAY_SPINE_ORDERS)
+register("prim_month_spine", lambda t: pr.month_spine_orders(t, M0, M1), op.MONTH_SPINE_ORDERS)
+register("prim_local_day", pr.events_new_york_daily, op.EVENTS_NEW_YORK_DAILY)
+register("prim_attribution", _ranged(pr.attributed_order_value), op.ATTRIBUTED_ORDER_VALUE)
+register("prim_contains", pr.nation_key_mentions, op.NATION_KEY_MENTIONS)
+register("prim_text_parse", pr.page_url_parts, op.PAGE_URL_PARTS)
+register("prim_sum_pivot", pr.lineitem_pivot, op.LINEITEM_PIVOT)
+register("prim_distinct", pr.supplier_distinct_orders, op.SUPPLIER_DISTINCT_ORDERS)
+register("prim_two_level", pr.customer_two_level, op.CUSTOMER_TWO_LEVEL)
+register("prim_union_all", pr.order_ship_union, op.ORDER_SHIP_UNION)
+register("prim_union_distinct", pr.order_ship_labels, op.ORDER_SHIP_LABELS)
+register("prim_anti", lambda t: pr.customers_without_orders(t, "2000-01-01", "2000-12-31"),
+         op.CUSTOMERS_WITHOUT_ORDERS.replace("{d0}", "2000-01-01").replace("{d1}", "2000-12-31"))
+register("prim_semi_months", lambda t: pr.customers_in_months(t, SEMI_MONTHS),
+         op.CUSTOMERS_IN_MONTHS.replace("{months}", ", ".join(f"'{m}'" for m in SEMI_MONTHS)))
+register("prim_having", pr.mixed_status_customers, op.MIXED_STATUS_CUSTOMERS)
+register("prim_decimalize", pr.nation_order_value, op.NATION_ORDER_VALUE)
+register("prim_dates", pr.ship_lag_buckets, op.SHIP_LAG_BUCKETS)
+register("prim_full_chain", _ranged(pr.daily_chain), op.DAILY_CHAIN)
+register("prim_polymorphic", pr.polymorphic_refs, op.POLYMORPHIC_REFS)
+register("prim_metadata", pr.event_metadata, op.EVENT_METADATA)
+
 
 def plans() -> dict[str, Callable]:
     """name -> plan(tables): the report over an already bound `Tables`."""

@@ -7,19 +7,20 @@ Containment join
 is a theta join; planned as is it becomes a nested loop over every pair.
 Here it is made an equi join without losing any match:
 
-* In LIKE, `_` inside the id matches any single character, so split the id
-  on `_`; every fragment must occur literally in the text. The longest
-  fragment (the last one on ties) is the id's *anchor*.
-* An alphanumeric anchor can only sit inside a maximal alphanumeric run of
-  the text, so each text is exploded into every substring of its
-  alphanumeric runs (bounded by the squared run length, independent of the
-  number of ids).
+* In LIKE, `_` inside the key matches any single character (and `%` any
+  run), so only the key's literal characters must occur in the text. Any
+  maximal alphanumeric run of the key occurs contiguously in the text, hence
+  inside some maximal alphanumeric run of the text. The key's longest
+  alphanumeric run (the last one on ties) is its *anchor*.
+* Each text is exploded into every substring of its alphanumeric runs
+  (bounded by the squared run length, independent of the number of keys).
 * Equi-join (partition key, anchor) = (partition key, substring) yields the
   candidates; the original LIKE is re-checked on them and duplicates (an
   anchor occurring twice in one text) are removed.
-* Ids whose anchor is empty or not alphanumeric (never produced by the id
-  formats here) fall back to a join on the partition key alone plus LIKE,
-  so the operator stays exact for any input.
+* Keys without any letter or digit (never produced by the id formats here)
+  fall back to a join on the partition key alone plus LIKE, so the operator
+  stays exact for any input; without a partition key such a key makes the
+  query fail loudly instead of planning a cross join.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ def metadata_value(meta: DataFrame, key: str, id_col: str, out: str) -> DataFram
 
 
 def _anchor(id_col: str) -> F.Column:
-    frags = F.split(F.col(id_col), "_")
-    best = F.array_max(F.transform(frags, lambda x, i: F.struct(F.length(x).alias("n"),
-                                                                i.alias("i"), x.alias("s"))))
+    runs = F.split(F.col(id_col), "[^A-Za-z0-9]+")
+    best = F.array_max(F.transform(runs, lambda x, i: F.struct(F.length(x).alias("n"),
+                                                               i.alias("i"), x.alias("s"))))
     return best.getField("s")
 
 
@@ -63,7 +64,7 @@ def contains_join(left: DataFrame, right: DataFrame, left_id: str, left_key: str
     parts = list(partition_cols)
     lkeys = left.select(left_id, left_key, *parts).where(F.col(left_key).isNotNull())
     lkeys = lkeys.withColumn("_anchor", _anchor(left_key))
-    regular = F.col("_anchor").rlike("^[A-Za-z0-9]+$")
+    regular = F.length("_anchor") > 0
     texts = right.select(right_id, text_col, *parts).where(F.col(text_col).isNotNull())
     grams = texts.select(right_id, *parts, F.explode(_substrings(text_col)).alias("_anchor"))
     like = F.expr(f"`{text_col}` like concat('%', `{left_key}`, '%')")
@@ -72,7 +73,14 @@ def contains_join(left: DataFrame, right: DataFrame, left_id: str, left_key: str
             .join(texts, [right_id] + parts, "inner")
             .join(lkeys.drop("_anchor"), [left_id] + parts, "inner")
             .where(like).select(left_id, right_id))
-    slow = (lkeys.where(~regular).join(texts, parts, "inner").where(like)
-            .select(left_id, right_id))
+    if parts:
+        slow = (lkeys.where(~regular).join(texts, parts, "inner").where(like)
+                .select(left_id, right_id))
+    else:
+        rid_type = dict(right.dtypes)[right_id]
+        slow = lkeys.where(~regular).select(
+            F.col(left_id),
+            F.raise_error(F.concat(F.lit("containment key without letters or digits: "),
+                                   F.col(left_key))).cast(rid_type).alias(right_id))
     pairs = fast.unionByName(slow)
     return left.join(pairs, left_id, "left").join(right.drop(*parts), right_id, "left")
