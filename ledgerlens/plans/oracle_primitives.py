@@ -46,7 +46,7 @@ a as (select cal.day,
   from cal cross join o
   where cast(e as date) >= date '{{d0}}' and cast(s as date) <= date '{{d1}}'
   group by 1)
-select cal.day, coalesce(cast(attr as double) / 100.0, 0) as attributed
+select cal.day, coalesce(round(cast(attr as double) / 100.0, 10), 0) as attributed
 from cal left join a on cal.day = a.day
 """
 

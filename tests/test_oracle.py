@@ -44,7 +44,14 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
     idx = [ocols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=_key)
     assert len(got) == len(want)
-    assert got == want
+    if got != want:
+        # tolerate last-bit float noise (ties at the rounding digit), nothing more
+        for a, b in zip(got, want):
+            for x, y in zip(a, b):
+                if isinstance(x, float) and isinstance(y, float):
+                    assert abs(x - y) <= 2e-6 + 1e-9 * max(abs(x), abs(y)), (a, b)
+                else:
+                    assert x == y, (a, b)
 
 
 def test_entry_smoke(spark):
