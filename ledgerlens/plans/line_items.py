@@ -9,8 +9,8 @@ Plan shape
 * Fee rows parse their service period from the description text.
 * Charge context (charge, customer, invoice) is one pre-joined dimension;
   rows without a charge id - every fee row, a large and hot share of the
-  ledger - bypass that join and are unioned back, so the null key never
-  lands on one reducer.
+  ledger - join on a unique never-matching key instead of null, so they
+  spread over all reducers instead of landing on one.
 * Each activity row yields its gross and fee lines as two projections of
   the same shuffled input (likewise fee and tax lines of each itemised fee);
   Spark reuses the exchange, so the joins run once, and both projections
@@ -63,14 +63,17 @@ def _charge_context(t) -> DataFrame:
     return ch.join(cu, "_ch_customer", "left").join(inv, "invoice_id", "left")
 
 
-def _with_charge_context(df: DataFrame, ctx: DataFrame) -> DataFrame:
-    """Left join on charge_id, with null-key rows routed around the shuffle."""
-    nulls = df.where(F.col("charge_id").isNull())
-    for f in ctx.schema.fields:
-        if f.name != "charge_id":
-            nulls = nulls.withColumn(f.name, F.lit(None).cast(f.dataType))
-    matched = df.where(F.col("charge_id").isNotNull()).join(ctx, "charge_id", "left")
-    return matched.unionByName(nulls)
+def _with_charge_context(df: DataFrame, ctx: DataFrame, row_id: str) -> DataFrame:
+    """Left join on charge_id; rows without one get a unique, never-matching key.
+
+    A null key would send every charge-less row (all fee rows: a large, hot
+    share of the ledger) to one reducer. Replacing it by a per-row key that
+    no charge id can equal spreads them evenly and leaves their charge
+    columns null, in one pass over the input.
+    """
+    key = F.coalesce(F.col("charge_id"), F.concat(F.lit("\u0001"), F.col(row_id)))
+    ctx = ctx.withColumnRenamed("charge_id", "_ctx_charge")
+    return df.join(ctx, key == F.col("_ctx_charge"), "left").drop("_ctx_charge")
 
 
 def _activity(t, lo, hi, currency, period_since) -> DataFrame:
@@ -122,7 +125,7 @@ def _activity(t, lo, hi, currency, period_since) -> DataFrame:
     activity_at = F.coalesce(F.col("end_time") - F.expr("interval 1 second"), F.col("bt_created"))
     act = act.withColumn("activity_at", activity_at) \
              .where((F.col("activity_at") >= ts_lit(lo)) & (F.col("activity_at") < ts_lit(hi)))
-    act = _with_charge_context(act, _charge_context(t))
+    act = _with_charge_context(act, _charge_context(t), "balance_transaction_id")
     rcc = F.col("rc")
     return act.select(
         "*",
@@ -200,7 +203,7 @@ def _icplus_lines(t, lo, hi, currency) -> DataFrame:
                                     "customer_email", "customer_description", "card_brand",
                                     "card_funding", "card_country")
     ic = ic.drop("card_brand", "card_funding")
-    j = _with_charge_context(ic.join(bts, "balance_transaction_id", "left"), ctx)
+    j = _with_charge_context(ic.join(bts, "balance_transaction_id", "left"), ctx, "id")
     fx = F.coalesce(F.col("fx_rate"), F.lit(1).cast("decimal(18,8)"))
     none_s = F.lit(None).cast("string")
     common = {
