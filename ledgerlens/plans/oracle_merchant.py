@@ -135,14 +135,14 @@ lpm as (select ch.destination_id as account, strftime(ch.created, '%Y-%m') as mo
 fees as (select account, month, sum(network_costs) as network_costs,
     sum(stripe_fees) as stripe_fees, sum(stripe_radar_fees) as stripe_radar_fees
   from (select * from card union all select * from lpm) u group by 1, 2),
-lspd as (select c.account, strftime(c.created, '%Y-%m') as month, c.currency,
+platform_fees as (select c.account, strftime(c.created, '%Y-%m') as month, c.currency,
     sum(coalesce(f.amount, 0)) as sum_application_fees
   from connected_account_charges c
   left join connected_account_balance_transaction_fee_details f
     on c.balance_transaction_id = f.balance_transaction_id
   where cast(date_trunc('month', c.created) as date) in (select month from dr) and c.captured
   group by 1, 2, 3),
-gmv as (select destination_id as account, strftime(created, '%Y-%m') as month, currency,
+volume as (select destination_id as account, strftime(created, '%Y-%m') as month, currency,
     sum(amount) as total_sum_amount,
     sum(case when payment_method_type = 'card' then amount else 0 end) as card_amt,
     sum(case when payment_method_type = 'bancontact' then amount else 0 end) as bc_amt,
@@ -154,7 +154,7 @@ gmv as (select destination_id as account, strftime(created, '%Y-%m') as month, c
   from charges
   where cast(date_trunc('month', created) as date) in (select month from dr) and captured
   group by 1, 2, 3)
-select gmv.account, strftime(dr.month, '%Y-%m') as month, gmv.currency, ca.business_name,
+select volume.account, strftime(dr.month, '%Y-%m') as month, volume.currency, ca.business_name,
   total_sum_amount / 100.0 as total_volume, card_amt / 100.0 as card_volume,
   bc_amt / 100.0 as bancontact_volume, ideal_amt / 100.0 as ideal_volume,
   cast(total_count_charges as bigint) as total_num_txns, cast(card_n as bigint) as card_num_txns,
@@ -163,10 +163,10 @@ select gmv.account, strftime(dr.month, '%Y-%m') as month, gmv.currency, ca.busin
   cast(round(coalesce(fees.network_costs, 0) * 0.01, 3) as double) as icplus_fees,
   cast(round(coalesce(fees.stripe_fees, 0) * 0.01, 3) as double) as stripe_fees,
   cast(coalesce(fees.stripe_radar_fees, 0) * 0.01 as double) as radar_fees
-from gmv
-inner join dr on gmv.month = strftime(dr.month, '%Y-%m')
-join fees on gmv.account = fees.account and fees.month = gmv.month
-left join connected_accounts ca on gmv.account = ca.id
-left join lspd on gmv.account = lspd.account and gmv.month = lspd.month
-  and lspd.currency = gmv.currency
+from volume
+inner join dr on volume.month = strftime(dr.month, '%Y-%m')
+join fees on volume.account = fees.account and fees.month = volume.month
+left join connected_accounts ca on volume.account = ca.id
+left join platform_fees on volume.account = platform_fees.account and volume.month = platform_fees.month
+  and platform_fees.currency = volume.currency
 """
