@@ -54,6 +54,10 @@ def decimalize(currency: Column, amount: Column, digits: int | None = None) -> C
     zero = F.lower(currency).isin(*ZERO_DECIMAL_CURRENCIES)
     exact = amount.cast("decimal(24,12)")
     val = F.when(zero, exact).otherwise(exact * F.lit(Decimal("0.01")))
+    scale = 2 if digits is None else digits
     if digits is not None:
         val = F.round(val, digits)
-    return F.when(currency.isNotNull() & amount.isNotNull(), val.cast("double"))
+    # fix the scale before the double conversion so both engines convert the
+    # same small unscaled integer (exactly representable, one rounding)
+    return F.when(currency.isNotNull() & amount.isNotNull(),
+                  val.cast(f"decimal(38,{scale})").cast("double"))

@@ -207,7 +207,7 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
 
     def cents3(c):
         return F.round(F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,4)") / F.lit(100), 3) \
-            .cast("double")
+            .cast("decimal(38,3)").cast("double")
     return out.select(
         "account", "month", "currency", "business_name",
         maj("total_sum_amount").alias("total_volume"), maj("sum_amount_when_card").alias("card_volume"),

@@ -160,8 +160,8 @@ select volume.account, strftime(dr.month, '%Y-%m') as month, volume.currency, ca
   cast(total_count_charges as bigint) as total_num_txns, cast(card_n as bigint) as card_num_txns,
   cast(bc_n as bigint) as bancontact_num_txns, cast(ideal_n as bigint) as ideal_num_txns,
   sum_application_fees / 100.0 as lspd_fees,
-  cast(round(coalesce(fees.network_costs, 0) * 0.01, 3) as double) as icplus_fees,
-  cast(round(coalesce(fees.stripe_fees, 0) * 0.01, 3) as double) as stripe_fees,
+  cast(cast(round(coalesce(fees.network_costs, 0) * 0.01, 3) as decimal(38,3)) as double) as icplus_fees,
+  cast(cast(round(coalesce(fees.stripe_fees, 0) * 0.01, 3) as decimal(38,3)) as double) as stripe_fees,
   cast(coalesce(fees.stripe_radar_fees, 0) * 0.01 as double) as radar_fees
 from volume
 inner join dr on volume.month = strftime(dr.month, '%Y-%m')
