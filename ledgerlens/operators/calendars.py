@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,18 @@ def first_activity(measure: DataFrame, col: str = "day") -> Column:
 def gate(spine: DataFrame, measure: DataFrame, col: str = "day") -> DataFrame:
     """Keep spine days on or after the first day the measure has a row."""
     return spine.where(F.col(col) >= first_activity(measure, col))
+
+
+def gate_joined(joined: DataFrame, marker: str, col: str = "day") -> DataFrame:
+    """P18 for a calendar-grain result already joined to its measure.
+
+    `marker` is a measure column that is non-null exactly where the measure
+    had a row. The first such day comes from a window over the joined result
+    instead of a second evaluation of the measure. The window has a single
+    partition, so use it only where the result is bounded by the calendar
+    (one or a few rows per requested day), never per merchant.
+    """
+    first = F.min(F.when(F.col(marker).isNotNull(), F.col(col))).over(
+        Window.partitionBy(F.lit(0)))
+    return joined.withColumn("_first_day", first) \
+                 .where(F.col(col) >= F.col("_first_day")).drop("_first_day")

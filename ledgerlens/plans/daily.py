@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_distinct_if, count_if, in_days, local_day, sum_if, zero_major
-from ..operators.calendars import calendar_days, gate
+from ..operators.calendars import calendar_days, gate, gate_joined
 from ..operators.attribution import attributed_daily
 
 CHARGE_TYPES = ("payment", "charge")
@@ -58,15 +58,16 @@ _FAIL_CNT = ["transfer_credit_failure_count", "transfer_debit_failure_count",
 
 
 def failed_transfers_daily(t, d0, d1) -> DataFrame:
-    """Platform-wide transfer and payout failures per day, zero-filled."""
+    """Platform-wide transfer and payout failures per day, zero-filled.
+
+    The measure groups every ledger row of the range by day (zero sums on
+    days without failures), so its first day is the first-activity gate.
+    """
     bt = t.connected_account_balance_transactions.where(in_days("created", d0, d1))
-    # Gate on the first ledger day of any type; the sums only need failure rows.
-    first = bt.select(local_day("created").alias("day"))
-    fails = bt.where(F.col("type").isin("transfer_failure", "payout_failure"))
-    m = fails.groupBy(local_day("created").alias("day")).agg(*_failure_aggs())
-    cal = gate(calendar_days(t.spark, d0, d1), first)
-    return (cal.join(m, "day", "left")
-            .select("day", *_zero_fill(_FAIL_AMT, _FAIL_CNT))
+    m = bt.groupBy(local_day("created").alias("day")).agg(
+        *_failure_aggs(), F.lit(1).alias("_hit"))
+    out = gate_joined(calendar_days(t.spark, d0, d1).join(m, "day", "left"), "_hit")
+    return (out.select("day", *_zero_fill(_FAIL_AMT, _FAIL_CNT))
             .orderBy(F.col("day").desc()))
 
 
@@ -100,9 +101,10 @@ def fee_daily(t, d0, d1) -> DataFrame:
         count_if(typ.isin(*CHARGE_TYPES)).alias("captured_authorizations_count"),
         count_if(typ.isin(*REFUND_TYPES)).alias("refund_count"),
         count_if(typ == "application_fee").alias("application_fee_count"),
-        count_if(typ == "application_fee_refund").alias("application_fee_refund_count"))
-    cal = gate(calendar_days(t.spark, d0, d1), m)
-    return (cal.join(m, "day", "left")
+        count_if(typ == "application_fee_refund").alias("application_fee_refund_count"),
+        F.lit(1).alias("_hit"))
+    out = gate_joined(calendar_days(t.spark, d0, d1).join(m, "day", "left"), "_hit")
+    return (out
             .select("day", *_zero_fill(
                 ["captured_authorizations", "refunds", "application_fees",
                  "application_fee_refunds"],
@@ -192,15 +194,17 @@ def volume_daily(t, d0, d1) -> DataFrame:
         count_if(typ.isin(*CHARGE_TYPES)).alias("captured_authorizations_count"),
         count_if(typ.isin(*REFUND_TYPES)).alias("refund_count"),
         count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
-        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"))
+        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"),
+        F.lit(1).alias("_hit"))
     tr = t.transfers
     platform = (tr.where((F.col("status") == "paid") & (F.col("type") == "bank_account")
                          & in_days("created", d0, d1))
                 .groupBy(local_day("date").alias("day"))
                 .agg(F.sum("amount").alias("platform_payouts"),
                      F.count("id").alias("platform_payout_count")))
-    cal = gate(calendar_days(t.spark, d0, d1), dbt)
-    out = (cal.join(dbt, "day", "left").join(declines_daily(t, d0, d1), "day", "left")
+    cal = calendar_days(t.spark, d0, d1)
+    out = gate_joined(cal.join(dbt, "day", "left"), "_hit")
+    out = (out.join(declines_daily(t, d0, d1), "day", "left")
            .join(platform, "day", "left")
            .join(connect_payouts_daily(t, d0, d1, end_inclusive=False), "day", "left"))
     return (out.select("day", *_zero_fill(
@@ -277,7 +281,8 @@ def platform_daily(t, d0, d1) -> DataFrame:
         count_if(typ.isin(*CHARGE_TYPES)).alias("captured_authorizations_count"),
         count_if(typ.isin(*REFUND_TYPES)).alias("refund_count"),
         count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
-        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"))
+        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"),
+        F.lit(1).alias("_hit"))
     platform = (t.transfers.where(F.col("status").isin("paid", "in_transit", "pending")
                                   & (F.col("type") == "bank_account")
                                   & in_days("created", d0, d1))
@@ -294,8 +299,8 @@ def platform_daily(t, d0, d1) -> DataFrame:
                      sum_if(cat == "stripe_fee", F.col("billing_amount"))
                      .alias("daily_stripe_icplus_fees")))
     attributed = attributed_daily(ic, d0, d1)
-    cal = gate(calendar_days(spark, d0, d1), dbt)
-    out = (cal.join(accounts, "day", "left").join(dbt, "day", "left")
+    cal = gate_joined(calendar_days(spark, d0, d1).join(dbt, "day", "left"), "_hit")
+    out = (cal.join(accounts, "day", "left")
            .join(declines_daily(t, d0, d1), "day", "left").join(platform, "day", "left")
            .join(incurred, "day", "left").join(attributed, "day", "left")
            .join(connect_payouts_daily(t, d0, d1, end_inclusive=False), "day", "left"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import (count_distinct_if, count_if, decimalize, in_days, local_day, sum_if,
                          zero_major)
 from ..operators.attribution import attributed_daily
-from ..operators.calendars import calendar_days, gate, month_bounds, month_range
+from ..operators.calendars import calendar_days, gate_joined, month_bounds, month_range
 from ..operators.links import contains_join
 
 NEW_YORK = "America/New_York"
@@ -34,8 +34,8 @@ def day_spine_orders(t, d0, d1) -> DataFrame:
     o = t.orders.where(in_days("o_orderdate", d0, d1))
     m = o.groupBy(local_day("o_orderdate").alias("day")).agg(
         F.sum(_cents("o_totalprice")).alias("cents"), F.count("o_orderkey").alias("n"))
-    cal = gate(calendar_days(t.spark, d0, d1), m)
-    return cal.join(m, "day", "left").select(
+    joined = gate_joined(calendar_days(t.spark, d0, d1).join(m, "day", "left"), "n")
+    return joined.select(
         "day", zero_major("cents").alias("order_total"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("order_count"))
 
@@ -210,8 +210,8 @@ def daily_chain(t, d0, d1) -> DataFrame:
     shipped = li.groupBy(local_day("l_shipdate").alias("day")).agg(F.count("*").alias("shipped"))
     returned = li.where(F.col("l_returnflag") == "R") \
         .groupBy(local_day("l_shipdate").alias("day")).agg(F.count("*").alias("returned"))
-    cal = gate(calendar_days(t.spark, d0, d1), orders)
-    out = cal.join(orders, "day", "left").join(shipped, "day", "left").join(returned, "day", "left")
+    cal = gate_joined(calendar_days(t.spark, d0, d1).join(orders, "day", "left"), "orders")
+    out = cal.join(shipped, "day", "left").join(returned, "day", "left")
     return out.select("day", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
                                for c in ("orders", "shipped", "returned")])
 
