@@ -24,6 +24,6 @@ def test_day_range_reaches_parquet_scan(spark, sf_dir, tmp_path):
                     names=["connected_account_balance_transactions"])
     plan = daily.failed_transfers_daily(t, "1996-01-01", "1996-12-31") \
         ._jdf.queryExecution().executedPlan().toString()
-    pushed = " ".join(re.findall(r"PushedFilters: \[([^\]]*)\]", plan))
+    pushed = " ".join(re.findall(r"PushedFilters: \[([^\]]*)", plan))  # text may be truncated
     assert "GreaterThanOrEqual(created,1996-01-01T00:00)" in pushed
     assert "LessThan(created,1997-01-01" in pushed  # plan text truncates the rest
