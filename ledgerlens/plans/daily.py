@@ -82,7 +82,10 @@ def failed_transfers_merchant_daily(t, d0, d1) -> DataFrame:
               count_if(typ == "payout_failure").alias("_pf"))
          .where((F.col("_tf") > 0) | (F.col("_pf") > 0))
          .drop("_tf", "_pf"))
-    cal = gate(calendar_days(t.spark, d0, d1), m)
+    # first day of the measure = min day over its input rows: a global partial min
+    first = bt.where(typ.isin("transfer_failure", "payout_failure")) \
+              .select(local_day("created").alias("day"))
+    cal = gate(calendar_days(t.spark, d0, d1), first)
     return (cal.join(m, "day", "left")
             .select("day", "account", *_zero_fill(_FAIL_AMT, _FAIL_CNT))
             .orderBy(F.col("day").desc(), F.col("account").asc_nulls_last()))
@@ -113,9 +116,18 @@ def fee_daily(t, d0, d1) -> DataFrame:
             .orderBy(F.col("day").desc()))
 
 
-def _merchant_ledger_daily(t, d0, d1) -> DataFrame:
-    bt = _not_transfer_or_payout(
+def _merchant_ledger_rows(t, d0, d1) -> DataFrame:
+    return _not_transfer_or_payout(
         t.connected_account_balance_transactions.where(in_days("created", d0, d1)))
+
+
+def _first_ledger_day(t, d0, d1) -> DataFrame:
+    """Rows whose min day is the first day of `_merchant_ledger_daily` (no grouping)."""
+    return _merchant_ledger_rows(t, d0, d1).select(local_day("created").alias("day"))
+
+
+def _merchant_ledger_daily(t, d0, d1) -> DataFrame:
+    bt = _merchant_ledger_rows(t, d0, d1)
     typ, amt = F.col("type"), F.col("amount")
     return bt.groupBy(local_day("created").alias("day"), "account").agg(
         sum_if(typ.isin(*CHARGE_TYPES), amt).alias("captured_authorizations"),
@@ -139,7 +151,7 @@ def fee_merchant_daily(t, d0, d1) -> DataFrame:
                     F.count("id").alias("application_fee_refund_count")))
     keys = (dbt.select("account", "day").union(fees.select("account", "day"))
             .union(refunds.select("account", "day")).distinct())
-    cal = gate(calendar_days(t.spark, d0, d1), dbt)
+    cal = gate(calendar_days(t.spark, d0, d1), _first_ledger_day(t, d0, d1))
     out = (cal.join(keys, "day", "left")
            .join(dbt, ["day", "account"], "left")
            .join(fees, ["day", "account"], "left")
@@ -239,7 +251,7 @@ def volume_merchant_daily(t, d0, d1) -> DataFrame:
     payouts = connect_payouts_daily(t, d0, d1, by_account=True, end_inclusive=True, types=None)
     keys = dbt.select("account", "day").union(payouts.select("account", "day")).distinct()
     disputes = disputes_merchant_daily(t, d0, d1).drop("source_id", "charge_id")
-    cal = gate(calendar_days(t.spark, d0, d1), dbt)
+    cal = gate(calendar_days(t.spark, d0, d1), _first_ledger_day(t, d0, d1))
     out = (cal.join(keys, "day", "left")
            .join(dbt, ["day", "account"], "left")
            .join(disputes, ["day", "account"], "left")
