@@ -102,3 +102,14 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     if dupes:
         raise ValueError(f"duplicate output columns {sorted(dupes)}")
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once (a distributed check; empty when unique).
+
+    Used to back the plans that rely on key uniqueness, e.g. dropping left
+    joins whose right side is never selected (J9) or looking a payout up
+    after reducing the ledger to distinct payout ids.
+    """
+    from pyspark.sql import functions as F
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)

@@ -54,3 +54,14 @@ def test_single_dispute_sheet_is_a_subset(spark, sf_dir):
     one = full.first().case_id
     assert tracing.dispute_sheet(t, dispute_id=one).count() == \
         full.where(F.col("case_id") == one).count()
+
+
+def test_keys_the_plans_rely_on_are_unique(spark, sf_dir):
+    from ledgerlens.sources.tables import duplicate_keys
+    t = load_tables(spark, sf_dir)
+    for table, key in [("charges", "id"), ("disputes", "id"), ("refunds", "id"),
+                       ("transfers", "id"), ("connected_account_transfers", "id"),
+                       ("balance_transactions", "id"), ("icplus_fees", "id"),
+                       ("customers", "id"), ("invoices", "id"), ("connected_accounts", "id"),
+                       ("payment_method_details", "charge_id")]:
+        assert duplicate_keys(t[table], key).count() == 0, table
