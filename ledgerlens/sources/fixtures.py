@@ -213,7 +213,7 @@ select 'txn_sf_' || k, odate + interval '30' day + interval '1' hour,
 from {{order_facts}} where k % 3 = 2
 union all
 select 'txn_po_' || id, created, arrival, 'payout', 'payout', currency, -amount, 0, -amount,
-  'STRIPE PAYOUT', id, cast(null as varchar(64))
+  'PAYOUT', id, cast(null as varchar(64))
 from {{platform_payouts}}
 """
 
@@ -255,7 +255,7 @@ select 'txn_ad_' || k, merchant, created + interval '10' day, created + interval
 from {{order_facts}} where captured and k % 13 = 0
 union all
 select 'txn_' || id, account, created, arrival, currency, 'payout', 'payout', -amount, 0, -amount,
-  cast(null as varchar(64)), id, 'STRIPE PAYOUT'
+  cast(null as varchar(64)), id, 'PAYOUT'
 from {{merchant_payouts}}
 union all
 select 'txn_tf_' || k, merchant, created + interval '1' hour, created + interval '1' hour,
