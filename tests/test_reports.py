@@ -67,3 +67,17 @@ def test_keys_the_plans_rely_on_are_unique(spark, sf_dir):
                        ("customers", "id"), ("invoices", "id"), ("connected_accounts", "id"),
                        ("payment_method_details", "charge_id")]:
         assert duplicate_keys(t[table], key).count() == 0, table
+
+
+def test_line_items_month_window_and_currency_choice(spark, sf_dir):
+    assert line_items.month_window("2020-01-15 08:00:00") == \
+        (dt.datetime(2019, 12, 1), dt.datetime(2020, 1, 1))
+    assert line_items.month_window(dt.datetime(2020, 3, 1)) == \
+        (dt.datetime(2020, 2, 1), dt.datetime(2020, 3, 1))
+    t = load_tables(spark, sf_dir)
+    lo, hi = line_items.month_window("1998-07-03")
+    eur = line_items.line_items(t, lo, hi, currency="eur")
+    cur = {r.currency for r in eur.select("currency").distinct().collect()}
+    assert cur == {"eur"}
+    acts = eur.select(F.to_timestamp("activity_at").alias("a")).agg(F.min("a"), F.max("a")).first()
+    assert acts[0] >= lo and acts[1] < hi
