@@ -245,7 +245,15 @@ def line_items(t, lo, hi, currency: str | None = None,
                period_since=PERIOD_TEXT_SINCE) -> DataFrame:
     """R1 over the half-open window [lo, hi); currency=None means every currency."""
     act = _activity(t, lo, hi, currency, period_since)
-    lines = _ledger_lines(act).unionByName(_icplus_lines(t, lo, hi, currency)).distinct()
+    # Distinct as in the source (equal lines merge). Identical rows share
+    # (ledger id, fee id, component), so hash-partitioning on those three is
+    # enough for an exact distinct and skips the wide all-column map-side
+    # pass. It is skew-safe: ledger ids are unique per ledger row, and the
+    # millions of itemised lines behind one monthly fee row spread on their
+    # own fee ids.
+    lines = (_ledger_lines(act).unionByName(_icplus_lines(t, lo, hi, currency))
+             .repartition("balance_transaction_id", "fee_id", "balance_transaction_component")
+             .distinct())
     payouts = t.transfers.where(F.col("automatic")).select(F.col("id").alias("automatic_payout_id"))
     effective = t.balance_transactions.where(F.col("reporting_category") == "payout") \
         .select(F.col("source_id").alias("automatic_payout_id"),
