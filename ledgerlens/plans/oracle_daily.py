@@ -1,9 +1,12 @@
 """DuckDB oracle texts for the daily family.
 
 Written straight from the report definitions (calendar, right/full joins,
-scalar-subquery gates), not from the Spark plans, so they check the
-rewrites: literal pushdown bounds, prefiltered failure rows, explode-based
-attribution and (day, account) joins. `{d0}`/`{d1}` are ISO dates.
+scalar-subquery gates, calendar x fees attribution), not from the Spark
+plans, so they check the rewrites: literal pushdown bounds, the gates,
+difference-array attribution and (day, account) joins. Attribution sums the
+exact decimal amounts per (day, period length) before the one division per
+group, so DuckDB's double arithmetic does not drift at larger scales.
+`{d0}`/`{d1}` are ISO dates.
 """
 
 CAL = ("cal as (select cast(generate_series as date) as day from "
@@ -232,13 +235,14 @@ inc as (select cast(incurred_at as date) as day,
     sum(case when fee_category = 'stripe_fee' then billing_amount else 0 end) as dsi
   from icplus_fees where {rng('incurred_at')} and attribution_start_time is null
     and attribution_end_time is null group by 1),
-attr as (select cal.day,
-    sum(case when cast(cal.day as timestamp) between attribution_start_time and attribution_end_time
-        then billing_amount / date_sub('day', attribution_start_time, attribution_end_time)
-        else 0 end) as attr_interchange
-  from cal cross join icplus_fees
-  where cast(attribution_end_time as date) >= date '{{d0}}'
-    and cast(attribution_start_time as date) <= date '{{d1}}'
+attr as (select day, sum(total / n) as attr_interchange
+  from (select cal.day, date_sub('day', attribution_start_time, attribution_end_time) as n,
+          sum(billing_amount) as total
+        from cal cross join icplus_fees
+        where cast(attribution_end_time as date) >= date '{{d0}}'
+          and cast(attribution_start_time as date) <= date '{{d1}}'
+          and cast(cal.day as timestamp) between attribution_start_time and attribution_end_time
+        group by 1, 2) per_length
   group by 1),
 {_CONNECT_PAYOUTS}
 select cal.day, cast(coalesce(count_accounts, 0) as bigint) as connect_accounts,

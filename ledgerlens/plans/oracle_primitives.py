@@ -40,11 +40,12 @@ ATTRIBUTED_ORDER_VALUE = f"""
 with {CAL},
 o as (select date_trunc('month', o_orderdate) as s, date_trunc('month', o_orderdate) + interval 1 month as e,
     cast({c('o_totalprice')} as decimal(18,4)) as amount from orders),
-a as (select cal.day,
-    sum(case when cast(cal.day as timestamp) between s and e
-        then amount / date_sub('day', s, e) else 0 end) as attr
-  from cal cross join o
-  where cast(e as date) >= date '{{d0}}' and cast(s as date) <= date '{{d1}}'
+a as (select day, sum(total / n) as attr
+  from (select cal.day, date_sub('day', s, e) as n, sum(amount) as total
+        from cal cross join o
+        where cast(e as date) >= date '{{d0}}' and cast(s as date) <= date '{{d1}}'
+          and cast(cal.day as timestamp) between s and e
+        group by 1, 2) per_length
   group by 1)
 select cal.day, coalesce(round(cast(attr as double) / 100.0, 10), 0) as attributed
 from cal left join a on cal.day = a.day
