@@ -3,6 +3,8 @@
 A calendar is generated from its two literal bounds, so its size is the
 length of the requested range, never a function of the data; joins against
 it broadcast the calendar (or the per-day measure, both bounded by days).
+It is generated over several partitions, so the joins streamed over it run
+in parallel rather than in a single task.
 """
 
 from __future__ import annotations
@@ -17,19 +19,31 @@ def _date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
+def _parts(spark: SparkSession, n: int) -> int:
+    # The spine is the streamed side of the joins hung on it; give it one
+    # partition per core (never more than rows) so those joins run in parallel.
+    return max(1, min(n, spark.sparkContext.defaultParallelism))
+
+
 def calendar_days(spark: SparkSession, d0, d1, name: str = "day") -> DataFrame:
     """One row per day d0..d1, both ends included."""
     d0, d1 = _date(d0), _date(d1)
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(d0), F.lit(d1), F.expr("interval 1 day"))).alias(name))
+    n = (d1 - d0).days + 1
+    if n <= 0:
+        return spark.range(0).select(F.lit(d0).alias(name))
+    return spark.range(0, n, 1, _parts(spark, n)).select(
+        F.date_add(F.lit(d0), F.col("id").cast("int")).alias(name))
 
 
 def month_range(spark: SparkSession, m0: str, m1: str, name: str = "month") -> DataFrame:
     """Months m0..m1 ('YYYY-MM', inclusive) as first-of-month dates."""
     a = dt.date.fromisoformat(m0 + "-01")
     b = dt.date.fromisoformat(m1 + "-01")
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(a), F.lit(b), F.expr("interval 1 month"))).alias(name))
+    n = (b.year - a.year) * 12 + b.month - a.month + 1
+    if n <= 0:
+        return spark.range(0).select(F.lit(a).alias(name))
+    return spark.range(0, n, 1, _parts(spark, n)).select(
+        F.add_months(F.lit(a), F.col("id").cast("int")).alias(name))
 
 
 def month_bounds(m0: str, m1: str) -> tuple[dt.date, dt.date]:
