@@ -325,8 +325,8 @@ def platform_daily(t, d0, d1) -> DataFrame:
                      "stripe_dispute_fees", "ls_payfac_fees", "platform_payouts"]),
         F.col("status").alias("platform_payout_status"),
         dec("daily_interchange")("interchange_rec"),
-        # shares are non-terminating divisions: stated output precision 1e-10
-        F.coalesce(F.round(F.col("attr_interchange") / F.lit(100), 10).cast("double"),
+        # shares are non-terminating divisions: stated output precision 1e-6
+        F.coalesce(F.round(F.col("attr_interchange") / F.lit(100), 6).cast("double"),
                    F.lit(0.0)).alias("attr_interchange_rec"),
         dec("daily_stripe_icplus_fees")("stripe_icplus_fees_rec"),
         *_zero_fill(["interchange_cash", "stripe_icplus_fees_cash", "stripe_other_fees_daily_cash",

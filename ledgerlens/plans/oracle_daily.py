@@ -251,7 +251,7 @@ select cal.day, cast(coalesce(count_accounts, 0) as bigint) as connect_accounts,
   {z('sdf', 'stripe_dispute_fees')}, {z('lpf', 'ls_payfac_fees')},
   {z('platform_payouts', 'platform_payouts')}, ppo.status as platform_payout_status,
   coalesce(cast(di as double) / 100.0, 0) as interchange_rec,
-  coalesce(round(cast(attr_interchange as double) / 100.0, 10), 0) as attr_interchange_rec,
+  coalesce(round(cast(attr_interchange as double) / 100.0, 6), 0) as attr_interchange_rec,
   coalesce(cast(dsi as double) / 100.0, 0) as stripe_icplus_fees_rec,
   {z('icc', 'interchange_cash')}, {z('sicc', 'stripe_icplus_fees_cash')},
   {z('sodc', 'stripe_other_fees_daily_cash')}, {z('somc', 'stripe_other_fees_monthly_cash')},

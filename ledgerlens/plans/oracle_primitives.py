@@ -47,7 +47,7 @@ a as (select day, sum(total / n) as attr
           and cast(cal.day as timestamp) between s and e
         group by 1, 2) per_length
   group by 1)
-select cal.day, coalesce(round(cast(attr as double) / 100.0, 10), 0) as attributed
+select cal.day, coalesce(round(cast(attr as double) / 100.0, 6), 0) as attributed
 from cal left join a on cal.day = a.day
 """
 

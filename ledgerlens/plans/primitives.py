@@ -68,8 +68,8 @@ def attributed_order_value(t, d0, d1) -> DataFrame:
                         (start + F.expr("interval 1 month")).alias("attribution_end_time"),
                         _cents("o_totalprice").cast("decimal(18,4)").alias("billing_amount"))
     a = attributed_daily(o, d0, d1)
-    # shares are non-terminating divisions: stated output precision 1e-10
-    return a.select("day", F.coalesce(F.round(F.col("attr_interchange") / F.lit(100), 10)
+    # shares are non-terminating divisions: stated output precision 1e-6
+    return a.select("day", F.coalesce(F.round(F.col("attr_interchange") / F.lit(100), 6)
                                       .cast("double"), F.lit(0.0)).alias("attributed"))
 
 
