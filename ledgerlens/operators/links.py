@@ -68,10 +68,11 @@ def contains_join(left: DataFrame, right: DataFrame, left_id: str, left_key: str
     texts = right.select(right_id, text_col, *parts).where(F.col(text_col).isNotNull())
     grams = texts.select(right_id, *parts, F.explode(_substrings(text_col)).alias("_anchor"))
     like = F.expr(f"`{text_col}` like concat('%', `{left_key}`, '%')")
+    # candidates carry the key from the anchor join; only the (small) text
+    # side is looked up again for the final LIKE check
     fast = (lkeys.where(regular).join(grams, parts + ["_anchor"], "inner")
-            .select(left_id, right_id, *parts).distinct()
+            .select(left_id, left_key, right_id, *parts).distinct()
             .join(texts, [right_id] + parts, "inner")
-            .join(lkeys.drop("_anchor"), [left_id] + parts, "inner")
             .where(like).select(left_id, right_id))
     if parts:
         slow = (lkeys.where(~regular).join(texts, parts, "inner").where(like)
