@@ -11,11 +11,11 @@ Plan shape
   rows without a charge id - every fee row, a large and hot share of the
   ledger - join on a unique never-matching key instead of null, so they
   spread over all reducers instead of landing on one.
-* Each activity row yields its gross and fee lines as two projections of
-  the same shuffled input (likewise fee and tax lines of each itemised fee);
-  Spark reuses the exchange, so the joins run once, and both projections
-  stay in whole-stage codegen. The four line families are then unioned
-  distinct as in the source.
+* Each activity row yields its gross and fee lines in one pass (likewise
+  the fee and tax lines of each itemised fee): a two-element literal
+  explode tags the line kind and every column is picked per kind, so the
+  joins run once and the step stays in whole-stage codegen. The four line
+  families are then unioned distinct as in the source.
 """
 
 from __future__ import annotations
@@ -159,13 +159,6 @@ def _ledger_lines(act: DataFrame) -> DataFrame:
         "balance_transaction_description": F.col("bt_description"),
     }
 
-    def line(component, amount, cf_currency, cf_amount):
-        fields = dict(common, balance_transaction_component=component,
-                      amount=amount.cast("decimal(38,12)"),
-                      customer_facing_currency=cf_currency,
-                      customer_facing_amount=cf_amount.cast("bigint"))
-        return [fields[c].alias(c) for c in LINE_COLS]
-
     gross_component = F.when(rc.isin("fee", "network_cost"), F.lit("other_fee")) \
                        .otherwise(F.lit("gross"))
     fee_component = (F.when(rc.isin("fee", "network_cost"), F.lit("tax"))
@@ -173,16 +166,19 @@ def _ledger_lines(act: DataFrame) -> DataFrame:
                      .when(rc.isin("transfer", "transfer_reversal"), F.concat(rc, F.lit("_fee")))
                      .when(rc == "other_adjustment", F.lit("other_fee"))
                      .otherwise(F.lit("payments_fee")))
-    none_s = F.lit(None).cast("string")
-    # Two projections of the same input: the shuffle below `act` is computed
-    # once and reused by both branches (ReuseExchange), and each branch stays
-    # in whole-stage codegen (a wide struct explode does not).
-    gross = act.where(F.col("gross") != 0).select(
-        *line(gross_component, F.col("gross"), F.col("customer_facing_currency"),
-              F.col("customer_facing_amount")))
-    fee = act.where(F.col("fee") != 0).select(
-        *line(fee_component, -F.col("fee"), none_s, F.lit(None)))
-    return gross.unionByName(fee)
+    fields = dict(common)
+    kind = F.col("_line")  # 1 = gross line, 2 = fee line
+    fields.update(
+        balance_transaction_component=F.when(kind == 1, gross_component).otherwise(fee_component),
+        amount=F.when(kind == 1, F.col("gross")).otherwise(-F.col("fee")).cast("decimal(38,12)"),
+        customer_facing_currency=F.when(kind == 1, F.col("customer_facing_currency")),
+        customer_facing_amount=F.when(kind == 1, F.col("customer_facing_amount")).cast("bigint"))
+    # One pass: each activity row yields up to two lines through a two-element
+    # literal explode; the columns are picked per line kind afterwards (no
+    # wide structs, stays in whole-stage codegen).
+    lines = act.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_line")) \
+        .where(((kind == 1) & (F.col("gross") != 0)) | ((kind == 2) & (F.col("fee") != 0)))
+    return lines.select(*[fields[c].alias(c) for c in LINE_COLS])
 
 
 def _icplus_lines(t, lo, hi, currency) -> DataFrame:
@@ -230,15 +226,16 @@ def _icplus_lines(t, lo, hi, currency) -> DataFrame:
         "balance_transaction_description": F.col("_bt_desc"),
     }
 
-    def line(component, amount):
-        fields = dict(common, balance_transaction_component=component,
-                      amount=amount.cast("decimal(38,12)"))
-        return [fields[c].alias(c) for c in LINE_COLS]
-
-    fee = j.where(F.col("subtotal_amount") != 0).select(
-        *line(F.col("fee_name"), -F.col("subtotal_amount") * fx))
-    tax = j.where(F.col("tax_amount") != 0).select(*line(F.lit("tax"), -F.col("tax_amount") * fx))
-    return fee.unionByName(tax)
+    fields = dict(common)
+    kind = F.col("_line")  # 1 = fee line, 2 = tax line
+    fields.update(
+        balance_transaction_component=F.when(kind == 1, F.col("fee_name")).otherwise(F.lit("tax")),
+        amount=F.when(kind == 1, -F.col("subtotal_amount") * fx)
+        .otherwise(-F.col("tax_amount") * fx).cast("decimal(38,12)"))
+    lines = j.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_line")) \
+        .where(((kind == 1) & (F.col("subtotal_amount") != 0))
+               | ((kind == 2) & (F.col("tax_amount") != 0)))
+    return lines.select(*[fields[c].alias(c) for c in LINE_COLS])
 
 
 def line_items(t, lo, hi, currency: str | None = None,
