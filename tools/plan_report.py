@@ -44,7 +44,7 @@ def main():
                 continue
             table = m.group(1).rstrip("/").split("/")[-1].replace(".parquet", "")
             tables.add(table)
-            pushed = re.search(r"PushedFilters: \[([^\]]*)", line)
+            pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", line)
             if pushed and re.search(r"\((created|incurred_at|date|o_orderdate|l_shipdate|"
                                     r"available_on),", pushed.group(1)):
                 timed.add(table)
