@@ -125,3 +125,13 @@ def test_csv_sink_rejects_duplicate_names(spark, tmp_path):
     df = spark.createDataFrame([(1, 2)], "a int, b int").select("a", F.col("b").alias("a"))
     with pytest.raises(ValueError):
         write_report_csv(df, str(tmp_path / "out"))
+
+
+def test_spines_are_partitioned_and_reversed_ranges_are_empty(spark):
+    cal = calendar_days(spark, "2020-02-27", "2020-03-02")
+    assert [r.day for r in cal.orderBy("day").collect()] == \
+        [dt.date(2020, 2, 27), dt.date(2020, 2, 28), dt.date(2020, 2, 29), dt.date(2020, 3, 1),
+         dt.date(2020, 3, 2)]
+    assert cal.rdd.getNumPartitions() > 1
+    assert calendar_days(spark, "2020-03-02", "2020-03-01").count() == 0
+    assert month_range(spark, "2021-02", "2021-01").count() == 0
