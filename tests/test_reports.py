@@ -81,3 +81,18 @@ def test_line_items_month_window_and_currency_choice(spark, sf_dir):
     assert cur == {"eur"}
     acts = eur.select(F.to_timestamp("activity_at").alias("a")).agg(F.min("a"), F.max("a")).first()
     assert acts[0] >= lo and acts[1] < hi
+
+
+def test_payout_on_the_range_edge(spark, sf_dir):
+    # Platform reports stop the day before d1 (`<`), the per-merchant one includes d1 (`<=`)
+    t = load_tables(spark, sf_dir)
+    tr = t.connected_account_transfers.where(
+        (F.col("status") == "paid") & F.col("type").isin("bank_account", "card"))
+    d1 = tr.select(F.max(F.to_date("date")).alias("d")).first().d
+    d0 = d1 - dt.timedelta(days=30)
+    excl = daily.connect_payouts_daily(t, d0, d1, end_inclusive=False)
+    incl = daily.connect_payouts_daily(t, d0, d1, by_account=True, end_inclusive=True, types=None)
+    assert excl.where(F.col("day") == F.lit(d1)).count() == 0
+    assert incl.where(F.col("day") == F.lit(d1)).count() > 0
+    assert excl.where(F.col("day") == F.lit(d0)).count() == \
+        (1 if tr.where(F.to_date("date") == F.lit(d0)).count() else 0)
