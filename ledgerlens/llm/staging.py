@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,6 +24,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def with_columns(schema: T.StructType, **more: T.DataType) -> T.StructType:
+    """The schema and more columns after its own."""
+    return T.StructType([*schema.fields, *(T.StructField(k, v) for k, v in more.items())])
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back."""
     spark = df.sparkSession

@@ -54,9 +54,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 @dataclass
 class Words:
-    """`data`: lower-cased bytes; word i is data[start[i]:end[i]]; the words of
-    text d are first[d]:first[d + 1]; `doc[i]` is the text of word i."""
+    """`raw`: the texts' bytes, one space after each; `data`: the same in lower
+    case; word i is data[start[i]:end[i]]; the words of text d are
+    first[d]:first[d + 1]; `doc[i]` is the text of word i."""
 
+    raw: np.ndarray
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
@@ -71,7 +73,8 @@ class Words:
 
 def words(texts: list[bytes | None], kind: np.ndarray) -> Words:
     """All words of the texts; a null text has none."""
-    data = LOWER[np.frombuffer(b"\x20".join([t or b"" for t in texts]) + b"\x20", np.uint8)]
+    raw = np.frombuffer(b"\x20".join([t or b"" for t in texts]) + b"\x20", np.uint8)
+    data = LOWER[raw]
     at = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
     m = kind[data]
     edge = np.flatnonzero(m[1:] != m[:-1]) + 1
@@ -80,7 +83,7 @@ def words(texts: list[bytes | None], kind: np.ndarray) -> Words:
     start, end = edge[0::2], edge[1::2]
     first = np.searchsorted(start, at)
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    return Words(data, start, end, first, doc, _hashes(data, start, end))
+    return Words(raw, data, start, end, first, doc, _hashes(data, start, end))
 
 
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
