@@ -55,48 +55,45 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
             .mapInArrow(run, "size int, gram binary, item string").distinct())
 
 
-class _Block:
-    """A block of windows as the workers look them up."""
-
-    def __init__(self, rows):
-        by_gram: dict[bytes, set] = {}
-        for r in rows:
-            by_gram.setdefault(bytes(r.gram), set()).update(() if r.item is None else (r.item,))
-        self.sizes = sorted({r.size for r in rows})
-        self.items = by_gram
-        grams = list(by_gram)
-        self.hash = np.empty(len(grams), np.uint64)
-        w = W.words(grams, W.ALNUM)
-        for size in self.sizes:
-            h, place = W.grams(w, size)
-            whole = np.diff(w.first)[w.doc[place]] == size
-            self.hash[w.doc[place[whole]]] = h[whole]
-        self.hash = np.unique(self.hash)
-        self.lut = np.zeros(1 << _LUT_BITS, bool)
-        self.lut[self.hash >> np.uint64(64 - _LUT_BITS)] = True
-
-    def find(self, w: W.Words):
-        """(first word, size, items) of each occurrence."""
-        for size in self.sizes:
-            h, place = W.grams(w, size)
-            near = np.flatnonzero(self.lut[h >> np.uint64(64 - _LUT_BITS)])
-            at = np.minimum(np.searchsorted(self.hash, h[near]), len(self.hash) - 1)
-            for i in place[near[self.hash[at] == h[near]]].tolist():
-                items = self.items.get(w.bytes_of(i, i + size))
-                if items is not None:
-                    yield i, size, items
+def _block(rows):
+    """Sizes, sorted hashes and {words: item ids} of a block of windows, as it is broadcast."""
+    items: dict[bytes, set] = {}
+    for r in rows:
+        items.setdefault(bytes(r.gram), set()).update(() if r.item is None else (r.item,))
+    sizes, grams = sorted({r.size for r in rows}), list(items)
+    hashes = np.empty(len(grams), np.uint64)
+    w = W.words(grams, W.ALNUM)
+    for size in sizes:
+        h, place = W.grams(w, size)
+        whole = np.diff(w.first)[w.doc[place]] == size
+        hashes[w.doc[place[whole]]] = h[whole]
+    return sizes, np.unique(hashes), items
+
+
+def _find(w: W.Words, sizes, hashes, items, lut):
+    """(first word, size, items) of each occurrence of a window."""
+    for size in sizes:
+        h, place = W.grams(w, size)
+        near = np.flatnonzero(lut[h >> np.uint64(64 - _LUT_BITS)])
+        at = np.minimum(np.searchsorted(hashes, h[near]), len(hashes) - 1)
+        for i in place[near[hashes[at] == h[near]]].tolist():
+            found = items.get(w.bytes_of(i, i + size))
+            if found is not None:
+                yield i, size, found
 
 
 def _mark(docs: DataFrame, block, n_cols: int) -> DataFrame:
     """Add the block's hits to the columns _spans (first word, size, ...) and _items."""
     def run(batches):
-        find = block.value.find
+        sizes, hashes, by_words = block.value
+        lut = np.zeros(1 << _LUT_BITS, bool)  # most hashes are refused by their first bits
+        lut[hashes >> np.uint64(64 - _LUT_BITS)] = True
         for batch in batches:
             texts = W.texts_of(batch.column(n_cols))
             spans, items = batch.column(n_cols + 1).to_pylist(), batch.column(n_cols + 2).to_pylist()
             for lo, hi in W.pieces(texts):
                 w = W.words(texts[lo:hi], W.ALNUM)
-                for i, size, found in find(w):
+                for i, size, found in _find(w, sizes, hashes, by_words, lut):
                     d = int(w.doc[i])
                     spans[lo + d] += [i - int(w.first[d]), size]
                     items[lo + d] = [*{*items[lo + d], *found}]
@@ -118,7 +115,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, n: int = 10, block: int = BLOC
     for k in range(blocks):
         rows = windows.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == k).collect()
         if rows:
-            out = _mark(out, spark.sparkContext.broadcast(_Block(rows)), len(cols))
+            out = _mark(out, spark.sparkContext.broadcast(_block(rows)), len(cols))
     return out
 
 

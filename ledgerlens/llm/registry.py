@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam
+from . import bloomlm, decontam, langid, packing, quality, setsketch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +43,43 @@ select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint
 from d left join hw using (rid) left join it using (rid)
 """
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens, by best-fit decreasing."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets are similar by 0.75 or more."""
+    return setsketch.report(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document by votes of its nearest labelled documents."""
+    return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every whole document under unigrams and a Bloom-filter bigram model."""
+    return bloomlm.report(_table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document by naive Bayes over hashed character n-grams."""
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_decontamination": (op1_decontamination, ORACLE_OP1),
+    "op3_near_duplicates": (op3_near_duplicates, None),
+    "op5_quality": (op5_quality, None),
+    "op8_packing": (op8_packing, None),
+    "op9_language_model": (op9_language_model, None),
+    "op10_language": (op10_language, None),
 }
 
 
