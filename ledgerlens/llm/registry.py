@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, decontam, langid, packing, quality, setsketch
+from . import bloomlm, decontam, langid, packing, quality, secret_scan, setsketch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed secrets and random strings in every whole document."""
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets are similar by 0.75 or more."""
     return setsketch.report(_table(spark, sf_dir, "documents"))
@@ -75,6 +80,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_decontamination": (op1_decontamination, ORACLE_OP1),
+    "op2_secrets": (op2_secrets, None),
     "op3_near_duplicates": (op3_near_duplicates, None),
     "op5_quality": (op5_quality, None),
     "op8_packing": (op8_packing, None),
