@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, decontam, langid, packing, quality, secret_scan, setsketch
+from . import bloomlm, decontam, langid, lines, packing, quality, secret_scan, setsketch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,11 @@ select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint
 from d left join hw using (rid) left join it using (rid)
 """
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-equal lines of all documents, one occurrence of each group kept."""
+    return lines.report(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -83,6 +88,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op2_secrets": (op2_secrets, None),
     "op3_near_duplicates": (op3_near_duplicates, None),
     "op5_quality": (op5_quality, None),
+    "op7_lines": (op7_lines, None),
     "op8_packing": (op8_packing, None),
     "op9_language_model": (op9_language_model, None),
     "op10_language": (op10_language, None),
