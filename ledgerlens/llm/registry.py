@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bloomlm, decontam, langid, lines, packing, quality, secret_scan, setsketch
+from . import bloomlm, decontam, fixity, langid, lines, packing, quality, secret_scan, setsketch
+from .staging import keep
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +45,61 @@ select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint
 from d left join hw using (rid) left join it using (rid)
 """
 
+def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC archives, audited against a replica with known damage.
+
+    The replica is the archive as a faulty disk would return it, by a rule on
+    the record's hash: of 256 records one has its last byte changed, one is cut
+    in half and one is missing.
+    """
+    written = fixity.warc_records(_table(spark, sf_dir, "pages"))
+    hashed = written.withColumn("hash", F.sha2("record", 256)).withColumn("size", F.octet_length("record").cast("bigint"))
+    fault = F.substring("hash", 1, 2)
+    damaged = F.when(fault == "00", F.concat(F.expr("left(record, length(record) - 1)"), F.lit("#"))).when(fault == "01", F.expr("left(record, length(record) div 2)")).otherwise(F.col("record"))
+    hashed = hashed.withColumn("replica_hash", F.when(fault != "02", F.sha2(damaged, 256))).drop("record")
+    placed = keep(fixity.laid_out(hashed), "archives")
+    replica = placed.where("replica_hash is not null").select("archive", "offset", F.col("replica_hash").alias("hash"))
+    return fixity.report(placed, replica)
+
+
+ORACLE_OP6 = r"""
+with r as (
+  select page_id, url, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(cast(page_id as varchar), '')
+    || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+    || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) record
+  from pages),
+h as (select page_id, url, record, sha256(record) hash, strlen(record) size from r),
+p as (
+  select *, (row_number() over (order by page_id nulls first, url nulls first, hash) - 1) rk,
+    case left(hash, 2) when '00' then sha256(left(record, length(record) - 1) || '#') when '01' then sha256(left(record, length(record) // 2)) when '02' then null else hash end rhash
+  from h),
+o as (
+  select rk // 1024 archive, hash, rhash, size,
+    coalesce(sum(size) over (partition by rk // 1024 order by rk rows between unbounded preceding and 1 preceding), 0)::bigint "offset" from p),
+e as (select 1 side, archive, "offset", hash from o union all select 2, archive, "offset", rhash from o where rhash is not null),
+n0 as (select side, archive, "offset" >> 16 node, sha256(string_agg("offset" || ':' || hash, ',' order by "offset")) hash from e group by all),
+n1 as (select side, archive, node >> 4 up, sha256(string_agg(node || ':' || hash, ',' order by node)) hash from n0 group by all),
+n2 as (select side, archive, up >> 4 node, sha256(string_agg(up || ':' || hash, ',' order by up)) hash from n1 group by all),
+n3 as (select side, archive, node >> 4 up, sha256(string_agg(node || ':' || hash, ',' order by node)) hash from n2 group by all),
+n4 as (select side, archive, up >> 4 node, sha256(string_agg(up || ':' || hash, ',' order by up)) hash from n3 group by all),
+n as (select *, 0 level from n0 union all select *, 1 from n1 union all select *, 2 from n2 union all select *, 3 from n3 union all select *, 4 from n4),
+c as (
+  select archive, level, node, max(hash) filter (side = 1) ours, max(hash) filter (side = 2) theirs,
+    max(hash) filter (side = 1) is distinct from max(hash) filter (side = 2) bad
+  from n group by all),
+seen as (
+  -- a node is looked at if it is the root or its parent differs
+  select c.archive, count(*) n_compared from c left join c u on u.archive = c.archive and u.level = c.level + 1 and u.node = c.node >> 4
+  where c.level = 4 or u.bad group by all),
+b as (
+  select archive, count(*) n_bad, string_agg("offset" || ':' || case when rhash is null then 'missing' else 'changed' end, ',' order by "offset") bad
+  from o where rhash is distinct from hash group by all),
+s as (select archive, count(*) n_records, sum(size)::bigint n_bytes from o group by all)
+select s.archive::bigint archive, n_records, n_bytes, ours root, theirs replica_root, not c.bad intact, n_compared, coalesce(n_bad, 0)::bigint n_bad, coalesce(b.bad, '') bad
+from s join c on c.archive = s.archive and c.level = 4 join seen on seen.archive = s.archive left join b on b.archive = s.archive
+"""
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-equal lines of all documents, one occurrence of each group kept."""
     return lines.report(_table(spark, sf_dir, "documents"))
@@ -88,6 +145,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op2_secrets": (op2_secrets, None),
     "op3_near_duplicates": (op3_near_duplicates, None),
     "op5_quality": (op5_quality, None),
+    "op6_fixity": (op6_fixity, ORACLE_OP6),
     "op7_lines": (op7_lines, None),
     "op8_packing": (op8_packing, None),
     "op9_language_model": (op9_language_model, None),
