@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloomlm, decontam, fixity, langid, lines, packing, quality, secret_scan, setsketch
+from . import bloomlm, decontam, fixity, langid, lines, packing, quality, secret_scan, setsketch, vectors
 from .staging import keep
 
 
@@ -125,6 +125,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.report(_table(spark, sf_dir, "documents"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with a cosine of 0.95 or more."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole document by votes of its nearest labelled documents."""
     return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -144,6 +149,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_decontamination": (op1_decontamination, ORACLE_OP1),
     "op2_secrets": (op2_secrets, None),
     "op3_near_duplicates": (op3_near_duplicates, None),
+    "op4_embeddings": (op4_embeddings, None),
     "op5_quality": (op5_quality, None),
     "op6_fixity": (op6_fixity, ORACLE_OP6),
     "op7_lines": (op7_lines, None),
