@@ -96,9 +96,9 @@ def train(docs: DataFrame, sample: int = SAMPLE):
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
-    cells = chosen.select("lang", F.col("text").cast("string")).mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cells = chosen.select("lang", F.col("text").cast("string")).mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(langs) * ORDERS * BUCKETS)
-    counts[cells["cell"].to_numpy(np.int64)] = cells["n"]
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     counts = counts.reshape(len(langs), ORDERS, BUCKETS) + 0.5
     logp = np.log(counts / counts.sum(axis=2, keepdims=True)).reshape(len(langs), -1).T
     prior = np.log(np.array([n_of[k] for k in langs]) / sum(n_of.values()))
