@@ -92,7 +92,7 @@ def battery(runs: DataFrame) -> DataFrame:
           .withColumn("k", F.length("alphabet")).withColumn("n", F.length("body")).where("n > 2")
           .withColumn("symbols", F.expr("transform(split(body, '(?<=.)(?=.)'), c -> instr(alphabet, c) - 1)")))
     n, k, df_ = F.col("n").cast("double"), F.col("k"), F.col("k") - 1.0
-    squares = F.expr("aggregate(transform(array_distinct(symbols), s -> size(filter(symbols, x -> x = s))), 0D, (a, m) -> a + m * m)")
+    squares = F.expr("aggregate(transform(array_distinct(symbols), s -> size(filter(symbols, x -> x = s))), 0D, (a, m) -> a + m * 1D * m)")
     df = (df.withColumn("chi2", squares * k / n - n).withColumn("mean", F.expr("aggregate(symbols, 0D, (a, x) -> a + x) / n"))
           .withColumn("high", F.expr("size(filter(symbols, x -> 2 * x >= k))").cast("double"))
           .withColumn("turns", F.expr("aggregate(sequence(1, n - 1), 1D, (a, i) -> a + IF((2 * symbols[i] >= k) != (2 * symbols[i - 1] >= k), 1, 0))"))
