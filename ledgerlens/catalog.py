@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import daily, fees, line_items, merchant, primitives as pr, tracing
 from .plans import oracle_primitives as op
 from .plans import oracle_daily as od, oracle_merchant as om, oracle_reports as orr
-from .sources.fixtures import oracle_ctes
-from .sources.tables import load_tables
+from .sources.fixtures import PLATFORM_ACCOUNT, oracle_ctes
+from .sources.tables import csv_lines, load_tables
 
 # Whole-data report window: the driver's orders run 1995-01-01 .. 2001-08-01
 # and derived activity trails them by at most ~45 days.
@@ -47,7 +47,8 @@ register("fee_merchant_daily", _ranged(daily.fee_merchant_daily), od.FEE_MERCHAN
 register("volume_daily", _ranged(daily.volume_daily), od.VOLUME_DAILY)
 register("volume_merchant_daily", _ranged(daily.volume_merchant_daily), od.VOLUME_MERCHANT_DAILY)
 register("platform_daily", _ranged(daily.platform_daily), od.PLATFORM_DAILY)
-register("merchant_volume_daily", _ranged(merchant.merchant_volume_daily), om.MERCHANT_VOLUME_DAILY)
+register("merchant_volume_daily", lambda t: merchant.merchant_volume_daily(t, D0, D1, PLATFORM_ACCOUNT),
+         om.MERCHANT_VOLUME_DAILY)
 register("merchant_volume_daily_utc",
          lambda t: merchant.merchant_volume_daily(t, D0, D1, tz=None, with_unlinked=False),
          om.MERCHANT_VOLUME_DAILY_UTC)
@@ -61,8 +62,9 @@ register("payout_activity_timing", lambda t: fees.payout_activity_timing(t, SINC
          orr.PAYOUT_ACTIVITY_TIMING)
 register("icplus_tagged", lambda t: fees.icplus_tagged(t, SINCE), orr.ICPLUS_TAGGED)
 register("invoice_fee_daily", fees.invoice_fee_daily, orr.INVOICE_FEE_DAILY)
-register("account_debit_unlinked", tracing.account_debit_unlinked, orr.ACCOUNT_DEBIT_UNLINKED)
-register("unlinked_refund_cards", lambda t: tracing.unlinked_refund_cards(t, SINCE),
+register("account_debit_unlinked", lambda t: tracing.account_debit_unlinked(t, PLATFORM_ACCOUNT),
+         orr.ACCOUNT_DEBIT_UNLINKED)
+register("unlinked_refund_cards", lambda t: tracing.unlinked_refund_cards(t, SINCE, PLATFORM_ACCOUNT),
          orr.UNLINKED_REFUND_CARDS)
 register("interac_not_reversed", lambda t: tracing.interac_not_reversed(t, SINCE),
          orr.INTERAC_NOT_REVERSED)
@@ -77,6 +79,32 @@ register("line_items",
                                          period_since=PERIOD_SINCE),
          orr.LINE_ITEMS)
 
+# The forms that users run by hand: one month and currency, a list of payments, a
+# single payout, dispute or merchant (the first one), and rows for a CSV file.
+LOAD_TIME, CURRENCY = "2000-08-15", "usd"
+PAYMENT_IDS = [f"py_book_{k}" for k in range(15, 3000, 15)]
+
+
+def _first(df, col):
+    return df.agg({col: "min"}).first()[0]
+
+
+register("activity_report", lambda t: line_items.activity_report(t, LOAD_TIME, CURRENCY, PERIOD_SINCE),
+         orr.line_items_sql("2000-07-01", "2000-08-01", CURRENCY))
+register("account_debit_listed", lambda t: tracing.account_debit_unlinked(t, PLATFORM_ACCOUNT, PAYMENT_IDS),
+         orr.account_debit_sql(f"destination_payment_id in ({', '.join(map(repr, PAYMENT_IDS))})"))
+register("payout_breakdown_single",
+         lambda t: fees.payout_breakdown(t, _first(t.transfers.where("type = 'bank_account'"), "id")),
+         orr.PAYOUT_BREAKDOWN_SINGLE)
+register("dispute_sheet_single",
+         lambda t: tracing.dispute_sheet(t, _first(t.disputes.where("status in ('needs_response', 'warning_needs_response')"), "id")),
+         orr.DISPUTE_SHEET_SINGLE)
+register("sales_one_merchant",
+         lambda t: tracing.sales_with_paydowns(t, SINCE, _first(t.connected_account_balance_transactions, "account")),
+         orr.SALES_ONE_MERCHANT)
+register("dispute_dashboard_csv", lambda t: csv_lines(tracing.dispute_dashboard(t, AS_OF, MONTHS)),
+         orr.DISPUTE_DASHBOARD_CSV)
+
 # Operator-level queries on the driver tables.
 # Months for the semi-join check: one per year of the data.
 SEMI_MONTHS = ["1995-03", "1996-07", "1997-11", "1998-02", "1999-06", "2000-10", "2001-04"]

@@ -52,7 +52,8 @@ def decimalize(currency: Column, amount: Column, digits: int | None = None) -> C
     rounding to `digits` is HALF_UP on the true value; returned as double.
     """
     zero = F.lower(currency).isin(*ZERO_DECIMAL_CURRENCIES)
-    exact = amount.cast("decimal(24,12)")
+    # 22 digits before the point hold every bigint; 10 after it, every fee here
+    exact = amount.cast("decimal(32,10)")
     val = F.when(zero, exact).otherwise(exact * F.lit(Decimal("0.01")))
     scale = 2 if digits is None else digits
     if digits is not None:

@@ -49,17 +49,6 @@ def local_day(c, tz: str | None = None) -> Column:
     return F.to_date(local_ts(c, tz))
 
 
-def day_bounds(d0, d1, tz: str | None = None, end_inclusive: bool = True):
-    """UTC instants [lo, hi) covering local days d0..d1 (or d0..d1-1)."""
-    d0, d1 = _as_date(d0), _as_date(d1)
-    last = d1 if end_inclusive else d1 - dt.timedelta(days=1)
-    zone = ZoneInfo(tz) if tz else UTC
-    lo = dt.datetime.combine(d0, dt.time(), zone).astimezone(UTC).replace(tzinfo=None)
-    hi = dt.datetime.combine(last + dt.timedelta(days=1), dt.time(), zone)
-    hi = hi.astimezone(UTC).replace(tzinfo=None)
-    return lo, hi
-
-
 def in_days(c, d0=None, d1=None, tz: str | None = None, end_inclusive: bool = True) -> Column:
     """date(t [at time zone tz]) between d0 and d1 as a pushdown-friendly range.
 

@@ -25,7 +25,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timebuckets import whole_days_between
+from ..functions.timebuckets import ts_lit, whole_days_between
 from .calendars import calendar_days
 
 
@@ -38,17 +38,18 @@ def attributed_daily(icplus: DataFrame, d0, d1, amount: str = "billing_amount",
     """Per calendar day d0..d1: sum of the shares of every period fee covering it."""
     d0, d1 = _d(d0), _d(d1)
     s, e = F.col("attribution_start_time"), F.col("attribution_end_time")
-    fees = icplus.where(s.isNotNull() & e.isNotNull()
-                        & (F.to_date(e) >= F.lit(d0)) & (F.to_date(s) <= F.lit(d1)))
+    # the overlap test on the raw columns, so that it reaches the scan
+    fees = icplus.where((e >= ts_lit(d0)) & (s < ts_lit(d1 + dt.timedelta(days=1))))
     first = F.when(s == F.to_date(s).cast("timestamp_ntz"), F.to_date(s)) \
              .otherwise(F.date_add(F.to_date(s), 1))
     spans = fees.select(F.greatest(first, F.lit(d0)).alias("_lo"),
                         F.least(F.to_date(e), F.lit(d1)).alias("_hi"),
                         F.try_divide(F.col(amount), whole_days_between(s, e)).alias("_share")) \
                 .where(F.col("_lo") <= F.col("_hi"))
-    events = spans.select(F.col("_lo").alias("day"), F.col("_share").alias("_delta")) \
-        .unionByName(spans.select(F.date_add("_hi", 1).alias("day"),
-                                  (-F.col("_share")).alias("_delta")))
+    # both events of a fee in one pass
+    events = spans.select(F.explode(F.array(
+        F.struct(F.col("_lo").alias("day"), F.col("_share").alias("_delta")),
+        F.struct(F.date_add("_hi", 1).alias("day"), (-F.col("_share")).alias("_delta")))).alias("e")).select("e.*")
     deltas = events.groupBy("day").agg(F.sum("_delta").alias("_delta"))
     cal = calendar_days(icplus.sparkSession, d0, d1)
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)

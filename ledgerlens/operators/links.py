@@ -7,25 +7,19 @@ Containment join
 is a theta join; planned as is it becomes a nested loop over every pair.
 Here it is made an equi join without losing any match:
 
-* In LIKE, `_` inside the key matches any single character (and `%` any
-  run), so only the key's literal characters must occur in the text. Any
-  maximal alphanumeric run of the key occurs contiguously in the text, hence
-  inside some maximal alphanumeric run of the text. The key's longest
-  alphanumeric run (the last one on ties) is its *anchor*.
-* Each text is exploded into every substring of its alphanumeric runs
-  (bounded by the squared run length, independent of the number of keys).
-* Equi-join (partition key, anchor) = (partition key, substring) yields the
-  candidates; the original LIKE is re-checked on them and duplicates (an
-  anchor occurring twice in one text) are removed.
-* Keys without any letter or digit (never produced by the id formats here)
-  fall back to a join on the partition key alone plus LIKE, so the operator
-  stays exact for any input; without a partition key such a key makes the
-  query fail loudly instead of planning a cross join.
+* In LIKE, `_` inside the key matches any single character and `%` any run,
+  so every maximal run of other characters of the key must occur in the text.
+  The longest one (the last on ties) is the key's *anchor*.
+* The anchors have few lengths. Each text is cut into its distinct substrings
+  of those lengths only, a number linear in the text.
+* The equi-join on (partition key, anchor) yields the candidates; the original
+  LIKE decides. All keys take this way: a key of wildcards alone has the empty
+  anchor, which every text has too, as it matches every text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,21 +29,42 @@ def metadata_value(meta: DataFrame, key: str, id_col: str, out: str) -> DataFram
                                                   F.col("value").alias(out))
 
 
-def _anchor(id_col: str) -> F.Column:
-    runs = F.split(F.col(id_col), "[^A-Za-z0-9]+")
-    best = F.array_max(F.transform(runs, lambda x, i: F.struct(F.length(x).alias("n"),
-                                                               i.alias("i"), x.alias("s"))))
+def lookup(df: DataFrame, dim: DataFrame, key: str, row: list[str], salts: int = 1) -> DataFrame:
+    """`df` left join `dim` on the column `key` of both, safe for null and hot keys.
+
+    Rows without a key get one of their own that matches nothing (from the
+    columns `row`), so they spread over all reducers. With salts > 1, for a
+    small `dim` whose keys are hot in `df`, every key of `dim` is repeated that
+    often and the rows of `df` are dealt over the copies by a hash of `row`.
+    """
+    of_row = F.xxhash64(*row)
+    left = F.coalesce(F.col(key), F.concat(F.lit("\u0001"), of_row.cast("string")))
+    dim = dim.withColumnRenamed(key, "_dim_key")
+    if salts > 1:
+        dim = dim.withColumn("_dim_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+        on = (left == F.col("_dim_key")) & (F.pmod(of_row, F.lit(salts)).cast("int") == F.col("_dim_salt"))
+        return df.join(dim, on, "left").drop("_dim_key", "_dim_salt")
+    return df.join(dim, left == F.col("_dim_key"), "left").drop("_dim_key")
+
+
+def _anchor(key: str) -> F.Column:
+    """The longest run of literal characters of a LIKE key (the last one on ties), '' if it has none."""
+    runs = F.split(F.col(key), r"[%_\\\\]+")
+    best = F.array_max(F.transform(runs, lambda x, i: F.struct(F.length(x).alias("n"), i.alias("i"), x.alias("s"))))
     return best.getField("s")
 
 
-def _substrings(text_col: str) -> F.Column:
-    """All substrings of the maximal alphanumeric runs of a text."""
-    runs = F.filter(F.split(F.col(text_col), "[^A-Za-z0-9]+"), lambda r: F.length(r) > 0)
-    per_run = F.transform(runs, lambda r: F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length(r)),
-        lambda i: F.transform(F.sequence(F.lit(1), F.length(r) - i + F.lit(1)),
-                              lambda n: F.substring(r, i, n)))))
-    return F.array_distinct(F.flatten(per_run))
+def _cuts(text: str, n: int) -> F.Column:
+    """All substrings of n characters, in order."""
+    starts = F.sequence(F.lit(1), F.length(text) - F.lit(n - 1))
+    return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(F.col(text), i, n))) \
+            .otherwise(F.array().cast("array<string>"))
+
+
+def _substrings(text: str, lengths: list[int]) -> F.Column:
+    """The distinct substrings of the given lengths."""
+    cuts = [_cuts(text, n) if n else F.array(F.lit("")) for n in lengths]
+    return F.array_distinct(F.concat(*cuts)) if cuts else F.array().cast("array<string>")
 
 
 def contains_join(left: DataFrame, right: DataFrame, left_id: str, left_key: str,
@@ -62,26 +77,18 @@ def contains_join(left: DataFrame, right: DataFrame, left_id: str, left_key: str
     nothing matched).
     """
     parts = list(partition_cols)
-    lkeys = left.select(left_id, left_key, *parts).where(F.col(left_key).isNotNull())
-    lkeys = lkeys.withColumn("_anchor", _anchor(left_key))
-    regular = F.length("_anchor") > 0
-    texts = right.select(right_id, text_col, *parts).where(F.col(text_col).isNotNull())
-    grams = texts.select(right_id, *parts, F.explode(_substrings(text_col)).alias("_anchor"))
-    like = F.expr(f"`{text_col}` like concat('%', `{left_key}`, '%')")
-    # candidates carry the key from the anchor join; only the (small) text
-    # side is looked up again for the final LIKE check
-    fast = (lkeys.where(regular).join(grams, parts + ["_anchor"], "inner")
-            .select(left_id, left_key, right_id, *parts).distinct()
-            .join(texts, [right_id] + parts, "inner")
-            .where(like).select(left_id, right_id))
-    if parts:
-        slow = (lkeys.where(~regular).join(texts, parts, "inner").where(like)
-                .select(left_id, right_id))
-    else:
-        rid_type = dict(right.dtypes)[right_id]
-        slow = lkeys.where(~regular).select(
-            F.col(left_id),
-            F.raise_error(F.concat(F.lit("containment key without letters or digits: "),
-                                   F.col(left_key))).cast(rid_type).alias(right_id))
-    pairs = fast.unionByName(slow)
-    return left.join(pairs, left_id, "left").join(right.drop(*parts), right_id, "left")
+    keyed = left.withColumn("_anchor", _anchor(left_key))
+    # at most one row per key length that occurs
+    lengths = sorted(r[0] for r in keyed.select(F.length("_anchor")).where("_anchor is not null").distinct().collect())
+    grams = right.where(F.col(text_col).isNotNull()).select(
+        right_id, *parts, F.explode(_substrings(text_col, lengths)).alias("_anchor"))
+    # a text has each substring once, so a left row meets a text at most once
+    near = keyed.join(grams, parts + ["_anchor"], "left").drop("_anchor")
+    both = near.join(right.drop(*parts), right_id, "left")
+    both = both.withColumn("_hit", F.coalesce(F.expr(f"`{text_col}` like concat('%', `{left_key}`, '%')"), F.lit(False)))
+    # of a left row without a match one candidate stays, with empty right columns
+    mine = Window.partitionBy(left_id)
+    both = both.withColumn("_any", F.max("_hit").over(mine)).withColumn("_n", F.row_number().over(mine.orderBy(F.col("_hit").desc())))
+    kept = both.where(F.col("_hit") | (~F.col("_any") & (F.col("_n") == 1)))
+    mark = F.col("_hit")
+    return kept.select(*left.columns, *[F.when(mark, F.col(c)).alias(c) for c in right.columns if c not in parts])

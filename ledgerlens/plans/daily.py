@@ -14,11 +14,14 @@ a day); that fan-out is not reproduced (see README, D4).
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_distinct_if, count_if, in_days, local_day, sum_if, zero_major
-from ..operators.calendars import calendar_days, gate, gate_joined
+from ..operators.calendars import calendar_days, gate_joined
 from ..operators.attribution import attributed_daily
 
 CHARGE_TYPES = ("payment", "charge")
@@ -71,23 +74,49 @@ def failed_transfers_daily(t, d0, d1) -> DataFrame:
             .orderBy(F.col("day").desc()))
 
 
+def merchant_days(t, d0, d1, sources, measures, gate) -> DataFrame:
+    """Per-merchant report rows: day, account and the sums of `measures`.
+
+    `sources` is a list of (rows, keyed): rows with day, account and some of
+    the measures; keyed rows make their (day, account) a report row. All
+    sources go through one union and one aggregation, so no measure is joined
+    to another and none to the calendar. Days without a row appear once with a
+    null account. The days that have rows, and the first day of `gate` (P18),
+    come from a scan of the key columns alone; at most one value per day of the
+    range reaches the driver. A null account has no measures, as it equals no
+    other.
+    """
+    days = [rows.select("day", F.lit(rows is gate).alias("g")) for rows, keyed in sources if keyed]
+    seen = functools.reduce(DataFrame.unionByName, days).groupBy("day").agg(F.max("g").alias("g")).collect()
+    first = min((r["day"] for r in seen if r["g"]), default=None)
+    if first is None:
+        first, seen = dt.date.max, []
+    value = lambda rows, m: F.when(F.col("account").isNotNull(), F.col(m)) if m in rows.columns else F.lit(None)
+    rel = functools.reduce(DataFrame.unionByName, [
+        rows.select("day", "account", *[value(rows, m).cast("bigint").alias(m) for m in measures], F.lit(keyed).alias("_key"))
+        for rows, keyed in sources])
+    out = (rel.where(F.col("day") >= F.lit(first)).groupBy("day", "account")
+           .agg(*[F.sum(m).alias(m) for m in measures], F.max("_key").alias("_key")).where("_key").drop("_key"))
+    present = [F.lit(r["day"]) for r in seen]
+    bare = calendar_days(t.spark, d0, d1).where((F.col("day") >= F.lit(first)) & ~F.col("day").isin(*present))
+    return out.unionByName(bare.select("day", F.lit(None).cast("string").alias("account"),
+                                       *[F.lit(None).cast("bigint").alias(m) for m in measures]))
+
+
 def failed_transfers_merchant_daily(t, d0, d1) -> DataFrame:
     """The same per merchant, only merchant-days that had a failure."""
-    bt = t.connected_account_balance_transactions.where(in_days("created", d0, d1))
-    typ = F.col("type")
-    m = (bt.where(typ.isin("transfer_failure", "payout_failure"))
-         .groupBy(local_day("created").alias("day"), "account")
-         .agg(*_failure_aggs(),
-              count_if(typ == "transfer_failure").alias("_tf"),
-              count_if(typ == "payout_failure").alias("_pf"))
-         .where((F.col("_tf") > 0) | (F.col("_pf") > 0))
-         .drop("_tf", "_pf"))
-    # first day of the measure = min day over its input rows: a global partial min
-    first = bt.where(typ.isin("transfer_failure", "payout_failure")) \
-              .select(local_day("created").alias("day"))
-    cal = gate(calendar_days(t.spark, d0, d1), first)
-    return (cal.join(m, "day", "left")
-            .select("day", "account", *_zero_fill(_FAIL_AMT, _FAIL_CNT))
+    typ, amt = F.col("type"), F.col("amount")
+    rows = t.connected_account_balance_transactions.where(
+        in_days("created", d0, d1) & typ.isin("transfer_failure", "payout_failure"))
+    picks = []
+    for kind in ("transfer", "payout"):
+        for sign, cond in (("credit", amt > 0), ("debit", amt < 0)):
+            hit = (typ == f"{kind}_failure") & cond
+            picks += [F.when(hit, amt).alias(f"{kind}_{sign}_failures"),
+                      F.when(hit, 1).alias(f"{kind}_{sign}_failure_count")]
+    rows = rows.select(local_day("created").alias("day"), "account", *picks)
+    out = merchant_days(t, d0, d1, [(rows, True)], _FAIL_AMT + _FAIL_CNT, rows)
+    return (out.select("day", "account", *_zero_fill(_FAIL_AMT, _FAIL_CNT))
             .orderBy(F.col("day").desc(), F.col("account").asc_nulls_last()))
 
 
@@ -117,50 +146,33 @@ def fee_daily(t, d0, d1) -> DataFrame:
 
 
 def _merchant_ledger_rows(t, d0, d1) -> DataFrame:
-    return _not_transfer_or_payout(
-        t.connected_account_balance_transactions.where(in_days("created", d0, d1)))
-
-
-def _first_ledger_day(t, d0, d1) -> DataFrame:
-    """Rows whose min day is the first day of `_merchant_ledger_daily` (no grouping)."""
-    return _merchant_ledger_rows(t, d0, d1).select(local_day("created").alias("day"))
-
-
-def _merchant_ledger_daily(t, d0, d1) -> DataFrame:
-    bt = _merchant_ledger_rows(t, d0, d1)
+    """Merchant ledger rows with their volume and refund measures."""
     typ, amt = F.col("type"), F.col("amount")
-    return bt.groupBy(local_day("created").alias("day"), "account").agg(
-        sum_if(typ.isin(*CHARGE_TYPES), amt).alias("captured_authorizations"),
-        sum_if(typ.isin(*REFUND_TYPES), amt).alias("refunds"),
-        count_if(typ.isin(*CHARGE_TYPES)).alias("captured_authorizations_count"),
-        count_if(typ.isin(*REFUND_TYPES)).alias("refund_count"))
+    charge, refund = typ.isin(*CHARGE_TYPES), typ.isin(*REFUND_TYPES)
+    return _not_transfer_or_payout(
+        t.connected_account_balance_transactions.where(in_days("created", d0, d1))).select(
+        local_day("created").alias("day"), "account",
+        F.when(charge, amt).alias("captured_authorizations"), F.when(refund, amt).alias("refunds"),
+        F.when(charge, 1).alias("captured_authorizations_count"), F.when(refund, 1).alias("refund_count"))
 
 
 def fee_merchant_daily(t, d0, d1) -> DataFrame:
     """Per merchant-day volume, refunds, application fees and fee refunds."""
-    dbt = _merchant_ledger_daily(t, d0, d1)
+    ledger = _merchant_ledger_rows(t, d0, d1)
     af = t.application_fees
-    fees = (af.where(in_days("created", d0, d1))
-            .groupBy(local_day("created").alias("day"), F.col("account_id").alias("account"))
-            .agg(F.sum("amount").alias("application_fees"),
-                 F.count("id").alias("application_fee_count")))
-    r = t.application_fee_refunds.where(in_days("created", d0, d1))
-    refunds = (r.join(af.select(F.col("id").alias("fee_id"), "account_id"), "fee_id", "inner")
-               .groupBy(local_day("created").alias("day"), F.col("account_id").alias("account"))
-               .agg(F.sum("amount").alias("application_fee_refunds"),
-                    F.count("id").alias("application_fee_refund_count")))
-    keys = (dbt.select("account", "day").union(fees.select("account", "day"))
-            .union(refunds.select("account", "day")).distinct())
-    cal = gate(calendar_days(t.spark, d0, d1), _first_ledger_day(t, d0, d1))
-    out = (cal.join(keys, "day", "left")
-           .join(dbt, ["day", "account"], "left")
-           .join(fees, ["day", "account"], "left")
-           .join(refunds, ["day", "account"], "left"))
-    return (out.select("day", "account", *_zero_fill(
-        ["captured_authorizations", "refunds", "application_fees", "application_fee_refunds"],
-        ["captured_authorizations_count", "refund_count", "application_fee_count",
-         "application_fee_refund_count"]))
-        .orderBy(F.col("day").desc(), F.col("account").asc_nulls_last()))
+    fees = af.where(in_days("created", d0, d1)).select(
+        local_day("created").alias("day"), F.col("account_id").alias("account"),
+        F.col("amount").alias("application_fees"), F.lit(1).alias("application_fee_count"))
+    refunds = (t.application_fee_refunds.where(in_days("created", d0, d1))
+               .join(af.select(F.col("id").alias("fee_id"), "account_id"), "fee_id", "inner")
+               .select(local_day("created").alias("day"), F.col("account_id").alias("account"),
+                       F.col("amount").alias("application_fee_refunds"), F.lit(1).alias("application_fee_refund_count")))
+    amounts = ["captured_authorizations", "refunds", "application_fees", "application_fee_refunds"]
+    counts = ["captured_authorizations_count", "refund_count", "application_fee_count",
+              "application_fee_refund_count"]
+    out = merchant_days(t, d0, d1, [(ledger, True), (fees, True), (refunds, True)], amounts + counts, ledger)
+    return (out.select("day", "account", *_zero_fill(amounts, counts))
+            .orderBy(F.col("day").desc(), F.col("account").asc_nulls_last()))
 
 
 # --------------------------------------------------------------------------- R6 / R7
@@ -194,6 +206,14 @@ def connect_payouts_daily(t, d0, d1, by_account=False, end_inclusive=False,
                                              F.count("id").alias("connect_payout_count"))
 
 
+def _dispute_counts(t, d0, d1) -> DataFrame:
+    """Distinct disputes per day, from the adjustment rows alone."""
+    bt = t.balance_transactions.where(in_days("created", d0, d1) & (_withdrawal() | _reversal()))
+    return bt.groupBy(local_day("created").alias("day")).agg(
+        count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
+        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"))
+
+
 def volume_daily(t, d0, d1) -> DataFrame:
     """Platform volume, declines, disputes and payouts per day."""
     bt = _not_transfer_or_payout(t.balance_transactions.where(in_days("created", d0, d1)))
@@ -205,8 +225,6 @@ def volume_daily(t, d0, d1) -> DataFrame:
         sum_if(_reversal(), amt).alias("disputes_won"),
         count_if(typ.isin(*CHARGE_TYPES)).alias("captured_authorizations_count"),
         count_if(typ.isin(*REFUND_TYPES)).alias("refund_count"),
-        count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
-        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"),
         F.lit(1).alias("_hit"))
     tr = t.transfers
     platform = (tr.where((F.col("status") == "paid") & (F.col("type") == "bank_account")
@@ -216,7 +234,7 @@ def volume_daily(t, d0, d1) -> DataFrame:
                      F.count("id").alias("platform_payout_count")))
     cal = calendar_days(t.spark, d0, d1)
     out = gate_joined(cal.join(dbt, "day", "left"), "_hit")
-    out = (out.join(declines_daily(t, d0, d1), "day", "left")
+    out = (out.join(_dispute_counts(t, d0, d1), "day", "left").join(declines_daily(t, d0, d1), "day", "left")
            .join(platform, "day", "left")
            .join(connect_payouts_daily(t, d0, d1, end_inclusive=False), "day", "left"))
     return (out.select("day", *_zero_fill(
@@ -247,16 +265,18 @@ def disputes_merchant_daily(t, d0, d1) -> DataFrame:
 
 def volume_merchant_daily(t, d0, d1) -> DataFrame:
     """Per merchant-day volume, declines, disputes and paid payouts."""
-    dbt = _merchant_ledger_daily(t, d0, d1)
-    payouts = connect_payouts_daily(t, d0, d1, by_account=True, end_inclusive=True, types=None)
-    keys = dbt.select("account", "day").union(payouts.select("account", "day")).distinct()
-    disputes = disputes_merchant_daily(t, d0, d1).drop("source_id", "charge_id")
-    cal = gate(calendar_days(t.spark, d0, d1), _first_ledger_day(t, d0, d1))
-    out = (cal.join(keys, "day", "left")
-           .join(dbt, ["day", "account"], "left")
-           .join(disputes, ["day", "account"], "left")
-           .join(declines_daily(t, d0, d1, by_account=True), ["day", "account"], "left")
-           .join(payouts, ["day", "account"], "left"))
+    ledger = _merchant_ledger_rows(t, d0, d1)
+    payouts = t.connected_account_transfers.where((F.col("status") == "paid") & in_days("date", d0, d1)).select(
+        local_day("date").alias("day"), "account", F.col("amount").alias("connect_payouts"),
+        F.lit(1).alias("connect_payout_count"))
+    declines = t.charges.where((F.col("outcome_type") == "issuer_declined") & in_days("created", d0, d1)).select(
+        local_day("created").alias("day"), F.col("destination_id").alias("account"),
+        F.col("amount").alias("declines"), F.lit(1).alias("decline_count"))
+    measures = ["captured_authorizations", "refunds", "declines", "connect_payouts",
+                "captured_authorizations_count", "refund_count", "decline_count", "connect_payout_count"]
+    out = merchant_days(t, d0, d1, [(ledger, True), (payouts, True), (declines, False)], measures, ledger)
+    # disputes have a finer grain and repeat the row
+    out = out.join(disputes_merchant_daily(t, d0, d1).drop("source_id", "charge_id"), ["day", "account"], "left")
     return (out.select("day", "account", *_zero_fill(
         ["captured_authorizations", "refunds", "declines", "disputes", "disputes_won",
          "connect_payouts"],
@@ -282,7 +302,7 @@ def platform_daily(t, d0, d1) -> DataFrame:
         sum_if(_withdrawal(), amt).alias("disputes"),
         sum_if(_reversal(), amt).alias("disputes_won"),
         sum_if((typ == "adjustment") & desc.like("chargeback%"), fee).alias("stripe_dispute_fees"),
-        sum_if(typ.isin("application_fee", "application_fee_refund"), amt).alias("ls_payfac_fees"),
+        sum_if(typ.isin("application_fee", "application_fee_refund"), amt).alias("platform_fees"),
         sum_if(typ == "network_cost", -amt).alias("interchange_cash"),
         sum_if((typ == "stripe_fee") & desc.like("card payments%"), -amt)
         .alias("stripe_icplus_fees_cash"),
@@ -292,8 +312,6 @@ def platform_daily(t, d0, d1) -> DataFrame:
         sum_if((typ == "stripe_fee") & monthly, -amt).alias("stripe_other_fees_monthly_cash"),
         count_if(typ.isin(*CHARGE_TYPES)).alias("captured_authorizations_count"),
         count_if(typ.isin(*REFUND_TYPES)).alias("refund_count"),
-        count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
-        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"),
         F.lit(1).alias("_hit"))
     platform = (t.transfers.where(F.col("status").isin("paid", "in_transit", "pending")
                                   & (F.col("type") == "bank_account")
@@ -312,7 +330,7 @@ def platform_daily(t, d0, d1) -> DataFrame:
                      .alias("daily_stripe_icplus_fees")))
     attributed = attributed_daily(ic, d0, d1)
     cal = gate_joined(calendar_days(spark, d0, d1).join(dbt, "day", "left"), "_hit")
-    out = (cal.join(accounts, "day", "left")
+    out = (cal.join(accounts, "day", "left").join(_dispute_counts(t, d0, d1), "day", "left")
            .join(declines_daily(t, d0, d1), "day", "left").join(platform, "day", "left")
            .join(incurred, "day", "left").join(attributed, "day", "left")
            .join(connect_payouts_daily(t, d0, d1, end_inclusive=False), "day", "left"))
@@ -322,7 +340,7 @@ def platform_daily(t, d0, d1) -> DataFrame:
     return (out.select(
         "day", F.coalesce("count_accounts", F.lit(0)).alias("connect_accounts"),
         *_zero_fill(["captured_authorizations", "refunds", "declines", "disputes", "disputes_won",
-                     "stripe_dispute_fees", "ls_payfac_fees", "platform_payouts"]),
+                     "stripe_dispute_fees", "platform_fees", "platform_payouts"]),
         F.col("status").alias("platform_payout_status"),
         dec("daily_interchange")("interchange_rec"),
         # shares are non-terminating divisions: stated output precision 1e-6

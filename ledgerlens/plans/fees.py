@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import in_days, local_day, local_ts, ts_lit
+from ..operators.links import lookup
 from ..functions.descriptions import (date_after_open_paren, date_before_close_paren,
                                       has_period, period_start)
 
@@ -146,10 +147,11 @@ def icplus_tagged(t, since) -> DataFrame:
         .select("charge_id", F.col("value").alias("_product"))
     inv = t.invoices.select(F.col("subscription_id"), F.col("charge_id"))
     subs = t.subscriptions.select(F.col("id").alias("subscription_id"))
-    sub_charges = subs.join(inv, "subscription_id", "inner") \
-        .join(t.charges.select(F.col("id").alias("charge_id")), "charge_id", "inner")
-    j = (ic.join(ch, "charge_id", "left").join(tags, "charge_id", "left")
-         .join(sub_charges, "charge_id", "left"))
+    sub_charges = subs.join(inv, "subscription_id", "inner")
+    # a subscription counts for charges that exist, so it is looked up by the charge found
+    j = lookup(ic, ch, "charge_id", ["id"])
+    j = lookup(j, tags, "charge_id", ["id"])
+    j = lookup(j, sub_charges.withColumnRenamed("charge_id", "_mid"), "_mid", ["id"])
     return j.select(
         F.date_format(F.date_trunc("day", "incurred_at"), "yyyy-MM-dd").alias("date"),
         F.round(F.col("billing_amount") / F.lit(-100), 10).cast("double").alias("billed"),

@@ -7,10 +7,11 @@ Plan shape
   `source_id` against refunds, disputes and platform transfers with three
   left joins on the same key, so the ledger is shuffled once for all three.
 * Fee rows parse their service period from the description text.
-* Charge context (charge, customer, invoice) is one pre-joined dimension;
-  rows without a charge id - every fee row, a large and hot share of the
-  ledger - join on a unique never-matching key instead of null, so they
-  spread over all reducers instead of landing on one.
+* Charge, customer and invoice are looked up for the activity of the window
+  only, never for all charges; rows without a charge id - every fee row, a
+  large and hot share of the ledger - join on a key of their own instead of
+  null, so they spread over all reducers. Ledger and payout rows that many
+  lines point to are repeated and the lines dealt over the copies.
 * Each activity row yields its gross and fee lines in one pass (likewise
   the fee and tax lines of each itemised fee): a two-element literal
   explode tags the line kind and every column is picked per kind, so the
@@ -27,9 +28,12 @@ from pyspark.sql import functions as F
 
 from ..functions import decimalize, ts_lit
 from ..functions.descriptions import has_period, is_icplus, period_end, period_start
+from ..operators.links import lookup
 
 # Fixed value: fee rows before this instant carry no parseable period.
 PERIOD_TEXT_SINCE = "2018-04-01"
+#: Copies of a ledger or payout row that many lines point to.
+SALTS = 16
 
 LINE_COLS = [
     "balance_transaction_id", "balance_transaction_created_at",
@@ -50,7 +54,11 @@ def month_window(load_time) -> tuple[dt.datetime, dt.datetime]:
     return lo, hi
 
 
-def _charge_context(t) -> DataFrame:
+def _with_charge_context(t, df: DataFrame, row: list[str]) -> DataFrame:
+    """Charge, customer and invoice of rows that are already filtered to the window.
+
+    Fee rows, a large share of the ledger, have no charge; `lookup` spreads them.
+    """
     ch = t.charges.select(F.col("id").alias("charge_id"), F.col("destination_id").alias("_ch_dest"),
                           F.col("customer_id").alias("_ch_customer"),
                           F.col("currency").alias("_ch_currency"),
@@ -60,20 +68,8 @@ def _charge_context(t) -> DataFrame:
                             F.col("email").alias("customer_email"),
                             F.col("description").alias("customer_description"))
     inv = t.invoices.select(F.col("id").alias("invoice_id"), "subscription_id")
-    return ch.join(cu, "_ch_customer", "left").join(inv, "invoice_id", "left")
-
-
-def _with_charge_context(df: DataFrame, ctx: DataFrame, row_id: str) -> DataFrame:
-    """Left join on charge_id; rows without one get a unique, never-matching key.
-
-    A null key would send every charge-less row (all fee rows: a large, hot
-    share of the ledger) to one reducer. Replacing it by a per-row key that
-    no charge id can equal spreads them evenly and leaves their charge
-    columns null, in one pass over the input.
-    """
-    key = F.coalesce(F.col("charge_id"), F.concat(F.lit("\u0001"), F.col(row_id)))
-    ctx = ctx.withColumnRenamed("charge_id", "_ctx_charge")
-    return df.join(ctx, key == F.col("_ctx_charge"), "left").drop("_ctx_charge")
+    df = lookup(df, ch, "charge_id", row)
+    return lookup(lookup(df, cu, "_ch_customer", row), inv, "invoice_id", row)
 
 
 def _activity(t, lo, hi, currency, period_since) -> DataFrame:
@@ -125,7 +121,7 @@ def _activity(t, lo, hi, currency, period_since) -> DataFrame:
     activity_at = F.coalesce(F.col("end_time") - F.expr("interval 1 second"), F.col("bt_created"))
     act = act.withColumn("activity_at", activity_at) \
              .where((F.col("activity_at") >= ts_lit(lo)) & (F.col("activity_at") < ts_lit(hi)))
-    act = _with_charge_context(act, _charge_context(t), "balance_transaction_id")
+    act = _with_charge_context(t, act, ["balance_transaction_id"])
     rcc = F.col("rc")
     return act.select(
         "*",
@@ -195,11 +191,9 @@ def _icplus_lines(t, lo, hi, currency) -> DataFrame:
                 F.col("reporting_category").alias("_bt_rc"),
                 F.col("automatic_transfer_id").alias("_bt_payout"),
                 F.col("description").alias("_bt_desc"))
-    ctx = _charge_context(t).select("charge_id", "invoice_id", "subscription_id",
-                                    "customer_email", "customer_description", "card_brand",
-                                    "card_funding", "card_country")
     ic = ic.drop("card_brand", "card_funding")
-    j = _with_charge_context(ic.join(bts, "balance_transaction_id", "left"), ctx, "id")
+    # one monthly ledger row can stand for millions of itemised fees
+    j = _with_charge_context(t, lookup(ic, bts, "balance_transaction_id", ["id"], SALTS), ["id"])
     fx = F.coalesce(F.col("fx_rate"), F.lit(1).cast("decimal(18,8)"))
     none_s = F.lit(None).cast("string")
     common = {
@@ -256,7 +250,9 @@ def line_items(t, lo, hi, currency: str | None = None,
         .select(F.col("source_id").alias("automatic_payout_id"),
                 F.col("available_on").alias("automatic_payout_effective_at")) \
         .join(payouts, "automatic_payout_id", "inner")
-    li = lines.join(effective, "automatic_payout_id", "left")
+    # one payout has many lines, and unsettled lines have none
+    li = lookup(lines, effective, "automatic_payout_id",
+                ["balance_transaction_id", "fee_id", "balance_transaction_component"], SALTS)
     ts_fmt = "yyyy-MM-dd HH:mm:ss"
     end_or_at = F.coalesce(F.col("activity_end_time") - F.expr("interval 1 second"),
                            F.col("activity_at"))
@@ -281,4 +277,9 @@ def line_items(t, lo, hi, currency: str | None = None,
     return out.orderBy(F.col("balance_transaction_created_at").asc_nulls_last(),
                        "balance_transaction_id",
                        F.when(F.col("balance_transaction_component") == "gross", 1).otherwise(2),
-                       "balance_transaction_component")
+                       F.col("balance_transaction_component").asc_nulls_last())
+
+
+def activity_report(t, load_time, currency: str | None = None, period_since=PERIOD_TEXT_SINCE) -> DataFrame:
+    """R1 as it is run every month: the month before `load_time`, one currency or all."""
+    return line_items(t, *month_window(load_time), currency, period_since)

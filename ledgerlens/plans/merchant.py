@@ -11,12 +11,13 @@ applied to the raw columns; only the bucketing shifts the zone.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_distinct_if, in_days, local_day, sum_if
 from ..operators.calendars import calendar_days, month_bounds, month_range
-from ..sources.fixtures import PLATFORM_ACCOUNT
 
 NEW_YORK = "America/New_York"
 
@@ -41,8 +42,9 @@ def merchant_ledger_daily(t, d0, d1, tz) -> DataFrame:
     bt = t.connected_account_balance_transactions
     typ, amt = F.col("type"), F.col("amount")
     not_payout = typ != "payout"
-    lower_ok = F.when(not_payout, in_days("created", d0, None, tz)) \
-                .otherwise(in_days("available_on", d0, None, tz))
+    # each kind's lower bound on its own column: a disjunction that reaches the scan
+    lower_ok = ((not_payout & in_days("created", d0, None, tz))
+                | (~not_payout & in_days("available_on", d0, None, tz)))
     bt = bt.where(~typ.like("%transfer%") & lower_ok & in_days("created", None, d1, tz))
     activity = F.when(not_payout, local_day("created", tz)).otherwise(local_day("available_on", tz))
     refund = typ.isin("payment_refund", "refund")
@@ -53,21 +55,26 @@ def merchant_ledger_daily(t, d0, d1, tz) -> DataFrame:
     aggs += [sum_if(typ.isin("payment", "charge"), -F.col("fee")).alias("application_fees"),
              sum_if(typ == "adjustment", amt).alias("adjustments"),
              sum_if(typ == "payout", amt).alias("connect_payouts")]
-    return bt.groupBy(activity.alias("day"), "currency", "account").agg(*aggs)
+    return bt.withColumn("day", activity).where(F.col("day").between(F.lit(str(d0)).cast("date"), F.lit(str(d1)).cast("date"))) \
+        .groupBy("day", "currency", "account").agg(*aggs)
+
 
+def merchant_icplus_daily(t, d0, d1, tz) -> DataFrame:
+    """Network and processor fees; distinct card-present / not-present charges.
 
-def merchant_icplus_daily(t, d0, d1, tz, terminal_rate=2.0, radar_rate=1.5) -> DataFrame:
-    """Network and processor fees; priced distinct card-present / not-present charges."""
+    Fees are first summed per charge, so both distinct counts are plain sums.
+    """
     ic = t.icplus_fees.where(in_days("incurred_at", d0, d1, tz))
     cat, cp = F.col("fee_category"), F.col("card_present")
-    return ic.groupBy(local_day("incurred_at", tz).alias("day"),
-                      F.col("destination_id").alias("account")).agg(
+    per_charge = ic.groupBy(local_day("incurred_at", tz).alias("day"), F.col("destination_id").alias("account"), "charge_id").agg(
         sum_if(cat == "network_cost", F.col("billing_amount")).alias("network_costs"),
         sum_if(cat == "stripe_fee", F.col("billing_amount")).alias("stripe_fees"),
-        (count_distinct_if(cp == F.lit(True), F.col("charge_id")) * F.lit(terminal_rate))
-        .alias("stripe_terminal_fees"),
-        (count_distinct_if(cp == F.lit(False), F.col("charge_id")) * F.lit(radar_rate))
-        .alias("stripe_radar_fees"))
+        F.max(F.when(cp, 1).otherwise(0)).alias("_present"), F.max(F.when(~cp, 1).otherwise(0)).alias("_absent"))
+    a_charge = F.col("charge_id").isNotNull()
+    return per_charge.groupBy("day", "account").agg(
+        F.sum("network_costs").alias("network_costs"), F.sum("stripe_fees").alias("stripe_fees"),
+        F.sum(F.when(a_charge, F.col("_present"))).alias("present_charges"),
+        F.sum(F.when(a_charge, F.col("_absent"))).alias("absent_charges"))
 
 
 def merchant_payout_batches(t, d0, d1, tz) -> DataFrame:
@@ -101,7 +108,7 @@ def unlinked_refunds_daily(t, d0, d1, tz) -> DataFrame:
             .agg(F.sum("amount").alias("total_unlinked_refunds"))
 
 
-def account_debits_daily(t, d0, d1, tz, platform_account=PLATFORM_ACCOUNT) -> DataFrame:
+def account_debits_daily(t, d0, d1, tz, platform_account: str) -> DataFrame:
     """R2g: book transfers that debit merchants for unreferenced refunds."""
     tr = t.connected_account_transfers.where(
         in_days("created", d0, d1, tz) & ~F.col("automatic")
@@ -116,18 +123,34 @@ def account_debits_daily(t, d0, d1, tz, platform_account=PLATFORM_ACCOUNT) -> Da
              .agg(F.sum("amount").alias("unlinked_refund_account_debits"))
 
 
-def merchant_volume_daily(t, d0, d1, tz=NEW_YORK, with_unlinked=True) -> DataFrame:
-    """R2h (tz=New York, with unlinked refunds) / R3 (tz=None, without)."""
-    cal = calendar_days(t.spark, d0, d1)
-    dbt = merchant_ledger_daily(t, d0, d1, tz)
-    out = (cal.join(dbt, "day", "left")
-           .join(merchant_transfers_daily(t, d0, d1, tz), ["day", "account"], "left")
-           .join(merchant_icplus_daily(t, d0, d1, tz), ["day", "account"], "left")
+def merchant_volume_daily(t, d0, d1, platform_account: str | None = None, tz=NEW_YORK, with_unlinked=True,
+                          terminal_rate: float = 2.0, radar_rate: float = 1.5) -> DataFrame:
+    """R2 (tz=New York, with unlinked refunds) / R3 (tz=None, without).
+
+    Measures of a merchant-day are gathered in one union and aggregation and
+    joined to the ledger rows once. Days without a ledger row appear once with
+    nulls; they are found by a scan of the ledger's day column (at most one
+    value per day of the range reaches the driver), so nothing is joined on
+    the day alone. The rates are minor units per card-present and per other
+    charge.
+    """
+    ledger = merchant_ledger_daily(t, d0, d1, tz)
+    parts = [merchant_transfers_daily(t, d0, d1, tz), merchant_icplus_daily(t, d0, d1, tz)]
+    if with_unlinked:
+        parts += [unlinked_refunds_daily(t, d0, d1, tz), account_debits_daily(t, d0, d1, tz, platform_account)]
+    names = [c for p in parts for c in p.columns if c not in ("day", "account")]
+    rows = functools.reduce(DataFrame.unionByName, [
+        p.select("day", "account", *[(F.col(c) if c in p.columns else F.lit(None)).cast("decimal(38,8)").alias(c) for c in names])
+        for p in parts])
+    extra = rows.groupBy("day", "account").agg(*[F.sum(c).alias(c) for c in names])
+    present = [F.lit(r["day"]) for r in ledger.select("day").distinct().collect()]
+    bare = calendar_days(t.spark, d0, d1).where(~F.col("day").isin(*present))
+    spine = ledger.unionByName(bare, allowMissingColumns=True)
+    out = (spine.join(extra, ["day", "account"], "left")
            .join(merchant_payout_batches(t, d0, d1, tz), ["day", "account"], "left")
            .join(merchant_names(t), "account", "left"))
-    if with_unlinked:
-        out = (out.join(unlinked_refunds_daily(t, d0, d1, tz), ["day", "account"], "left")
-                  .join(account_debits_daily(t, d0, d1, tz), ["day", "account"], "left"))
+    out = out.withColumn("stripe_terminal_fees", F.col("present_charges").cast("double") * F.lit(terminal_rate)) \
+             .withColumn("stripe_radar_fees", F.col("absent_charges").cast("double") * F.lit(radar_rate))
     cols = [F.col("day").alias("activity_date"), F.col("account").alias("destination_id"),
             "business_name", "currency"]
     cols += [_major(c).alias(c) for c in
@@ -179,7 +202,7 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
     cac = t.connected_account_charges.where(in_months("created") & F.col("captured"))
     det = t.connected_account_balance_transaction_fee_details.select(
         "balance_transaction_id", F.col("amount").alias("_fee"))
-    lspd = cac.join(det, "balance_transaction_id", "left") \
+    earned = cac.join(det, "balance_transaction_id", "left") \
         .groupBy("account", ym("created").alias("month"), "currency") \
         .agg(F.sum(F.coalesce("_fee", F.lit(0))).alias("sum_application_fees"))
 
@@ -200,7 +223,7 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
     out = (gmv.join(F.broadcast(months), "month", "inner")
            .join(fees, ["account", "month"], "inner")
            .join(names, "account", "left")
-           .join(lspd, ["account", "month", "currency"], "left"))
+           .join(earned, ["account", "month", "currency"], "left"))
 
     def maj(c):
         return F.col(c).cast("double") / F.lit(100.0)
@@ -217,7 +240,7 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
         F.col("count_when_card").cast("bigint").alias("card_num_txns"),
         F.col("count_when_bancontact").cast("bigint").alias("bancontact_num_txns"),
         F.col("count_when_ideal").cast("bigint").alias("ideal_num_txns"),
-        maj("sum_application_fees").alias("lspd_fees"),
+        maj("sum_application_fees").alias("platform_application_fees"),
         cents3("network_costs").alias("icplus_fees"), cents3("stripe_fees").alias("stripe_fees"),
         (F.coalesce(F.col("stripe_radar_fees"), F.lit(0)).cast("double") / F.lit(100.0))
         .alias("radar_fees")).orderBy("account", "month")

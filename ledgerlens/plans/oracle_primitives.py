@@ -1,8 +1,15 @@
 """DuckDB oracle texts for the operator-level queries on the driver tables."""
 
-from .oracle_daily import CAL, rng
+from .oracle_daily import SPINE, in_range
 from .oracle_reports import _dec
 
+CAL = SPINE.replace("spine as", "cal as")
+
+
+def rng(c: str) -> str:
+    return in_range(f"cast({c} as date)")
+
+
 _C = "cast(round({x} * 100) as bigint)"
 
 

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions import local_ts, ts_lit
 from ..operators.links import contains_join, metadata_value
-from ..sources.fixtures import PLATFORM_ACCOUNT
 
 NEW_YORK = "America/New_York"
 
 
 # --------------------------------------------------------------------------- R17
-def account_debit_unlinked(t, payment_ids=None, platform_account=PLATFORM_ACCOUNT) -> DataFrame:
+def account_debit_unlinked(t, platform_account: str, payment_ids=None) -> DataFrame:
     """Platform book transfers tagged unreferenced-refund and the refund behind each.
 
     `payment_ids` (S4) restricts to listed account-debit payments via a semi
@@ -37,8 +36,7 @@ def account_debit_unlinked(t, payment_ids=None, platform_account=PLATFORM_ACCOUN
     cat = cat.join(tagged, "id", "inner")
     if payment_ids is not None:
         wanted = spark.createDataFrame([(p,) for p in payment_ids], "payment_id string")
-        cat = cat.join(F.broadcast(wanted),
-                       cat.destination_payment_id == wanted.payment_id, "left_semi")
+        cat = cat.join(wanted, cat.destination_payment_id == wanted.payment_id, "left_semi")
     parent = metadata_value(t.refunds_metadata, "parent_transfer", "refund_id", "_tid") \
         .withColumnRenamed("_parent", "_rid")
     refunds = t.refunds.where(F.col("charge_id").isNull()).select(
@@ -56,7 +54,7 @@ def account_debit_unlinked(t, payment_ids=None, platform_account=PLATFORM_ACCOUN
 
 
 # --------------------------------------------------------------------------- R18
-def unlinked_refund_cards(t, since, platform_account=PLATFORM_ACCOUNT) -> DataFrame:
+def unlinked_refund_cards(t, since, platform_account: str) -> DataFrame:
     """Unlinked refund -> parent book transfer -> card it went back to."""
     r = t.refunds.where(F.col("charge_id").isNull() & (F.col("status") == "succeeded")
                         & (F.col("created") > ts_lit(since)))
@@ -167,11 +165,13 @@ def dispute_sheet(t, dispute_id: str | None = None, tz: str = NEW_YORK) -> DataF
     d = t.disputes.where(F.col("status").isin("warning_needs_response", "needs_response"))
     if dispute_id is not None:
         d = d.where(F.col("id") == dispute_id)
+    # ledger and charges are cut down to the open disputes before they are joined
+    ids = d.select("id")
     bt = t.balance_transactions.select(F.col("source_id").alias("id"),
-                                       F.col("created").alias("_btc"))
+                                       F.col("created").alias("_btc")).join(ids, "id", "left_semi")
     ch = t.charges.select(F.col("dispute_id").alias("id"), F.col("id").alias("_cid"),
                           F.col("destination_id").alias("account_id"),
-                          F.col("created").alias("_chc"), "payment_method_type")
+                          F.col("created").alias("_chc"), "payment_method_type").join(ids, "id", "left_semi")
     names = t.connected_accounts.select(F.col("id").alias("account_id"),
                                         F.col("business_name").alias("merchant_name"))
     pmd = t.payment_method_details.select(F.col("charge_id").alias("_cid"),

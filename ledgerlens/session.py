@@ -9,7 +9,6 @@ threshold stays at a bounded size so only small, checked sides broadcast.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -51,17 +50,3 @@ def apply_scale_confs(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static conf on an already-running context
             pass
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared spark.checkpoint.dir; only set one when unset (tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
-        sc.setCheckpointDir(current)
-    elif not (hasattr(sc, "getCheckpointDir") and sc.getCheckpointDir()):
-        sc.setCheckpointDir(current)
-    return current

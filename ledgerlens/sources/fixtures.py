@@ -46,7 +46,9 @@ select
   cast(floor(cast(round(o_totalprice * 100) as bigint) * 0.029) as bigint) + 30 as processing_fee,
   case o_custkey % 5 when 0 then 'usd' when 1 then 'eur' when 2 then 'cad'
        when 3 then 'gbp' else 'jpy' end as currency,
-  'acct_' || (o_custkey % 10) as merchant,
+  -- five customers share a merchant; one merchant has a third of all orders
+  case when o_orderkey * 31 % 97 < 32 then 'acct_0'
+       else 'acct_' || cast(floor(o_custkey / 5) as bigint) end as merchant,
   o_orderstatus <> 'P' as captured,
   case o_orderpriority when '3-MEDIUM' then 'bancontact' when '4-NOT SPECIFIED' then 'ideal'
        when '5-LOW' then 'interac_present' else 'card' end as method,
@@ -217,10 +219,10 @@ select 'txn_po_' || id, created, arrival, 'payout', 'payout', currency, -amount,
 from {{platform_payouts}}
 """
 
-# Merchant payouts: one per merchant and settlement day.
+# Merchant payouts: one per merchant, currency and settlement day.
 FIXTURES["merchant_payouts"] = f"""
 select
-  'po_' || merchant || '_' || {_d("odate + interval '2' day")} as id,
+  'po_' || merchant || '_' || currency || '_' || {_d("odate + interval '2' day")} as id,
   merchant as account,
   currency,
   odate + interval '2' day as created,
@@ -228,7 +230,7 @@ select
   cast(sum(amount - app_fee) as bigint) as amount,
   case when day(odate) % 9 = 0 then 'in_transit' when day(odate) % 13 = 0 then 'pending'
        else 'paid' end as status,
-  case when merchant in ('acct_3', 'acct_7') then 'card' else 'bank_account' end as type
+  case when length(merchant) % 3 = 0 then 'card' else 'bank_account' end as type
 from {{order_facts}}
 where captured
 group by merchant, currency, odate
@@ -238,7 +240,7 @@ FIXTURES["connected_account_balance_transactions"] = f"""
 select 'txn_py_' || k as id, merchant as account, created, created + interval '2' day as available_on,
   currency, 'payment' as type, 'charge' as reporting_category, amount, app_fee as fee,
   amount - app_fee as net,
-  'po_' || merchant || '_' || {_d("odate + interval '2' day")} as automatic_transfer_id,
+  'po_' || merchant || '_' || currency || '_' || {_d("odate + interval '2' day")} as automatic_transfer_id,
   'py_' || k as source_id, 'Payment py_' || k as description
 from {{order_facts}} where captured
 union all
@@ -368,7 +370,7 @@ from {customer}
 FIXTURES["connected_accounts"] = """
 select 'acct_' || m as id, case when m % 4 = 0 then null else 'Merchant ' || m end as business_name,
   'https://merchant' || m || '.example.com' as business_url
-from (select distinct c_custkey % 10 as m from {customer}) accounts
+from (select distinct cast(floor(c_custkey / 5) as bigint) as m from {customer} union select 0) accounts
 """
 
 FIXTURES["invoices"] = """

@@ -9,6 +9,7 @@ a report only scans what its plan needs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .fixtures import DRIVER_TABLES, FIXTURES, deps
 
@@ -26,25 +27,15 @@ SORT_KEYS = {
 }
 
 
-def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A table stored as one file with one row group scans as a single task, so
-    everything up to the first shuffle (derivation, filters, map-side
-    aggregation) would run on one core. Only then is the scan spread
-    round-robin; a large table (many files / row groups) already has more
-    input partitions than cores and is left untouched. Column pruning and
-    filter pushdown still reach the scan below the repartition.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str, derived_dir: str | None = None):
+    """Tables by name. `bind` names the user's own: a DataFrame, a catalog table
+    ("db.charges"), or (path, schema) of Parquet files, the schema a StructType
+    or DDL. Bound tables come first; others are the driver's or derived ones."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str = "", derived_dir: str | None = None,
+                 bind: dict[str, DataFrame | str | tuple] | None = None):
         self.spark = spark
+        self.bind = bind or {}
         self.sf_dir = sf_dir.rstrip("/")
         self.derived_dir = derived_dir.rstrip("/") if derived_dir else None
         self._dfs: dict[str, DataFrame] = {}
@@ -57,8 +48,10 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         df = self._dfs.get(name)
         if df is None:
-            if name in DRIVER_TABLES:
-                df = _spread(self.spark, self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            if name in self.bind:
+                df = self._bound(self.bind[name])
+            elif name in DRIVER_TABLES:
+                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             elif self.derived_dir and name in FIXTURES and not name.startswith("order_facts"):
                 df = self.spark.read.parquet(f"{self.derived_dir}/{name}")
             elif name in FIXTURES:
@@ -68,6 +61,14 @@ class Tables:
             self._dfs[name] = df
         return df
 
+    def _bound(self, source) -> DataFrame:
+        if isinstance(source, DataFrame):
+            return source
+        if isinstance(source, tuple):
+            path, schema = source
+            return self.spark.read.schema(schema).parquet(path)
+        return self.spark.table(source)
+
 
 def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> Tables:
     """Write the derived payments tables once as Parquet; return Tables reading them.
@@ -95,6 +96,11 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return t
 
 
+def csv_lines(df: DataFrame) -> DataFrame:
+    """S6 as a relation: one column `line` with the CSV text of each row."""
+    return df.select(F.to_csv(F.struct("*")).alias("line"))
+
+
 def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Rows for human CSV consumption. Column names must be unique."""
     cols = df.columns
@@ -111,5 +117,4 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     joins whose right side is never selected (J9) or looking a payout up
     after reducing the ledger to distinct payout ids.
     """
-    from pyspark.sql import functions as F
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
