@@ -61,7 +61,7 @@ def test_layout_and_defined_cases(spark):
     assert sorted(at) == list(range(-(-len(rows) // 64)))
     key = [((r.page_id is not None, r.page_id or 0), (r.url is not None, r.url or ""), r.hash) for r in got]
     assert key == sorted(key)
-    assert b"Content-Length: 10\r\n\r\n<p>3\xc3\xa9</p>\r\n\r\n" in {r.record.encode()[-38:] for r in got} or any("Content-Length: 9" in r.record for r in got)
+    assert any(r.record.endswith("Content-Length: 10\r\n\r\n<p>3é</p>\r\n\r\n") for r in got)
     empty = keep(fixity.laid_out(recs.limit(0)).drop("record"), "none")
     assert fixity.report(empty, empty).count() == 0
 
