@@ -137,11 +137,12 @@ def build(x: np.ndarray, level: np.ndarray) -> list[np.ndarray]:
     for at in range(int(level[0]), -1, -1):
         n = int((level >= at).sum())
         links = np.full((n, 2 * M if at == 0 else M), -1)
-        lo, size = 0, 256
+        # the points of the layer above come first, as searches enter through them
+        lo, size = 0, max(256, len(layers[0]) if layers else 0)
         while lo < n:
             hi = min(n, lo + size)
             _insert(x, links, lo, hi, layers)
-            lo, size = hi, min(2 * size, 2048)
+            lo, size = hi, min(max(2 * size, 512), 2048)
         layers.insert(0, links)
     return layers
 
