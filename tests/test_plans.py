@@ -27,3 +27,97 @@ def test_day_range_reaches_parquet_scan(spark, sf_dir, tmp_path):
     pushed = " ".join(re.findall(r"PushedFilters: \[([^\]]*)", plan))  # text may be truncated
     assert "GreaterThanOrEqual(created,1996-01-01T00:00)" in pushed
     assert "LessThan(created,1997-01-01" in pushed  # plan text truncates the rest
+
+
+def _nodes(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(autouse=True)
+def whole_plan_texts(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+@pytest.fixture(scope="module")
+def derived(spark, sf_dir, tmp_path_factory):
+    from ledgerlens.sources.tables import materialize
+    return materialize(spark, sf_dir, str(tmp_path_factory.mktemp("derived")))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+MERCHANT_REPORTS = ["fee_merchant_daily", "volume_merchant_daily", "failed_transfers_merchant_daily",
+                    "merchant_volume_daily", "merchant_volume_daily_utc"]
+
+
+@pytest.mark.parametrize("name", MERCHANT_REPORTS)
+def test_merchant_reports_read_each_ledger_once_per_measure(derived, no_broadcast, name):
+    plan = _nodes(PLANS[name](derived))
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[([^\]]*)\]", plan)
+    assert not [k for k in joins if re.fullmatch(r"(activity_)?day#\d+", k)], joins
+    # the ledger: once for the measures; R2 and R3 look its payout batches up as well
+    reads = plan.count("/connected_account_balance_transactions]")
+    assert reads == (2 if name.startswith("merchant_volume") else 1)
+
+
+def test_payout_lower_bound_reaches_the_scan(spark, derived):
+    from ledgerlens.plans import merchant
+    plan = _nodes(merchant.merchant_ledger_daily(derived, "2001-07-01", "2001-07-10", "America/New_York"))
+    pushed = " ".join(re.findall(r"PushedFilters: \[(.*)", plan))
+    assert "GreaterThanOrEqual(created,2001-07-01T04:00)" in pushed and "GreaterThanOrEqual(available_on,2001-07-01T04:00)" in pushed
+
+
+def test_attribution_overlap_reaches_the_scan(spark, derived, sf_dir):
+    from ledgerlens.operators.attribution import attributed_daily
+    plan = _nodes(attributed_daily(derived.icplus_fees, "2001-07-01", "2001-07-10"))
+    platform = _nodes(PLANS["platform_daily"](derived))
+    spread = _nodes(PLANS["prim_attribution"](load_tables(spark, sf_dir)))
+    pushed = " ".join(re.findall(r"PushedFilters: \[(.*)", plan))
+    assert "GreaterThanOrEqual(attribution_end_time,2001-07-01T00:00)" in pushed
+    assert "LessThan(attribution_start_time,2001-07-11T00:00)" in pushed
+    assert platform.count("/icplus_fees]") <= 2
+    assert spread.count("/orders.parquet]") == 1
+
+
+def test_line_items_look_customers_up_for_the_window_only(derived):
+    """No join of customers or invoices has a charge scan without the window's activity below it."""
+    import datetime as dt
+    from ledgerlens.plans import line_items
+    plan = line_items.line_items(derived, dt.datetime(1998, 7, 1), dt.datetime(1998, 8, 1))._jdf.queryExecution().optimizedPlan()
+
+    def tables(node):
+        text = node.toString()
+        return {t for t in ("customers", "invoices", "charges", "balance_transactions", "icplus_fees") if f"{t}/" in text or f"{COLUMN[t]}#" in text}
+
+    def walk(node):
+        if node.nodeName() == "Join":
+            left, right = tables(node.children().apply(0)), tables(node.children().apply(1))
+            if right & {"customers", "invoices"}:
+                assert left & {"balance_transactions", "icplus_fees"}, (left, right)
+                seen.append(right)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    seen = []
+    walk(plan)
+    assert len(seen) >= 4
+
+
+# a column that only this table has
+COLUMN = {"customers": "email", "invoices": "subscription_id", "charges": "outcome_type", "balance_transactions": "reporting_category",
+          "icplus_fees": "subtotal_amount"}
+
+
+def test_sales_are_read_once(derived):
+    plan = _nodes(PLANS["sales_with_paydowns"](derived))
+    # sales, and paydowns once for their substrings and once for their columns
+    assert plan.count("/connected_account_balance_transactions]") == 3
+    assert plan.count("/connected_account_charges]") == 1

@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.plans import daily, line_items, tracing
-from ledgerlens.sources.tables import load_tables
+from ledgerlens import catalog
+from ledgerlens.plans import daily, line_items, merchant, tracing
+from ledgerlens.sources.fixtures import PLATFORM_ACCOUNT
+from ledgerlens.sources.tables import Tables, load_tables, write_report_csv
 
 D0, D1 = "1995-01-01", "2001-12-31"
 
@@ -42,9 +45,9 @@ def test_line_items_conserve_gross_minus_fee(spark, sf_dir):
 
 def test_account_debit_inline_payment_list(spark, sf_dir):
     t = load_tables(spark, sf_dir)
-    full = tracing.account_debit_unlinked(t)
+    full = tracing.account_debit_unlinked(t, PLATFORM_ACCOUNT)
     ids = [r.account_debit_payment_id for r in full.limit(2).collect()]
-    some = tracing.account_debit_unlinked(t, payment_ids=ids)
+    some = tracing.account_debit_unlinked(t, PLATFORM_ACCOUNT, payment_ids=ids)
     assert {r.account_debit_payment_id for r in some.collect()} == set(ids)
 
 
@@ -96,3 +99,104 @@ def test_payout_on_the_range_edge(spark, sf_dir):
     assert incl.where(F.col("day") == F.lit(d1)).count() > 0
     assert excl.where(F.col("day") == F.lit(d0)).count() == \
         (1 if tr.where(F.to_date("date") == F.lit(d0)).count() else 0)
+
+
+# report: sort keys, "-" for falling ones
+ORDERS = {
+    "failed_transfers_daily": ["-day"], "failed_transfers_merchant_daily": ["-day", "account"], "fee_daily": ["-day"],
+    "fee_merchant_daily": ["-day", "account"], "volume_daily": ["-day"], "volume_merchant_daily": ["-day"], "platform_daily": ["-day"],
+    "merchant_volume_daily": ["destination_id", "activity_date"], "merchant_volume_daily_utc": ["destination_id", "activity_date"],
+    "merchant_monthly": ["account", "month"], "fee_report": ["activity_at", "type", "fee_category", "card_funding", "card_brand"],
+    "balance_report": ["activity_at", "reporting_category", "type", "card_funding", "card_brand"],
+    "payout_activity_timing": ["payout_id", "raw_date", "type"],
+    "interac_not_reversed": ["merchant_account", "business_name", "-refund_created"], "sales_with_paydowns": ["-created"],
+    "dispute_dashboard": ["-disputes"],
+}
+
+
+def _before(a, b, keys):
+    """Whether row a may come before row b."""
+    for k in keys:
+        x, y = a[k.lstrip("-")], b[k.lstrip("-")]
+        if x == y:
+            continue
+        if x is None or y is None:
+            return y is None
+        return x > y if k[0] == "-" else x < y
+    return True
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_rows_come_in_the_reports_order(spark, sf_dir, name):
+    rows = catalog.queries()[name](spark, sf_dir).collect()
+    assert len(rows) > 1
+    assert all(_before(a, b, ORDERS[name]) for a, b in zip(rows, rows[1:]))
+
+
+def test_line_items_order_by_expression(spark, sf_dir):
+    rows = [r.asDict() for r in catalog.queries()["line_items"](spark, sf_dir).collect()]
+    for r in rows:
+        r["rank"] = 1 if r["balance_transaction_component"] == "gross" else 2
+    keys = ["balance_transaction_created_at", "balance_transaction_id", "rank", "balance_transaction_component"]
+    assert all(_before(a, b, keys) for a, b in zip(rows, rows[1:]))
+
+
+def test_dispute_sheet_order_by_a_hidden_column(spark, sf_dir):
+    t = load_tables(spark, sf_dir)
+    opened = {r.id: r.created for r in t.disputes.collect()}
+    at = [opened[r.case_id] for r in tracing.dispute_sheet(t).collect()]
+    assert at == sorted(at, reverse=True) and len(set(at)) > 1
+
+
+def test_merchants_with_several_currencies(spark, sf_dir):
+    t = load_tables(spark, sf_dir)
+    daily_ = merchant.merchant_volume_daily(t, D0, D1, PLATFORM_ACCOUNT)
+    twice = daily_.groupBy("destination_id", "activity_date").agg(F.count_distinct("currency").alias("n"))
+    assert twice.where("n > 1").count() > 0
+    month = merchant.merchant_monthly(t, "1995-01", "2001-12").groupBy("account", "month").agg(F.count_distinct("currency").alias("n"))
+    assert month.where("n > 1").count() > 0
+    shares = t.charges.groupBy("destination_id").count().orderBy(F.desc("count")).limit(2).collect()
+    assert shares[0]["count"] > 0.25 * t.charges.count() and shares[1]["count"] < 0.1 * t.charges.count()
+
+
+def test_report_range_covers_the_data(spark, sf_dir):
+    t = load_tables(spark, sf_dir)
+    lo, hi = dt.datetime.fromisoformat(catalog.D0), dt.datetime.fromisoformat(catalog.D1) + dt.timedelta(days=1)
+    for table, clock in (("balance_transactions", "created"), ("connected_account_balance_transactions", "available_on"), ("charges", "created"),
+                         ("icplus_fees", "incurred_at"), ("icplus_fees", "attribution_end_time"), ("connected_account_transfers", "date"), ("transfers", "date")):
+        first, last = t[table].agg(F.min(clock), F.max(clock)).first()
+        assert lo <= first and last < hi, (table, clock)
+
+
+def test_rates_are_arguments(spark, sf_dir):
+    t = load_tables(spark, sf_dir)
+    total = lambda df, c: df.agg(F.sum(c)).first()[0]
+    one = merchant.merchant_volume_daily(t, D0, D1, tz=None, with_unlinked=False)
+    two = merchant.merchant_volume_daily(t, D0, D1, tz=None, with_unlinked=False, terminal_rate=4.0, radar_rate=0.0)
+    assert total(one, "stripe_terminal_fees") > 0
+    assert abs(total(two, "stripe_terminal_fees") - 2 * total(one, "stripe_terminal_fees")) < 1e-6
+    assert total(two, "stripe_radar_fees") == 0
+
+
+def test_reports_run_on_the_users_own_tables(spark, tmp_path):
+    """A catalog view, Parquet with a given schema, and a DataFrame; no fixture table."""
+    rows = [("m1", "payment", dt.datetime(2020, 1, 2, 3), 1000), ("m1", "transfer_failure", dt.datetime(2020, 1, 2, 4), -50), ("m2", "payout_failure", dt.datetime(2020, 1, 4), 70)]
+    ledger = spark.createDataFrame(rows, "account string, type string, created timestamp_ntz, amount bigint")
+    ledger.createOrReplaceTempView("my_ledger")
+    path = str(tmp_path / "ledger")
+    ledger.write.parquet(path)
+    schema = "account string, type string, created timestamp_ntz, amount bigint"
+    for source in ("my_ledger", (path, schema), ledger):
+        t = Tables(spark, bind={"connected_account_balance_transactions": source})
+        got = daily.failed_transfers_merchant_daily(t, "2020-01-01", "2020-01-05").collect()
+        assert [(r.day.day, r.account, r.transfer_debit_failures, r.payout_credit_failures) for r in got] == \
+            [(5, None, 0.0, 0.0), (4, "m2", 0.0, 0.7), (3, None, 0.0, 0.0), (2, "m1", -0.5, 0.0)]
+    with pytest.raises(KeyError):
+        Tables(spark)["no_such_table"]
+
+
+def test_csv_sink_writes_the_rows(spark, sf_dir, tmp_path):
+    df = tracing.dispute_dashboard(load_tables(spark, sf_dir), catalog.AS_OF, catalog.MONTHS)
+    write_report_csv(df, str(tmp_path / "out"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert back.columns == df.columns and back.count() == df.count() > 0

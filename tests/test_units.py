@@ -11,7 +11,7 @@ from ledgerlens.functions.descriptions import (date_after_open_paren, date_befor
                                                has_period, is_icplus, period_end, period_start)
 from ledgerlens.operators.attribution import attributed_daily
 from ledgerlens.operators.calendars import calendar_days, gate, month_range
-from ledgerlens.operators.links import contains_join
+from ledgerlens.operators.links import contains_join, lookup
 from ledgerlens.sources.tables import write_report_csv
 
 
@@ -98,6 +98,29 @@ def test_containment_join_matches_brute_force_like(spark):
     assert j.count() == len(want) + len({s[0] for s in sales} - {g[0] for g in got})
 
 
+def test_containment_join_with_odd_keys_and_long_texts(spark):
+    long = "".join(chr(97 + i % 26) for i in range(10_000))
+    sales = [("s1", "--", "m"), ("s2", "%", "m"), ("s3", "", "m"), ("s4", "a%c", "m"), ("s5", long[5000:5030], "m"), ("s6", "zzz", "m")]
+    pays = [("p1", "x -- y", "m"), ("p2", "abc", "m"), ("p3", long, "m"), ("p4", None, "m"), ("p5", "", "m")]
+    sdf = spark.createDataFrame(sales, "sid string, source_id string, merchant string")
+    pdf = spark.createDataFrame(pays, "pid string, text string, merchant string")
+    for parts in (["merchant"], []):
+        right = pdf if parts else pdf.drop("merchant")
+        j = contains_join(sdf, right, "sid", "source_id", "pid", "text", partition_cols=parts)
+        got = {(r.sid, r.pid) for r in j.collect()}
+        assert got == {("s1", "p1"), *(("s2", p) for p in ("p1", "p2", "p3", "p5")), *(("s3", p) for p in ("p1", "p2", "p3", "p5")),
+                       ("s4", "p2"), ("s4", "p3"), ("s5", "p3"), ("s6", None)}
+
+
+def test_lookup_spreads_null_and_hot_keys(spark):
+    left = spark.createDataFrame([(i, "hot" if i % 2 else None if i % 4 else f"k{i}") for i in range(200)], "id int, key string")
+    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k4", 3), (None, 9)], "key string, v int")
+    rows = lambda df: sorted((r.id, r.key or "", r.v or 0) for r in df.select("id", "key", "v").collect())
+    want = rows(left.join(dim, "key", "left"))
+    for salts in (1, 7):
+        assert rows(lookup(left, dim, "key", ["id"], salts)) == want
+
+
 def test_anti_join_keeps_null_keys(spark):
     left = spark.createDataFrame([("r1", "t1"), ("r2", None), ("r3", "t3")], "id string, tid string")
     rev = spark.createDataFrame([("x", "t1"), ("y", None)], "rid string, tid string")
@@ -112,6 +135,18 @@ def test_decimalize_zero_decimal_currency_and_half_up(spark):
     assert [x.v for x in r] == [1234.0, 12.3, None, -0.1]
 
 
+def test_decimalize_holds_every_bigint(spark):
+    amounts = [10**12, 10**15, 2**63 - 1, -2**63]
+    df = spark.createDataFrame([(c, a) for a in amounts for c in ("usd", "jpy")], "c string, a bigint")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            got = [r.v for r in df.select(decimalize(F.col("c"), F.col("a"), 2).alias("v")).collect()]
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+        assert got == [float(Decimal(a) * (Decimal("0.01") if c == "usd" else 1)) for a in amounts for c in ("usd", "jpy")]
+
+
 def test_gate_with_empty_measure_gives_no_rows(spark):
     cal = calendar_days(spark, "2020-01-01", "2020-01-10")
     empty = spark.createDataFrame([], "day date")
