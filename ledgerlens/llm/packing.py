@@ -35,6 +35,8 @@ from .staging import keep, with_columns
 CAPACITY = 4096
 #: Distinct runs of text that a task remembers the tokens of.
 REMEMBERED = 1 << 20
+#: Runs that are encoded in one call.
+_RUNS = 1024
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -51,6 +53,13 @@ class _Encoder:
         self.hash, self.start, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
 
+    def _encoded(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs, encoded as one text, and how many each has by where they start in it."""
+        got = self.tokenizer.encode(" ".join(runs), add_special_tokens=False)
+        first = np.cumsum([0, *(len(r) + 1 for r in runs[:-1])])
+        at = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
+        return np.array(got.ids, np.uint32), np.bincount(np.searchsorted(first, at, "right") - 1, minlength=len(runs))
+
     def ids_of(self, w: W.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and how many each word has."""
         if len(self.hash) > REMEMBERED:
@@ -61,9 +70,8 @@ class _Encoder:
         if len(new):
             text = w.raw.tobytes()
             runs = [text[a:b].decode() for a, b in zip(w.start[one[new]].tolist(), w.end[one[new]].tolist(), strict=True)]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))
+            parts = [self._encoded(runs[i:i + _RUNS]) for i in range(0, len(runs), _RUNS)]
+            flat, size = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
             self.ids[self.used:self.used + len(flat)] = flat
@@ -158,27 +166,28 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
 
     for length in sorted(histogram, reverse=True):
         left, rank = histogram[length], 0
-        while left and (room := open_.tightest(length)) >= 0:
-            first, count = bins[room].pop()
-            take = min(left, count)
-            moves.append((length, rank, take, first, capacity - room))
-            if take < count:
-                bins[room].append((first + take, count - take))
-            if not bins[room]:
-                open_.set(room, False)
-            put(room - length, first, take)
-            rank, left = rank + take, left - take
-        if left:  # no open bin holds this length: new bins take as many as fit
-            fit = capacity // length
-            full, rest = divmod(left, fit)
+        while left:
+            room = open_.tightest(length)
+            if room < 0:  # new bins
+                room, first, count = capacity, next_bin, -(-left // (capacity // length))
+                next_bin += count
+            else:
+                first, count = bins[room].pop()
+                if not bins[room]:
+                    open_.set(room, False)
+            # a bin that took one document is now the tightest, so it takes as many as fit
+            fit = room // length
+            full = min(count, left // fit)
+            rest = left - full * fit if full < count else 0
             for slot in range(fit):
-                count = full + (slot < rest)
-                if count:
-                    moves.append((length, rank, count, next_bin, slot * length))
-                    rank += count
-            put(capacity - fit * length, next_bin, full)
-            put(capacity - rest * length, next_bin + full, int(rest > 0))
-            next_bin += full + (rest > 0)
+                if full + (slot < rest):
+                    moves.append((length, rank, full + (slot < rest), first, capacity - room + slot * length))
+                    rank += full + (slot < rest)
+            used = full + (rest > 0)
+            put(room - fit * length, first, full)
+            put(room - rest * length, first + full, int(rest > 0))
+            put(room, first + used, count - used)
+            left -= full * fit + rest
     return moves
 
 
