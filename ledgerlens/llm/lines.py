@@ -1,7 +1,7 @@
 """Fuzzy line deduplication in SQL functions only.
 
-A line is normalised: lower case, every digit run as 0, everything but letters
-and digits as one space. Lines with equal normal forms are one class. A class
+A line is normalised: lower case, every run of digits as 0, every run of ASCII
+characters that are neither letters nor digits as one space. Lines with equal normal forms are one class. A class
 has a 64-bit SimHash over its words. Two classes are linked if their SimHashes
 differ in at most DISTANCE = 3 bits and the edit distance of the normal forms
 is at most 1 - `similarity` of the longer one's length. Of every connected
@@ -9,16 +9,13 @@ group of lines one occurrence stays, the first by doc_id (nulls last) and line.
 
 Candidates by the pigeonhole principle: the 64 bits form five blocks; if at
 most three bits differ, at least two blocks are equal, so each class has a key
-for every two of the five blocks. The classes of a bucket are compared with two
-pivots of the bucket first. Only where a bucket still holds several connected
-groups are the classes outside its largest group compared with the other
-groups' classes there, so the groups equal those of all pairs, and no hot
-bucket sends out all its pairs.
+for every two of the five blocks. Buckets of at most SMALL classes are compared
+pair by pair. The classes of a larger bucket are compared with two pivots of it
+first; only where it still holds several connected groups are the classes
+outside its largest group compared with the other groups' classes there. So the
+groups equal those of all pairs, and no hot bucket sends out all its pairs.
 
-Word counts per bit are added up in lanes of one long: 8 bits wide for lines of
-up to 127 words, 16 up to 32,767, 32 beyond.
-
-Defined cases: a line without letters or digits is never removed; a null text
+Defined cases: a line without letters, digits or non-ASCII characters is never removed; a null text
 stays null; an empty text is one empty line; of repeated rows the later ones
 lose the lines that the first keeps; a null doc_id comes after all others.
 """
@@ -37,27 +34,45 @@ DISTANCE = 3
 SIMILARITY = 0.9
 #: Bits of the five blocks of a SimHash, from the highest.
 BLOCKS = (13, 13, 13, 13, 12)
+#: Words that are counted at once.
+PART = 16_000
+#: Buckets of at most so many classes are compared pair by pair.
+SMALL = 32
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "), r"\p{N}+", "0"))
-
-
-def with_simhash(df: DataFrame, words: str, name: str = "sim") -> DataFrame:
-    """`df` with the 64-bit SimHash of a column with an array of words."""
-    per_width = lambda f: "CASE width " + " ".join(f"WHEN {w} THEN {f(w)}L" for w in (8, 16, 32)) + " END"
-    spread = lambda w, bits: sum(1 << (w * i) for i in range(bits // w))
-    # lane i of count j is the number of words whose hash has bit width * i + j; adding `lift`
-    # to a lane sets its top bit if that is more than half of the words (done on halves of 32 bits)
-    top = "(shiftrightunsigned({} + lift, width - 1) & half_ones)"
-    low, high = top.format(f"(counts[j] & {(1 << 32) - 1}L)"), top.format("shiftrightunsigned(counts[j], 32)")
-    return (df.withColumn("hashes", F.expr(f"transform({words}, w -> xxhash64(w))"))
-            .withColumn("width", F.expr("CASE WHEN size(hashes) < 128 THEN 8 WHEN size(hashes) < 32768 THEN 16 ELSE 32 END"))
-            .withColumn("ones", F.expr(per_width(lambda w: spread(w, 64)))).withColumn("half_ones", F.expr(per_width(lambda w: spread(w, 32))))
-            .withColumn("counts", F.expr("transform(sequence(0, width - 1), j -> aggregate(hashes, 0L, (a, h) -> a + (shiftrightunsigned(h, j) & ones)))"))
-            .withColumn("lift", F.expr(f"({per_width(lambda w: 1 << (w - 1))} - (size(hashes) div 2) - 1) * half_ones"))
-            .withColumn(name, F.expr(f"aggregate(sequence(0, width - 1), 0L, (a, j) -> a | shiftleft({low}, j) | shiftleft({high}, j + 32))"))
-            .drop("hashes", "width", "ones", "half_ones", "counts", "lift"))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), "[0-9]+", "0"))
+
+
+def _majority(sums: dict[int, Column], n: Column, width: int) -> Column:
+    """64 bits from counts in lanes of `width` bits (counts below 2**(width - 2)): is a count more than half of `n`?"""
+    lanes = sum(1 << (width * i) for i in range(64 // width))
+    lift = (F.lit(1 << (width - 2)) - F.shiftright(n, 1) - 1) * F.lit(lanes)  # sets bit width - 2 of such lanes
+    out = F.lit(0).cast("bigint")
+    for j, s in sums.items():
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(s + lift, width - 2).bitwiseAND(F.lit(lanes)), j))
+    return out
+
+
+def with_simhash(df: DataFrame, keys: list[str], words: str, name: str = "sim") -> DataFrame:
+    """`keys` (one row for each) and the 64-bit SimHash of a column with an array of words.
+
+    The words' hashes are added up per bit, four counts of 16 bits in each of
+    16 sums, in parts of PART words; the parts of longer lines are then added
+    in counts of 32 bits. A bit is set if it is set for more than half of the words.
+    """
+    exploded = df.select(*keys, F.size(words).alias("_size"), F.posexplode_outer(words).alias("_at", "_w")).withColumn("_h", F.xxhash64("_w"))
+    part = F.expr(f"coalesce(_at div {PART}, 0)").alias("_part")
+    lane = F.lit(sum(1 << (16 * i) for i in range(4)))
+    sums = exploded.groupBy(*keys, part).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_size").alias("_size"),
+        *[F.sum(F.shiftrightunsigned("_h", j).bitwiseAND(lane)).alias(f"_s{j}") for j in range(16)])
+    whole = sums.where(F.coalesce("_size", F.lit(0)) <= PART).select(*keys, _majority({j: F.col(f"_s{j}") for j in range(16)}, F.col("_n"), 16).alias(name))
+    count = lambda j, i: F.shiftrightunsigned(f"_s{j}", 16 * i).bitwiseAND(F.lit(0xFFFF))
+    wide = {16 * i + j: F.sum(count(j, i).bitwiseOR(F.shiftleft(count(j, i + 2), 32))) for j in range(16) for i in (0, 1)}
+    long = (sums.where(F.col("_size") > PART).groupBy(*keys).agg(F.sum("_n").alias("_n"), *[c.alias(f"_s{j}") for j, c in wide.items()])
+            .select(*keys, _majority({j: F.col(f"_s{j}") for j in wide}, F.col("_n"), 32).alias(name)))
+    return whole.unionByName(long)
 
 
 def _keys(sim: str) -> Column:
@@ -70,79 +85,129 @@ def _keys(sim: str) -> Column:
     return F.array(*[F.lit(i << 32).bitwiseOR(F.shiftleft(parts[a], 13)).bitwiseOR(parts[b]) for i, (a, b) in pairs])
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose SimHashes and normal forms are near."""
-    side = lambda df, col, x: df.select(F.col("c").alias(x), F.col(col).alias(f"{col}_{x}"))
-    near = (pairs.join(side(classes, "sim", "a"), "a").join(side(classes, "sim", "b"), "b")
+def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose SimHashes differ in at most DISTANCE bits."""
+    side = lambda x: classes.select(F.col("c").alias(x), F.col("sim").alias(f"sim_{x}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
             .where(F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE).select("a", "b"))
+
+
+def _linked(near: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose normal forms are similar."""
+    side = lambda x: lines.select(F.col("c").alias(x), F.col("norm").alias(f"norm_{x}"))
     longer = F.greatest(F.length("norm_a"), F.length("norm_b"))
     most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    both = near.join(side(lines, "norm", "a"), "a").join(side(lines, "norm", "b"), "b").withColumn("most", most)
+    both = near.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
     both = both.where(F.abs(F.length("norm_a") - F.length("norm_b")) <= F.col("most"))
     return both.where(F.expr("levenshtein(norm_a, norm_b, most) >= 0")).select("a", "b")
 
 
-def _groups(classes: DataFrame, lines_of, similarity: float) -> DataFrame:
-    """(c, root) of every class in a connected group of several classes."""
-    keys = classes.select("c", F.explode(_keys("sim")).alias("key"))
-    mix = F.xxhash64("key")
-    buckets = (keys.groupBy("key").agg(F.min(F.col("c").bitwiseXOR(mix)).alias("lo"), F.max(F.col("c").bitwiseXOR(mix)).alias("hi"))
-               .where("lo != hi").select("key", F.col("lo").bitwiseXOR(mix).alias("lo"), F.col("hi").bitwiseXOR(mix).alias("hi")))
-    members = keep(keys.join(buckets, "key"), "members")
-    lines = keep(lines_of(members.select("c").distinct()), "candidate-lines")
-    pairs = (members.select(F.explode(F.array("lo", "hi")).alias("a"), F.col("c").alias("b")).where("a != b")
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    roots = keep(components(_linked(pairs, classes, lines, similarity)).select(F.col("node").alias("c"), "root"), "roots")
-    placed = keep(members.select("key", "c").join(roots, "c", "left").join(classes.select("c", "sim"), "c").select("key", "c", F.coalesce("root", "c").alias("root"), "sim"), "placed")
+def _across(members: DataFrame, sims: DataFrame, roots: DataFrame) -> DataFrame:
+    """Near pairs (a, b) of a bucket that have different roots.
+
+    `members`: key, c; `sims`: c, sim; `roots`: c, root of the classes that are not alone.
+    In each bucket the classes outside its largest group meet all classes of
+    other groups; buckets with the same classes are looked at once.
+    """
+    placed = keep(members.join(roots, "c", "left").select("key", "c", F.coalesce("root", "c").alias("root")), "placed")
     of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c")).alias("x"))
     mixed = (of_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.bit_xor("x").alias("x"))
              .where("roots > 1").groupBy("x", "n").agg(F.min(F.struct("key", "most")).alias("b"))
              .select("b.key", F.col("b.most.root").alias("main")))
-    here = placed.join(mixed, "key")
+    here = placed.join(mixed, "key").join(sims, "c")
     stray = here.where("root != main").select("key", F.col("c").alias("a"), F.col("root").alias("root_a"), F.col("sim").alias("sim_a"))
     other = here.select("key", F.col("c").alias("b"), F.col("root").alias("root_b"), F.col("sim").alias("sim_b"))
-    rest = (stray.join(other, "key").where((F.col("root_a") != F.col("root_b")) & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = keep(_linked(rest, classes, lines, similarity), "more-links")
+    return keep(stray.join(other, "key").where((F.col("root_a") != F.col("root_b")) & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "across")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`roots` (c, root) after more links (a, b) between classes."""
     root_of = lambda x: roots.select(F.col("c").alias(x), F.col("root").alias(f"root_{x}"))
-    top = components(more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-                     .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
-    top = top.select(F.col("node").alias("t"), F.col("root").alias("top"))
-    every = roots.select("c", "root").unionByName(top.join(roots, top["t"] == roots["c"], "left_anti").select(F.col("t").alias("c"), F.col("t").alias("root")))
-    return every.join(top, every["root"] == top["t"], "left").select("c", F.coalesce("top", "root").alias("root"))
+    top = components(links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+                     .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))).toDF("t", "top")
+    every = roots.unionByName(top.join(roots, top["t"] == roots["c"], "left_anti").select(F.col("t").alias("c"), F.col("t").alias("root")))
+    return keep(every.join(top, every["root"] == top["t"], "left").select("c", F.coalesce("top", "root").alias("root")), "roots")
+
+
+def _groups(classes: DataFrame, lines_of, similarity: float) -> DataFrame:
+    """(c, root) of every class in a connected group of several classes.
+
+    SimHashes alone come first: near pairs of small buckets; for others, groups
+    by distance (pivots, then what they leave apart). All links lie within
+    those groups, so text is needed for their classes only. Then the same with
+    edit similarity as well.
+    """
+    keys = classes.select("c", "sim", F.explode(_keys("sim")).alias("key"))
+    mix = F.xxhash64("key")
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shared = keep(counts.where("n > 1"), "shared-keys")
+    member = keys.join(shared.where(F.col("n") <= SMALL).select("key"), "key")
+    side = lambda x: member.select("key", F.col("c").alias(x), F.col("sim").alias(f"sim_{x}"))
+    distance = F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b")))
+    near = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (distance <= DISTANCE)).select("a", "b")
+    large = keep(keys.drop("sim").join(shared.where(F.col("n") > SMALL).select("key"), "key"), "large-buckets")
+    pivots = (large.groupBy("key").agg(F.min(F.col("c").bitwiseXOR(mix)).alias("lo"), F.max(F.col("c").bitwiseXOR(mix)).alias("hi"))
+              .select("key", F.array(F.col("lo").bitwiseXOR(mix), F.col("hi").bitwiseXOR(mix)).alias("pivots")))
+    pairs = large.join(pivots, "key").select(F.explode("pivots").alias("a"), F.col("c").alias("b")).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = keep(near.unionByName(_near(pairs.distinct(), classes)).distinct(), "near")
+    hash_roots = keep(components(near).toDF("c", "root"), "roots")
+    near = near.unionByName(_across(large, classes, hash_roots))
+    hash_roots = _merged(hash_roots, near)
+    lines = keep(lines_of(hash_roots.select("c")), "candidate-lines")
+    roots = keep(components(_linked(near, lines, similarity)).toDF("c", "root"), "roots")
+    # in large buckets, classes of one group by distance can still be linked
+    together = large.join(hash_roots.withColumnRenamed("root", "group"), "c").select("c", F.xxhash64("key", "group").alias("key"))
+    return _merged(roots, _linked(_across(together, classes, roots), lines, similarity))
+
+
+def _hashed(norm: Column, h: Column) -> Column:
+    """`h`, but null for a line with nothing to compare."""
+    return F.when(norm != "", h)
 
 
 def occurrences(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """A row for every line: rid (row of `docs`), doc_id, th (hash of its text), line_no from 0, kept, and
-    `first`, the occurrence (doc_id, line_no, lid) that stands for the line's group (null: not compared)."""
+    """A row for every line: rid (row of `docs`), doc_id, line_no from 0 (null: null text), kept, and `first`,
+    the occurrence (doc_id, line_no, rid) that stands for the line's group (null: not compared)."""
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", text.alias("text")).select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("th"), F.monotonically_increasing_id().alias("rid"), "text")
-    lines = rows.select("doc_id", "th", "rid", F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
-    lines = lines.select("doc_id", "th", "rid", "line_no", F.monotonically_increasing_id().alias("lid"), normalised(F.col("line")).alias("norm"))
-    blank = (F.col("norm") == "") | F.col("norm").isNull()
-    hashed = lambda h: F.when(~blank, h)
-    lines = lines.withColumn("h1", hashed(F.xxhash64("norm"))).withColumn("h2", hashed(F.xxhash64(F.lit(1), "norm")))
-    found = keep(with_simhash(lines.withColumn("words", F.split("norm", " ")), "words").drop("norm", "words"), "lines")
-    who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "lid")
+    norm = F.col("norm")
+    h1, h2 = _hashed(norm, F.xxhash64("norm")).alias("h1"), _hashed(norm, F.xxhash64(F.lit(1), "norm")).alias("h2")
+    rows = docs.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("rid"), F.xxhash64(text).alias("th"))
+    # normal forms are made inside the generator, so that each is made once
+    lines = rows.select("rid", "doc_id", "th", F.posexplode_outer(F.transform(F.split("text", "\n", -1), normalised)).alias("line_no", "norm"))
+    keys = ["rid", "doc_id", "th", "line_no", "h1", "h2"]
+    # a text's hash goes with its first line
+    found = keep(with_simhash(lines.select("rid", "doc_id", F.when(F.col("line_no") == 0, F.col("th")).alias("th"), "line_no", h1, h2, F.split("norm", " ").alias("words")), keys, "words"), "lines")
+    who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "rid")
     classes = keep(found.where("h1 is not null").groupBy("h1", "h2").agg(F.min(who).alias("who"), F.first("sim").alias("sim"))
                    .withColumn("c", F.monotonically_increasing_id()), "line-classes")
 
     def lines_of(some: DataFrame) -> DataFrame:
-        """(c, norm) of the classes `some`."""
-        wanted = classes.select("c", "h1", "h2").join(some, "c")
-        return lines.where(~blank).select("h1", "h2", "norm").join(wanted, ["h1", "h2"]).select("c", "norm").dropDuplicates(["c"])
+        """(c, norm) of the classes `some`, from the lines that stand for them."""
+        wanted = keep(classes.select("c", "h1", "h2", "who.doc_id", "who.line_no").join(some, "c"), "wanted")
+        # a bitmap of fixed size over (doc_id, line_no) refuses most lines before they are normalised and shuffled
+        place = F.xxhash64("doc_id", "line_no")
+        slot, bit = F.shiftrightunsigned(place, 48), place.bitwiseAND(F.lit(63)).cast("int")
+        used = wanted.groupBy(slot.alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits"))
+        slots = docs.sparkSession.range(1 << 16).join(used, "id", "left").agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("a"))
+        bitmap = slots.select(F.transform("a", lambda x: x["bits"])).scalar()
+        is_set = F.call_function("shiftrightunsigned", F.element_at(bitmap, slot.cast("int") + 1), bit).bitwiseAND(F.lit(1)) == 1
+        raw = rows.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).where(is_set)
+        again = raw.select(F.explode(F.array(normalised(F.col("line")))).alias("norm")).select("norm", h1, h2)
+        return again.join(wanted.select("c", "h1", "h2"), ["h1", "h2"]).select("c", "norm").dropDuplicates(["c"])
 
     groups = _groups(classes.select("c", "sim"), lines_of, similarity)
     joined = classes.select("h1", "h2", "who", "c").join(groups, "c", "left").withColumn("root", F.coalesce("root", "c"))
     first = joined.groupBy("root").agg(F.min("who").alias("first"))
     of_class = joined.select("h1", "h2", "root").join(first, "root").select("h1", "h2", "first")
+    mine = (F.col("first.rid") == F.col("rid")) & (F.col("first.line_no") == F.col("line_no"))
     return found.drop("sim").join(of_class, ["h1", "h2"], "left").select(
-        "rid", "doc_id", "th", "line_no", (F.col("first").isNull() | (F.col("first.lid") == F.col("lid"))).alias("kept"), "first")
+        "rid", "doc_id", "th", "line_no", (F.col("first").isNull() | mine).alias("kept"), "first")
 
 
 def _per_row(found: DataFrame) -> DataFrame:
     marks = F.array_sort(F.collect_list(F.struct("line_no", "kept", F.struct("first.doc_id", "first.line_no").alias("first"))))
-    return found.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), marks.alias("marks"))
+    return found.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.max("th").alias("th"), F.max("line_no").alias("last"), marks.alias("marks"))
 
 
 def report(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -151,24 +216,25 @@ def report(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     gone = F.transform(F.filter("marks", lambda m: ~m["kept"]), lambda m: m["line_no"].cast("string"))
     stands = F.transform("marks", lambda m: F.concat_ws(":", F.coalesce(m["first"]["doc_id"].cast("string"), F.lit("")), F.coalesce(m["first"]["line_no"].cast("string"), F.lit(""))))
     return _per_row(occurrences(docs, similarity)).select(
-        "doc_id", F.when(F.col("th").isNull(), 0).otherwise(F.size("marks")).cast("bigint").alias("n_lines"), F.size(gone).cast("bigint").alias("n_removed"),
+        "doc_id", (F.coalesce("last", F.lit(-1)) + 1).cast("bigint").alias("n_lines"), F.size(gone).cast("bigint").alias("n_removed"),
         F.array_join(gone, ",").alias("removed"), F.sha2(F.array_join(stands, ","), 256).alias("groups_sha256"))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """`docs` without the removed lines; a document that loses lines and keeps none but blank ones goes."""
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = (f"c{names.index(c)}" for c in ("doc_id", "text"))
     # rows that share id and text are interchangeable: the i-th of them gets the i-th set of marks
     same = Window.partitionBy("_th", "_id")
     marks = (_per_row(occurrences(docs, similarity)).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "rid", F.col("marks.kept").alias("_kept"))
-             .withColumn("_nth", F.row_number().over(same.orderBy("rid"))).drop("rid"))
-    plain = plain.withColumn("_id", F.col(doc_id)).withColumn("_th", F.when(F.col(text).isNotNull(), F.xxhash64(F.col(text).cast("string")))).withColumn("_nth", F.row_number().over(same.orderBy(F.lit(1))))
-    marks = marks.toDF("m_id", "m_th", "_kept", "m_nth")
+             .withColumn("_nth", F.row_number().over(same.orderBy("rid"))).drop("rid").toDF("m_id", "m_th", "_kept", "m_nth")
+             .where(F.exists("_kept", lambda k: ~k)))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    value = F.col(text).cast("string")
+    plain = plain.withColumn("_id", F.col(doc_id)).withColumn("_th", F.when(value.isNotNull(), F.xxhash64(value))).withColumn("_nth", F.row_number().over(same.orderBy(F.lit(1))))
     both = plain.join(marks, (plain["_th"] == marks["m_th"]) & plain["_id"].eqNullSafe(marks["m_id"]) & (plain["_nth"] == marks["m_nth"]), "left")
-    left = F.filter(F.split(F.col(text).cast("string"), "\n", -1), lambda x, i: F.col("_kept")[i])
-    cut = F.coalesce(F.exists("_kept", lambda k: ~k), F.lit(False))
-    both = both.withColumn("_text", F.when(cut, F.array_join(left, "\n")).otherwise(F.col(text).cast("string")))
-    both = both.where(~cut | F.col("_text").rlike(r"[\p{L}\p{N}]"))
+    left = F.filter(F.split(value, "\n", -1), lambda x, i: F.col("_kept")[i])
+    cut = F.col("_kept").isNotNull()
+    both = both.withColumn("_text", F.when(cut, F.array_join(left, "\n")).otherwise(value))
+    both = both.where(~cut | (normalised(F.col("_text")) != ""))
     return both.select(*[F.col("_text").alias(c) if c == text else F.col(c) for c in plain.columns[:len(names)]]).toDF(*names)

@@ -33,5 +33,5 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,8 +6,6 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import regex
-
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -102,7 +100,7 @@ def unigrams(docs):
 
 
 def normal_line(line):
-    return regex.sub(r"\p{N}+", "0", regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower())).strip(" ")
+    return re.sub("[0-9]+", "0", re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", line.lower())).strip(" ")
 
 
 def edit_distance(a, b):
