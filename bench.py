@@ -1,6 +1,6 @@
 """Benchmark: the report suite at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Step 1 derives the 22 payments tables from the driver's Parquet once and
+Step 1 loads the driver's tables, derives the 22 payments tables from them once and
 writes them as Parquet (event-time sorted), as they would exist in a
 warehouse; its time is reported as `derive_tables_sec`. Step 2 runs every
 registered report over those tables, each fully materialised (noop sink).
@@ -29,6 +29,9 @@ from ledgerlens import catalog  # noqa: E402
 from ledgerlens.session import build_session  # noqa: E402
 from ledgerlens.sources.tables import materialize  # noqa: E402
 
+# the driver tables that reports and operator queries read
+REPORT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
+
 
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -42,7 +45,13 @@ def main():
     sf = float(m.group(1)) if m else None
 
     t0 = time.perf_counter()
-    tables = materialize(spark, sf_dir, out_dir)
+    # the driver's files have one row group each and would be read by one task; a
+    # warehouse has many files
+    loaded = {}
+    for name in REPORT_TABLES:
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(cpus).write.parquet(f"{out_dir}/driver/{name}")
+        loaded[name] = spark.read.parquet(f"{out_dir}/driver/{name}")
+    tables = materialize(spark, sf_dir, out_dir, bind=loaded)
     derive = round(time.perf_counter() - t0, 3)
 
     plans = catalog.plans()

@@ -70,21 +70,21 @@ class Tables:
         return self.spark.table(source)
 
 
-def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> Tables:
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None, bind=None) -> Tables:
     """Write the derived payments tables once as Parquet; return Tables reading them.
 
     Fact tables are range-partitioned and sorted on their event time so that
     date filters skip row groups; each table is written by a distributed job
     (no driver collect), and re-running overwrites.
     """
-    src = Tables(spark, sf_dir)
+    src = Tables(spark, sf_dir, bind=bind)
     for name in names or [n for n in FIXTURES if n != "order_facts"]:
         df = src[name]
         key = SORT_KEYS.get(name)
         if key:
             df = df.repartitionByRange(key).sortWithinPartitions(key)
         df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
-    return Tables(spark, sf_dir, derived_dir=out_dir)
+    return Tables(spark, sf_dir, derived_dir=out_dir, bind=bind)
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
