@@ -18,6 +18,8 @@ there are no labels every score is 0.5. Repeated rows are scored each.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,17 +77,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RA
         for batch in batches:
             texts = W.texts_of(batch.column(0))
             for lo, hi in _blocks(texts):
-                rows = _features(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays([pa.array([r.astype(np.float16).tobytes() for r in rows], pa.binary()), batch.column(1).slice(lo, hi - lo)], ["x", "y"])
+                rows = [r.astype(np.float16).tobytes() for r in _features(texts[lo:hi])]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1).slice(lo, hi - lo), pa.array([zlib.crc32(r) for r in rows], pa.int64())], ["x", "y", "place"])
 
     # the hash keeps about `sample` ids of 8 bytes, so this side is small
-    rows = (docs.join(F.broadcast(chosen), "doc_id").select(F.col("text").cast("string"), "quality")
-            .mapInArrow(run, "x binary, y int").orderBy("x").collect())
-    y = np.array([r["y"] for r in rows], np.float64)
-    x = np.array([np.frombuffer(bytes(r["x"]), np.float16) for r in rows], np.float32).reshape(-1, FEATURES)
-    del rows
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
-    x = _unit(x * idf)
+    table = (docs.join(F.broadcast(chosen), "doc_id").select(F.col("text").cast("string"), "quality")
+             .mapInArrow(run, "x binary, y int, place bigint").toArrow())
+    order = np.argsort(table["place"].to_numpy(), kind="stable")
+    y = table["y"].to_numpy()[order].astype(np.float64)
+    x = np.empty((len(y), FEATURES), np.float32)
+    at = np.empty(len(y), np.int64)
+    at[order] = np.arange(len(y))
+    for i, row in zip(at, table["x"], strict=True):
+        x[i] = np.frombuffer(row.as_buffer(), np.float16)
+    del table
+    idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))).astype(np.float32) + 1
+    x *= idf
+    size = np.sqrt(np.einsum("ij,ij->i", x, x))
+    x /= np.where(size > 0, size, 1)[:, None]
     rank = min(rank, *x.shape)
     rng = np.random.default_rng(7)
     basis = np.linalg.qr(x.T @ (x @ rng.standard_normal((FEATURES, rank + 16), np.float32)))[0] if len(x) else np.zeros((FEATURES, 0), np.float32)
