@@ -99,7 +99,10 @@ def _linked(near: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
     both = near.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
     both = both.where(F.abs(F.length("norm_a") - F.length("norm_b")) <= F.col("most"))
-    return both.where(F.expr("levenshtein(norm_a, norm_b, most) >= 0")).select("a", "b")
+    # the band that is searched grows with the limit, and most pairs are far nearer than it
+    return both.where(F.expr("""CASE WHEN levenshtein(norm_a, norm_b, least(most, 16)) >= 0 THEN true WHEN most <= 16 THEN false
+        WHEN levenshtein(norm_a, norm_b, least(most, 128)) >= 0 THEN true WHEN most <= 128 THEN false
+        ELSE levenshtein(norm_a, norm_b, most) >= 0 END""")).select("a", "b")
 
 
 def _across(members: DataFrame, sims: DataFrame, roots: DataFrame) -> DataFrame:
