@@ -13,12 +13,15 @@ stays if none of them rejects at LEVEL / 3.
 
 Passing proves little for a short run, so discoveries are controlled by length:
 under the null hypothesis that a run of n symbols is ordinary text, drawn with
-the symbol frequencies that all runs of its encoding have in the corpus, the
-uniformity statistic has a mean and a variance that follow from n. Its lower
-tail is the run's p-value; short runs cannot reach a small one. The Benjamini-
-Hochberg step over all candidates of the corpus keeps the false discovery rate
-at FDR. Frequencies and ranks cover all rows; only the frequencies (at most
-112 numbers) and a histogram of p-values (at most 30,001 bins) reach the driver.
+the symbol frequencies of the corpus outside its runs of 20 or more characters
+(in the case and alphabet of the run's encoding), the uniformity statistic has
+the mean and variance of a multinomial's sum of squares. Random runs have no
+part in the frequencies, however many there are. A table of English letters
+counts as PRIOR letters more, which decides only if there is next to no text.
+Its lower tail is the run's p-value; short runs cannot reach a small one. The
+Benjamini-Hochberg step over all candidates of the corpus keeps the false discovery rate
+at FDR. Frequencies and ranks cover all rows; only the frequencies (64 numbers)
+and a histogram of p-values (at most 30,001 bins) reach the driver.
 
 Positions are code points, end exclusive. Defined cases: a null text is empty;
 a text without findings has the hash of the empty string and empty spans;
@@ -46,6 +49,9 @@ LEVEL = 0.003
 FDR = 0.01
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
              "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+#: Letters of English text, e to z by frequency a thousand; they count as PRIOR letters of the corpus.
+ENGLISH = dict(zip("etaoinshrdlcumwfgypbvkjxqz", (127, 91, 82, 75, 70, 67, 63, 61, 60, 43, 40, 28, 28, 24, 24, 22, 20, 20, 19, 15, 10, 8, 2, 2, 1, 1), strict=True))
+PRIOR = 1000
 _SPAN = "array<struct<start:int,kind:int,end:int,run:string>>"
 
 
@@ -109,15 +115,39 @@ def battery(runs: DataFrame) -> DataFrame:
         "alphabet", "body", "mean", "high", "turns", "spread", "lagged")
 
 
-def discoveries(tested: DataFrame, fdr: float = FDR, level: float = LEVEL) -> DataFrame:
-    """Rows of a stored `battery` table that are random by the tests and found at the false discovery rate."""
-    counts = tested.select("encoding", "k", F.explode("symbols").alias("s")).groupBy("encoding", "k", "s").agg(F.count(F.lit(1)).alias("m"))
-    share = F.col("m") / F.sum("m").over(_by("encoding"))
-    moments = counts.withColumn("q", share).groupBy("encoding").agg(F.sum(F.pow("q", 2)).alias("s2"), F.sum(F.pow("q", 3)).alias("s3"))
-    n, k = F.col("n").cast("double"), F.col("k")
-    mean = k * (1 - F.col("s2")) + n * (k * F.col("s2") - 1)
-    var = F.pow(k / n, 2) * (4 * F.pow(n, 3) * F.greatest(F.col("s3") - F.pow("s2", 2), F.lit(0.0)) + 2 * F.pow(n * F.col("s2"), 2))
-    scored = tested.join(F.broadcast(moments), "encoding").withColumn("z0", (F.col("chi2") - mean) / F.sqrt(var))
+def letters(text: Column, docs: DataFrame) -> dict[str, int]:
+    """How often each base64 symbol stands outside the runs of 20 or more characters of all rows."""
+    # the rest of a text is made inside the generator, so that it is made once
+    rest = docs.select(F.explode(F.array(F.translate(F.regexp_replace(text, RUN, " "), "-_", "+/"))).alias("rest"))
+    absent = lambda c: F.octet_length("rest") - F.octet_length(F.replace("rest", F.lit(c), F.lit("")))
+    got = rest.agg(*[F.sum(absent(c).cast("bigint")).alias(f"n{i}") for i, c in enumerate(ALPHABETS["base64"])]).first()
+    return {c: got[i] or 0 for i, c in enumerate(ALPHABETS["base64"])}
+
+
+def moments(counts: dict[str, int]) -> dict[str, tuple[float, float]]:
+    """Sums of the squares and cubes of the symbols' shares in ordinary text, for each encoding."""
+    total, out = sum(ENGLISH.values()), {}
+    for encoding, alphabet in ALPHABETS.items():
+        fold = {"hex": str.lower, "base32": str.upper}.get(encoding, str)
+        m = dict.fromkeys(alphabet, 0.0)
+        for part, scale in ((counts, 1.0), (ENGLISH, PRIOR / total)):
+            for c, n in part.items():
+                if fold(c) in m:
+                    m[fold(c)] += n * scale
+        shares = [x / sum(m.values()) for x in m.values()]
+        out[encoding] = (sum(q**2 for q in shares), sum(q**3 for q in shares))
+    return out
+
+
+def discoveries(tested: DataFrame, ordinary: dict[str, tuple[float, float]], fdr: float = FDR, level: float = LEVEL) -> DataFrame:
+    """Rows of a stored `battery` table that are random by the tests and found at the false
+    discovery rate; `ordinary`: the `moments` of ordinary text."""
+    of = lambda i: functools.reduce(lambda c, e: c.when(F.col("encoding") == e, ordinary[e][i]), ALPHABETS, F.when(F.lit(False), 0.0))
+    n, k, s2, s3 = F.col("n").cast("double"), F.col("k"), F.col("s2"), F.col("s3")
+    mean = k * (1 - s2) + n * (k * s2 - 1)
+    # the sum of squares is n and twice the number of equal pairs, whose variance is known
+    var = F.pow(k / n, 2) * 2 * n * (n - 1) * (2 * (n - 2) * F.greatest(s3 - s2 * s2, F.lit(0.0)) + s2 * (1 - s2))
+    scored = tested.withColumn("s2", of(0)).withColumn("s3", of(1)).withColumn("z0", (F.col("chi2") - mean) / F.sqrt(var))
     # bins of 0.001 in z, from -30 to 0; the normal tail is monotonous, so ranks by z are ranks by p
     scored = scored.withColumn("bin", F.floor(F.greatest(F.least("z0", F.lit(0.0)), F.lit(-30.0)) * 1000).cast("int"))
     rank, best, total = 0, None, scored.count()
@@ -135,11 +165,6 @@ def _tail(z: str) -> Column:
     return F.when(x < -4, F.exp(-x * x / 2) / (-x * 2.5066282746310002)).otherwise(_phi(x))
 
 
-def _by(*cols):
-    from pyspark.sql import Window
-    return Window.partitionBy(*cols)
-
-
 def scan(docs: DataFrame, id_columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The id columns, `base` and `spans` (arrays of start, kind, end by start then kind) of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -148,7 +173,7 @@ def scan(docs: DataFrame, id_columns: tuple[str, ...] = ("doc_id",)) -> DataFram
     rows = rows.withColumn("runs", F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))))
     rows = keep(rows.withColumn("rid", F.monotonically_increasing_id()), "scanned")
     tested = keep(battery(rows.select("rid", F.explode("runs").alias("r")).select("rid", "r.start", "r.end", "r.run")), "tested")
-    random = (discoveries(tested).select("rid", F.struct("start", F.lit(3).alias("kind"), "end", F.lit(None).cast("string").alias("run")).alias("s"))
+    random = (discoveries(tested, moments(letters(text, docs))).select("rid", F.struct("start", F.lit(3).alias("kind"), "end", F.lit(None).cast("string").alias("run")).alias("s"))
               .groupBy("rid").agg(F.collect_list("s").alias("random")))
     return rows.drop("runs").join(random, "rid", "left").select(
         *id_columns, F.array_sort("base").alias("base"), F.array_sort(F.concat("base", F.coalesce("random", F.array().cast(_SPAN)))).alias("spans"))
