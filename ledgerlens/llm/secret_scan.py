@@ -5,7 +5,8 @@ a value of 6 or more characters), `access` (AKIA..., 20 or more), `hex` (24 or
 more lower-case hex digits).
 
 The battery looks at the other runs of 20 or more characters of the base64
-alphabets. The encoding is inferred from the characters used: hex (16 symbols),
+alphabets, with up to two '=' as padding; a '=' elsewhere ends a run, so that the
+value after 'name=' is a run of its own. The encoding is inferred from the characters used: hex (16 symbols),
 base32 (32) or base64 (64). Three tests ask whether the symbols could be random:
 chi-squared uniformity over the alphabet (Wilson-Hilferty), the runs test on
 the upper and lower half of the alphabet, and lag-1 serial correlation. A run
@@ -44,7 +45,7 @@ HEX = r"[0-9a-f]+"
 ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 
 KINDS = ("assign", "access", "hex", "random")
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 LEVEL = 0.003
 FDR = 0.01
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -90,7 +91,7 @@ def battery(runs: DataFrame) -> DataFrame:
     """`runs` (a column `run`) with encoding, k, n, symbols, chi2 and p_random, the least
     of the three tests' p-values times three; runs of no encoding are left out."""
     body = F.regexp_replace(F.translate("run", "-_", "+/"), "=+$", "")
-    encoding = (F.when(body.rlike("^[0-9]*$") | body.contains("="), None).when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
+    encoding = (F.when(body.rlike("^[0-9]*$"), None).when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
                 .when(body.rlike("^[A-Z2-7]+$"), "base32").otherwise("base64"))
     alphabet = functools.reduce(lambda c, kv: c.when(F.col("encoding") == kv[0], kv[1]), ALPHABETS.items(), F.when(F.lit(False), ""))
     df = (runs.withColumn("encoding", encoding).where("encoding is not null")
