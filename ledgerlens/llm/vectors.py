@@ -5,13 +5,17 @@
 2. Classes are dealt by hash into shards of at most SHARD; a graph is built for
    each. One shard's graph at a time is broadcast (bounded: SHARD vectors and
    their links), and every class queries every shard.
-3. Neighbours found are verified by their cosine in double precision. A task
-   sends on a spanning forest of the links that it found, not the links.
+3. Neighbours found are verified by their cosine in double precision. A query
+   whose beam is full of neighbours is compared with the whole shard, so the beam
+   is no limit on them. A task sends on a spanning forest of the links that it
+   found, not the links.
 4. Components of the links. A link joins two members of a component, so all
    links of a component are counted exactly by blocked products of its members.
-5. Audit: for at most AUDIT vectors, chosen by hash among those whose vec_id is
-   divisible by 100, all rows are searched exactly. While less than TARGET of
-   their links lie within components, the beams are doubled and step 2 repeats.
+5. Audit: for every vector whose vec_id is divisible by 100, in blocks of about
+   AUDIT, all rows are searched exactly. Each asker's share of links that lie
+   within its component counts alike, however many links it has. While their
+   mean is less than TARGET in any class of askers by the number of their links
+   (powers of AUDIT_STEP), the beams are doubled and step 2 repeats.
 
 Vectors of different lengths are never compared. Defined cases: repeated rows
 are links of each other; a null vec_id names no component unless no other is
@@ -35,7 +39,8 @@ COSINE = 0.95
 SHARD = 1 << 16
 SHARDS = 4
 BEAM = 64
-AUDIT = 1024
+AUDIT = 4096
+AUDIT_STEP = 4
 TARGET = 0.995
 BLOCK = 1024
 
@@ -117,6 +122,15 @@ def _forest(a: np.ndarray, b: np.ndarray):
             yield x, y
 
 
+def _new_links(labels: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """One of `hit` for each label among them, which then share a label: links to
+    these connect a point with all of `hit`, given the links taken before."""
+    seen, first = np.unique(labels[hit], return_index=True)
+    if len(seen) > 1:
+        labels[np.isin(labels, seen)] = seen[0]
+    return hit[first]
+
+
 def _found(classes: DataFrame, graphs: DataFrame, beam: int, cosine: float) -> DataFrame:
     """Links (a, b) that connect what the verified neighbours of all classes connect; stored."""
     sc = classes.sparkSession.sparkContext
@@ -130,6 +144,7 @@ def _found(classes: DataFrame, graphs: DataFrame, beam: int, cosine: float) -> D
             c, exact = np.frombuffer(c, np.int64), _unit(np.frombuffer(v, np.float32).reshape(-1, dim))
             x = exact.astype(np.float32)
             layers = [np.frombuffer(k, np.int32).reshape(n, -1) for n, k in zip(sizes, links, strict=True)]
+            labels = np.arange(len(c))
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -137,10 +152,18 @@ def _found(classes: DataFrame, graphs: DataFrame, beam: int, cosine: float) -> D
                 a, b = [], []
                 for lo, ids, sims in hnsw.search(x, layers, q.astype(np.float32), beam):
                     r, k = np.nonzero((ids >= 0) & (sims >= cosine - 1e-4))
-                    hit = ids[r, k]
+                    full = np.flatnonzero((ids >= 0).all(axis=1) & (sims.min(axis=1) >= cosine - 1e-4) & (ids.shape[1] < len(c)))
+                    open_ = ~np.isin(r, full)
+                    r, hit = r[open_], ids[r, k][open_]
                     yes = (np.einsum("nd,nd->n", q[lo + r], exact[hit]) >= cosine) & (mine[lo + r] != c[hit])
                     a.append(mine[lo + r[yes]])
                     b.append(c[hit[yes]])
+                    for row in range(0, len(full), 64):
+                        some = lo + full[row:row + 64]
+                        for one, linked in zip(mine[some], q[some] @ exact.T >= cosine, strict=True):
+                            hit = _new_links(labels, np.flatnonzero(linked & (c != one)))
+                            a.append(np.full(len(hit), one))
+                            b.append(c[hit])
                 pairs = list(_forest(np.concatenate(a), np.concatenate(b)))
                 yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
 
@@ -182,35 +205,46 @@ def _counts(members: DataFrame, cosine: float) -> DataFrame:
 
 
 def recall(placed: DataFrame, cosine: float, audit: int = AUDIT) -> float:
-    """Share of the audited vectors' links, found by comparing them with all rows, whose ends have
-    the same root; `placed`: root, dim, c, v, copies, asks. Without any link it is 1."""
+    """The least mean share, over classes of asking vectors by the number of their links, of an
+    asker's links (found by comparing it with all rows) whose ends have its root; `placed`: root,
+    dim, c, v, copies, asks. Without any link it is 1. `audit` askers are taken at a time."""
     spark = placed.sparkSession
-    askers = placed.where("asks")
-    n = askers.count()
-    # expected to keep `audit` rows; the hash spreads evenly over all of bigint
-    rows = askers.where(F.xxhash64("c", F.lit(9)) <= min(1.0, audit / max(n, 1)) * 2.0**64 - 2.0**63).select("dim", "c", "root", "v").collect()
-    shared = spark.sparkContext.broadcast([(r["dim"], r["c"], r["root"], bytes(r["v"])) for r in rows])
+    askers = placed.where("asks").select("dim", "c", "root", "v")
+    blocks = max(1, -(-askers.count() // audit))
+    sums: dict[int, list[float]] = {}
+    for i in range(blocks):
+        rows = askers.where(F.pmod(F.xxhash64("c", F.lit(9)), F.lit(blocks)) == i).collect()
+        shared = spark.sparkContext.broadcast([(r["dim"], r["c"], r["root"], bytes(r["v"])) for r in rows])
 
-    def run(batches):
-        by_dim = {}
-        for dim, c, root, v in shared.value:
-            by_dim.setdefault(dim, []).append((c, root, v))
-        for batch in batches:
-            dims, roots = batch.column("dim").to_numpy(), batch.column("root").to_numpy()
-            c, copies, v = batch.column("c").to_numpy(), batch.column("copies").to_numpy(), batch.column("v").to_pylist()
-            all_, same = 0, 0
-            for dim, asks in by_dim.items():
-                q = _unit(np.frombuffer(b"".join(x[2] for x in asks), np.float32).reshape(-1, dim))
-                ids, top = (np.array([x[i] for x in asks], np.int64) for i in (0, 1))
-                for at in np.array_split(np.flatnonzero(dims == dim), max(1, (dims == dim).sum() // 2048)):
-                    if len(at):
-                        linked = (q @ _unit(np.frombuffer(b"".join(v[i] for i in at), np.float32).reshape(-1, dim)).T >= cosine) & (ids[:, None] != c[at])
-                        all_ += int((linked * copies[at]).sum())
-                        same += int(((linked & (top[:, None] == roots[at])) * copies[at]).sum())
-            yield pa.RecordBatch.from_arrays([pa.array([all_]), pa.array([same])], ["n", "same"])
-
-    got = placed.select("root", "dim", "c", "v", "copies").mapInArrow(run, "n bigint, same bigint").agg(F.sum("n").alias("n"), F.sum("same").alias("same")).first()
-    return got["same"] / got["n"] if got["n"] else 1.0
+        def run(batches, shared=shared):
+            by_dim, found = {}, {}
+            for dim, c, root, v in shared.value:
+                by_dim.setdefault(dim, []).append((c, root, v))
+            asked = {dim: (_unit(np.frombuffer(b"".join(x[2] for x in asks), np.float32).reshape(-1, dim)), *(np.array([x[i] for x in asks], np.int64) for i in (0, 1)))
+                     for dim, asks in by_dim.items()}
+            for batch in batches:
+                dims, roots = batch.column("dim").to_numpy(), batch.column("root").to_numpy()
+                c, copies, v = batch.column("c").to_numpy(), batch.column("copies").to_numpy(), batch.column("v").to_pylist()
+                for dim, (q, ids, top) in asked.items():
+                    n, same = found.setdefault(dim, (np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)))
+                    for at in np.array_split(np.flatnonzero(dims == dim), max(1, (dims == dim).sum() // 2048)):
+                        if len(at):
+                            linked = (q @ _unit(np.frombuffer(b"".join(v[i] for i in at), np.float32).reshape(-1, dim)).T >= cosine) & (ids[:, None] != c[at])
+                            n += linked @ copies[at]
+                            same += (linked & (top[:, None] == roots[at])) @ copies[at]
+            for dim, (n, same) in found.items():
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(asked[dim][1][some]), pa.array(n[some]), pa.array(same[some])], ["c", "n", "same"])
+
+        each = (placed.select("root", "dim", "c", "v", "copies").mapInArrow(run, "c bigint, n bigint, same bigint")
+                .groupBy("c").agg(F.sum("n").alias("n"), F.sum("same").alias("same")))
+        size = F.floor(F.log(float(AUDIT_STEP), F.col("n"))).cast("int").alias("size")
+        for r in each.groupBy(size).agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("same") / F.col("n")).alias("share")).collect():
+            mine = sums.setdefault(r["size"], [0, 0.0])
+            mine[0] += r["m"]
+            mine[1] += r["share"]
+        shared.unpersist()
+    return min((share / m for m, share in sums.values()), default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, beam: int = BEAM, target: float = TARGET, shard: int = SHARD) -> DataFrame:

@@ -55,6 +55,43 @@ def test_audit_widens_the_beam(spark, monkeypatch):
     assert {r.beam for r in vectors.near_duplicates(df, beam=4).collect()} == {16}
 
 
+def _two_groups():
+    """Two tight groups of 150 (cosine about 0.99 inside, 0.96 across)."""
+    rng = np.random.default_rng(8)
+    e = np.eye(24)
+    centre = [e[0], 0.975 * e[0] + np.sqrt(1 - 0.975**2) * e[1]]
+    out = []
+    for i in range(300):
+        u = rng.standard_normal(24)
+        u[:2] = 0
+        out.append(centre[i % 2] + 0.08 * u / np.linalg.norm(u))
+    return [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(out)]
+
+
+def test_full_beams_hide_no_links(spark):
+    rows = _two_groups()
+    v = np.array([x for _, x in rows])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    near = np.argsort(-(v @ v.T), axis=1)[:, :8]
+    assert ((near % 2) == (np.arange(300) % 2)[:, None]).all()
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = vectors.near_duplicates(df, beam=8, target=0.0)
+    assert _rows(got) == _plain(rows) and {r.component_id for r in got.collect()} == {0}
+
+
+def test_audit_counts_every_asker_alike(spark):
+    """One group of 300 copies that is found must not hide 30 pairs that are not."""
+    rng = np.random.default_rng(9)
+    hot, pairs = np.float32(rng.standard_normal(32)), np.float32(rng.standard_normal((30, 32)))
+    rows = [(1, -1, hot, 300), (2, -1, hot * np.float32(2), 1)]
+    for i, p in enumerate(pairs):
+        rows += [(100 + 2 * i, 100 + 2 * i, p, 1), (101 + 2 * i, 101 + 2 * i, p * np.float32(3), 1)]
+    placed = spark.createDataFrame([(c, root, 32, bytearray(np.float32(v).tobytes()), n, True) for c, root, v, n in rows],
+                                   "c bigint, root bigint, dim int, v binary, copies bigint, asks boolean")
+    assert vectors.recall(placed, 0.95) < 0.05 and vectors.recall(placed, 0.95, audit=7) < 0.05
+    assert vectors.recall(placed.withColumn("root", placed["dim"].cast("bigint")), 0.95, audit=7) == 1.0
+
+
 def test_graph_recall():
     rng = np.random.default_rng(7)
     x = rng.standard_normal((5000, 32)).astype(np.float32)
