@@ -142,6 +142,28 @@ def test_built_filter_holds_the_counted_bigrams(spark, sf_dir):
     assert (got[n >= 2] >= np.ceil(2 * 1.5 ** (level[n >= 2] - 1) - 1e-6)).all() and (got[n < 2] > 0).mean() < 0.1
 
 
+def test_weight_is_chosen_on_all_training_texts(spark, monkeypatch):
+    """One long text of a set phrase outweighs many short ones of random words."""
+    rng = np.random.default_rng(10)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 300, 3))) for i in range(8000)] + [(8000, "x y z " * 50_000)]
+    assert brute.fold(8000, 7) != 2
+    seen, tune = {}, bloomlm._tune
+
+    def spied(texts, shared, *more):
+        seen["model"], seen["weight"] = shared.value, tune(texts, shared, *more)
+        return seen["weight"]
+
+    monkeypatch.setattr(bloomlm, "_tune", spied)
+    bloomlm.report(spark.createDataFrame(rows, "doc_id bigint, text string")).count()
+    m = bloomlm.Model(*seen["model"], 0.0)
+    tokens, first = bloomlm._tokens([t.encode() for d, t in rows if brute.fold(d, 7) != 2])
+    count = bloomlm._lookup(m.head, tokens)
+    share, context = m.bigram(tokens, first, count, 1)
+    p, share = m.unigram(np.maximum(count - 1, 0))[context], share[context]
+    gain = [np.log((w * share + (1 - w) * p) / p).sum() for w in bloomlm._GRID]
+    assert max(gain) > 0 and seen["weight"] == bloomlm._GRID[int(np.argmax(gain))]
+
+
 def test_language_model_defined_cases(spark):
     rows = [(1, None), (2, ""), (3, "a b a b"), (None, "a b"), (4, "z " * 100_000), (3, "a b a b")]
     df = spark.createDataFrame([(d, t, 0.0) for d, t in rows], "doc_id bigint, text string, base double")
