@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloomlm, decontam, fixity, langid, lines, packing, quality, secret_scan, setsketch, vectors
+from . import bloomlm, decontam, differencing, fixity, langid, lines, negatives, packing, prefix_trie, quality, secret_scan, setsketch, vectors
 from .staging import keep
 
 
@@ -145,6 +145,72 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose vec_id is divisible by 100, among all vectors."""
+    return negatives.report(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_OP11 = r"""
+with v as (
+  select row_number() over () rid, vec_id::bigint vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.rid anchor, a.vec_id anchor_id, b.rid, b.vec_id, a.label = b.label same, list_dot_product(a.q, b.q)::bigint score
+  from v a join v b on a.rid <> b.rid where a.vec_id % 100 = 0),
+pos as (select anchor, anchor_id, vec_id positive_id, score positive_score, row_number() over (partition by anchor order by score desc, vec_id, rid) place from s where same qualify place <= 5)
+select pos.anchor_id, positive_id, row_number() over (partition by pos.anchor, place order by score desc, vec_id, rid) rank, vec_id negative_id, positive_score, score negative_score
+from pos join s on s.anchor = pos.anchor and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
+def op12_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens, by Karmarkar-Karp differencing."""
+    return differencing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations with its rollups."""
+    return prefix_trie.report(_table(spark, sf_dir, "conversations"))
+
+
+ORACLE_OP13 = r"""
+with t as (
+  select conv_id::bigint conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) place,
+    length(coalesce(text, '')) n_chars, sha256(coalesce(role, '')) || sha256(coalesce(text, '')) turn_key
+  from conversations where conv_id is not null),
+-- crc32 of the decimal id, bit by bit
+n as (
+  select conv_id, count(*) n, conv_id - conv_id % 100 base,
+    xor(list_reduce([4294967295::bigint] || flatten(list_transform(string_split(conv_id::varchar, ''), lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295) % 6 h
+  from t group by conv_id),
+s as (select n.conv_id, n.base, n.h, least(n.h, coalesce(b.n, 0)) head, least(n.h, coalesce(b.n, 0)) + greatest(n.n - n.h, 0) len from n left join n b on b.conv_id = n.base),
+r as (
+  select s.conv_id, place, n_chars, turn_key from s join t on t.conv_id = s.base where place <= head
+  union all select s.conv_id, place - h + head, n_chars, turn_key from s join t using (conv_id) where place > h),
+p as (
+  select conv_id, place depth, n_chars, string_agg(turn_key, ',') over (partition by conv_id order by place rows unbounded preceding) prefix from r
+  union all select conv_id, 0, 0, '' from s),
+node as (
+  select depth, prefix, min(p.conv_id) conv_id, count(*) n_convs, max(n_chars) n_chars,
+    sha256(coalesce(string_agg(p.conv_id, ',' order by p.conv_id) filter (depth = len), '')) ends_sha256
+  from p join s using (conv_id) group by depth, prefix),
+up as (
+  select v.depth, v.prefix, u.prefix parent, u.conv_id parent_conv_id
+  from node v join p on p.conv_id = v.conv_id and p.depth = v.depth - 1 join node u on u.depth = p.depth and u.prefix = p.prefix),
+child as (select depth - 1 depth, parent prefix, count(*) n_children from up group by all),
+own as (select node.*, coalesce(n_children, 0) n_children, (n_convs - 1) * n_chars saved from node left join child using (depth, prefix)),
+total as (
+  select p.depth, p.prefix, sum((n_children = 0)::bigint) n_leaves, sum(saved) saved_tokens
+  from own v join p on p.conv_id = v.conv_id and p.depth <= v.depth group by all)
+select own.conv_id, own.depth::bigint depth, parent_conv_id, n_convs, n_children::bigint n_children, n_leaves::bigint n_leaves, saved_tokens::bigint saved_tokens, ends_sha256
+from own join total using (depth, prefix) left join up using (depth, prefix)
+"""
+
+
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_decontamination": (op1_decontamination, ORACLE_OP1),
     "op2_secrets": (op2_secrets, None),
@@ -156,6 +222,9 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op8_packing": (op8_packing, None),
     "op9_language_model": (op9_language_model, None),
     "op10_language": (op10_language, None),
+    "op11_hard_negatives": (op11_hard_negatives, ORACLE_OP11),
+    "op12_differencing": (op12_differencing, None),
+    "op13_prefix_trie": (op13_prefix_trie, ORACLE_OP13),
 }
 
 
