@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .staging import keep
-from .tokens import Encoder, token_ids
+from .tokens import token_ids, worker_encoder
 
 CAPACITY = 1024
 #: Remainders that are divided at once, and tasks whose last windows are.
-BUCKET = 1024
+BUCKET = 512
 END = 0
 #: Bits of a sequence's number within a task, and of the task's number.
 _OWN, _PART = 30, 28
@@ -48,10 +48,10 @@ _ARROW = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.i
 
 def differenced(sizes: list[int], k: int) -> list[list[int]]:
     """Karmarkar-Karp multiway differencing: the items of `k` near-equal windows."""
-    # a partition is its windows in use, fullest first: (tokens, items)
-    heap = [(-s, i, [(s, [i])]) for i, s in enumerate(sizes)]
+    # a partition is its windows in use, fullest first: (tokens below zero, node of a tree whose leaves are items)
+    heap = [(-s, i, [(-s, i)]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
-    born = len(heap)
+    born, joined = len(heap), []
     while len(heap) > 1:
         a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
         both = len(a) + len(b) - k
@@ -59,12 +59,25 @@ def differenced(sizes: list[int], k: int) -> list[list[int]]:
             merged = a + b
         else:  # the i-th fullest of `a` meets the i-th emptiest of `b`, which may be empty
             at, to = len(a) - both, len(b) - both
-            merged = a[:at] + [(x + y, i + j) for (x, i), (y, j) in zip(a[at:], reversed(b[to:]), strict=True)] + b[:to]
-        merged.sort(key=lambda w: -w[0])
-        imbalance = merged[0][0] - (merged[-1][0] if len(merged) == k else 0)
+            node = len(sizes) + len(joined)
+            pairs = list(zip(a[at:], reversed(b[to:]), strict=True))
+            joined += [(x[1], y[1]) for x, y in pairs]
+            merged = a[:at] + [(x[0] + y[0], node + i) for i, (x, y) in enumerate(pairs)] + b[:to]
+        merged.sort()
+        imbalance = (merged[-1][0] if len(merged) == k else 0) - merged[0][0]
         heapq.heappush(heap, (-imbalance, born, merged))
         born += 1
-    return [items for _, items in heap[0][2]] if heap else []
+    windows = []
+    for _, top in heap[0][2] if heap else ():
+        nodes, items = [top], []
+        while nodes:
+            v = nodes.pop()
+            if v < len(sizes):
+                items.append(v)
+            else:
+                nodes += joined[v - len(sizes)]
+        windows.append(items)
+    return windows
 
 
 def _length(pieces: list[tuple]) -> int:
@@ -126,7 +139,7 @@ class _Rows:
 
 def _first_level(docs: DataFrame, tokenizer: str, capacity: int, bucket: int, with_ids: bool) -> DataFrame:
     def run(batches):
-        encoder, rows, items = Encoder(tokenizer), _Rows(TaskContext.get().partitionId(), with_ids), []
+        encoder, rows, items = worker_encoder(tokenizer), _Rows(TaskContext.get().partitionId(), with_ids), []
         for batch in batches:
             ids_of, held, full, start = batch.column(0).to_pylist(), np.empty(0, np.uint32), [], 0
             for i, ids, last in token_ids(W.texts_of(batch.column(1)), encoder):
