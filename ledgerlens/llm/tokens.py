@@ -5,8 +5,10 @@ digits, of other visible characters, or of white space; a run of visible
 characters may take one space in front. So no part reaches from a visible
 character into white space after it, nor from a letter into an ASCII character
 that is none, and every part is encoded on its own. A text can be cut at both
-places. A stretch is what lies between two cuts. Each Python worker encodes a
-distinct stretch once and looks its ids up by a 64-bit hash after that.
+places, but not at a character of the tokenizer's added tokens, which it looks
+for in the whole text first (they have no white space). A stretch is what lies
+between two cuts. Each Python worker encodes a distinct stretch once and looks
+its ids up by a 64-bit hash after that.
 
 Texts are worked on in steps of about STEP bytes, long ones in several, so
 memory does not grow with a text (but for a single stretch longer than STEP).
@@ -46,12 +48,12 @@ _LATIN[0x80:0xC0] = True
 _LATIN[[0x97, 0xB7]] = False
 
 
-def cuts(raw: np.ndarray) -> np.ndarray:
-    """Places in a text's bytes where a stretch begins, other than 0."""
+def cuts(raw: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Places in a text's bytes where a stretch begins, other than 0; `marks` says which bytes do after a letter."""
     if len(raw) < 2:
         return np.empty(0, np.int64)
     space = _SPACE[raw]
-    at = np.flatnonzero((space[1:] & ~space[:-1]) | (_MARK[raw[1:]] & (_LETTER[raw[:-1]] | _LATIN[raw[:-1]]))) + 1
+    at = np.flatnonzero((space[1:] & ~space[:-1]) | (marks[raw[1:]] & (_LETTER[raw[:-1]] | _LATIN[raw[:-1]]))) + 1
     last, before = raw[at - 1], raw[np.maximum(at - 2, 0)]
     wide = _WIDE[before.astype(np.int64) << 8 | last]
     letter = _LETTER[last] | (_LATIN[last] & (before == 0xC3))
@@ -73,6 +75,9 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = _MARK.copy()
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            self.marks[list(token.content.encode())] = False
         # a line feed before every stretch is a part of its own, and no stretch with at most one space has one
         self.line_feed, = self._of("\n")
         self._forget()
@@ -132,7 +137,7 @@ class Encoder:
         return self.ids[place], size
 
 
-def _parts(texts: list[bytes | None]) -> Iterator[tuple[int, bytes, bool]]:
+def _parts(texts: list[bytes | None], marks: np.ndarray) -> Iterator[tuple[int, bytes, bool]]:
     """(text, bytes, whether the text ends here): long texts in several parts, cut where a stretch begins."""
     for i, t in enumerate(texts):
         t = t or b""
@@ -141,7 +146,7 @@ def _parts(texts: list[bytes | None]) -> Iterator[tuple[int, bytes, bool]]:
             # the last cut within a step, or the next one after it
             window, near = STEP, np.empty(0, np.int64)
             while not len(near) and lo + window // 2 < len(t):
-                near = cuts(np.frombuffer(t, np.uint8)[lo:lo + window])
+                near = cuts(np.frombuffer(t, np.uint8)[lo:lo + window], marks)
                 window *= 2
             if not len(near):
                 break
@@ -154,7 +159,7 @@ def _parts(texts: list[bytes | None]) -> Iterator[tuple[int, bytes, bool]]:
 def token_ids(texts: list[bytes | None], encoder: Encoder) -> Iterator[tuple[int, np.ndarray, bool]]:
     """(text, ids, whether the text ends here) in order; null texts are empty."""
     held, size = [], 0
-    for part in _parts(texts):
+    for part in _parts(texts, encoder.marks):
         if held and size + len(part[1]) > STEP:
             yield from _together(held, encoder)
             held, size = [], 0
@@ -167,7 +172,7 @@ def _together(parts: list[tuple[int, bytes, bool]], encoder: Encoder) -> Iterato
     raw = np.frombuffer(b"".join(t for _, t, _ in parts), np.uint8)
     edge = np.cumsum([0, *(len(t) for _, t, _ in parts)])
     begins = np.zeros(len(raw), bool)
-    begins[cuts(raw)] = True
+    begins[cuts(raw, encoder.marks)] = True
     begins[edge[:-1][np.diff(edge) > 0]] = True
     start = np.flatnonzero(begins)
     ids, size = encoder.ids_of(raw, start, np.append(start[1:], len(raw))[:len(start)]) if len(start) else (np.empty(0, np.uint32), np.empty(0, np.int64))
