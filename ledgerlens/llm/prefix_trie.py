@@ -258,7 +258,9 @@ def subtree_totals(trie: DataFrame, paths: DataFrame, component: int = COMPONENT
     root = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in _NODE])
     state = trie.select(_key(*_NODE).alias("key"), F.struct((F.col("depth") - 1).alias("depth"), F.col("p1").alias("x1"), F.col("p2").alias("x2")).alias("parent"), "depth", "conv_id", "weight",
                         *_TOTALS, *[F.lit(0).cast("bigint").alias(f"{c}_added") for c in _TOTALS], root.alias("comp"))
-    state = keep(_sized(state, component), "components")
+    # at first all nodes are one component
+    whole = trie.agg(F.when(F.count(F.lit(1)) > component, F.max("weight")).alias("total")).scalar()
+    state = keep(state.withColumn("total", whole), "components")
     done, small = [], [state.where("total IS NULL").drop("total")]
     while not state.where("total IS NOT NULL").isEmpty():
         finished, rest = _split(state.where("total IS NOT NULL"), paths)
