@@ -2,6 +2,7 @@ import brute
 import numpy as np
 import pytest
 from ledgerlens.llm import bloomlm, langid, quality, registry
+from pyspark.sql import functions as F
 
 
 def test_language_held_out(spark, sf_dir):
@@ -14,12 +15,11 @@ def test_language_held_out(spark, sf_dir):
 
 def test_language_equals_plain_naive_bayes(spark):
     docs = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("le chat et le chien", "fr"), ("Der Hund und die Katze!", "de"), ("this AND that", "en"), ("ça va très bien", "fr")])]
-    langs, matrix, prior = langid.train(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
-    letter = langid._letter_table()
+    model = langid.train(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
+    langs, tables = model.langs, langid._tables()
 
     def cells(text):
-        grams, _ = langid._features([text.encode()], letter)
-        return [c for bucket, a, b in grams for c in bucket[a[0]:b[0]].tolist()]
+        return [c for _, _, found in langid._grams([text.encode()], tables) for bucket, _ in found for c in bucket.tolist()]
 
     counts = np.full((len(langs), langid.ORDERS * langid.BUCKETS), 0.5)
     for _, t, lang in docs:
@@ -28,18 +28,53 @@ def test_language_equals_plain_naive_bayes(spark):
     logp = np.log(counts / counts.sum(axis=2, keepdims=True)).reshape(len(langs), -1)
     for text in ("the dog", "le chien", "die", "x", "été"):
         total = logp[:, cells(text)].sum(axis=1) + np.log(np.array([sum(x == k for _, _, x in docs) for k in langs]) / len(docs))
-        names, scores = langid._predict([text.encode()], letter, langs, matrix, prior)
+        names, scores, fit, size = langid._predict([text.encode()], tables, model)
         p = np.exp(total - total.max())
         assert names[0] == langs[total.argmax()] and abs(scores[0] - p.max() / p.sum()) < 1e-3
-
-
-def test_language_grams_do_not_cross_texts():
-    letter = langid._letter_table()
-    alone = [langid._features([t], letter)[0] for t in (b"ab", "ñ 1 x".encode(), b"", None, b"c")]
-    together = langid._features([b"ab", "ñ 1 x".encode(), b"", None, b"c"], letter)[0]
-    for i, one in enumerate(alone):
-        for (x, a, b), (y, c, d) in zip(one, together, strict=True):
-            assert x[a[0]:b[0]].tolist() == y[c[i]:d[i]].tolist()
+        assert size[0] == len(cells(text)) and abs(fit[0] - logp[total.argmax(), cells(text)].sum()) < 1e-2
+
+
+def _cells_by_text(texts, tables):
+    out = [[[] for _ in range(langid.ORDERS)] for _ in texts]
+    for rows, _, found in langid._grams(texts, tables):
+        for n, (bucket, of) in enumerate(found):
+            for b, i in zip(bucket.tolist(), of.tolist(), strict=True):
+                out[rows[i]][n].append(b)
+    return out
+
+
+def test_language_grams_do_not_depend_on_steps(monkeypatch):
+    texts = [b"ab", "ñ 1 x".encode(), b"", None, b"c", ("Ünï " * 40 + "日本語テスト 🙂 " * 30).encode(), b"  --  ", b"x" * 333, "Wörter, 12 + ЖЗИ!".encode() * 9]
+    tables = langid._tables()
+    whole = [_cells_by_text([t], tables)[0] for t in texts]
+    for step in (1, 2, 5, 64, 1 << 17):
+        monkeypatch.setattr(langid, "STEP", max(step, 4))
+        assert _cells_by_text(texts, tables) == whole
+    assert whole[1] == _cells_by_text(["  Ñ--x".encode()], tables)[0] and whole[2] == whole[3] == _cells_by_text([b" - "], tables)[0]
+
+
+def test_language_of_a_64_megabyte_text(spark):
+    import tracemalloc
+    docs = [(1, "the cat and the dog walk home", "en"), (2, "le chat et le chien rentrent", "fr")]
+    model = langid.train(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
+    text, tables = b"The dog and the cat, " * (3 << 20), langid._tables()
+    tracemalloc.start()
+    names, scores, _, size = langid._predict([text], tables, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 60 << 20 and names[0] == "en" and scores[0] == 1.0 and size[0] > 180_000_000 and peak < 64 << 20
+
+
+def test_texts_unlike_their_language_go(spark):
+    rng = np.random.default_rng(5)
+    en = "the of and to in is that was for on are with as his they be at one have this from by hot word but what some we can out other were all there when up use your how said an each she".split()
+    fr = "le de un être et à il avoir ne je son que se qui ce dans en du elle au pour pas vous par sur faire plus dire me on mon lui nous comme mais pouvoir avec tout y aller voir bien".split()
+    docs = [(i, " ".join(rng.choice(en if i % 2 else fr, rng.integers(5, 400)).tolist()), "en" if i % 2 else "fr", "k") for i in range(200)]
+    odd = [(1000, "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 3, None, "k"),
+           (1001, "qzx wvkj xxqz zzkw jqxv kkzq wxvz qqjx " * 8, None, "k"), (1002, "中文句子没有空格但是有很多汉字" * 9, None, "k")]
+    some = [(2000, " ".join(en), None, "k"), (2001, "Il voir bien tout y aller.", None, "k")]
+    kept = {r.doc_id for r in langid.keep_identified(spark.createDataFrame(docs + odd + some, "doc_id bigint, text string, lang string, lang_pred string")).collect()}
+    assert kept == {d[0] for d in docs + some}
 
 
 def test_language_defined_cases(spark):
@@ -49,8 +84,12 @@ def test_language_defined_cases(spark):
     assert got[2] == got[3] == got[4] == ("und", 0.0) and got[1][0] in ("en", "fr", "und")
     kept = langid.keep_identified(df)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} >= {1, 5} and not {2, 3, 4} & {r.doc_id for r in kept.collect()}
-    blank = df.withColumn("lang", df["lang"].substr(100, 1))
-    assert {r.lang_pred for r in langid.report(blank).collect()} == {"und"}
+    none = df.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in langid.report(none).collect()} == {"und"}
+    assert langid.keep_identified(none).count() == df.count()
+    blank = df.withColumn("lang", F.lit(""))
+    assert {r.lang_pred for r in langid.report(blank).collect()} == {"und", ""}
+    assert {r.lang_pred for r in kept.collect()} == {"k"}
     assert langid.report(df.limit(0)).count() == 0
     with pytest.raises(ValueError, match="languages"):
         langid.train(spark.range(200).selectExpr("id doc_id", "'a' text", "cast(id as string) lang"))
