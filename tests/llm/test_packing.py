@@ -9,9 +9,7 @@ from tokenizers import Tokenizer
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(registry.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(registry.tokenizer_path())
 
 
 def _ids(tokenizer, text):
@@ -45,7 +43,7 @@ def test_query_on_whole_table(spark, sf_dir, tokenizer):
     assert _check_layout(got, 4096) <= -(-sum(r.length for r in got) // 4096) + 1
 
 
-HARD = ["", None, "It's  THE dogs' we'll\tDON'T x y", "ÀÉ é İstanbul İ ß ﬁ ½ ² ٣٤", "日本語テスト 你好 🙂🙂 \x00\x01", "<|endoftext|> <|startoftext|>a", "a" * 5000, "12345 1,000.50 ...!!! ''' 're",
+HARD = ["", None, "It's  THE dogs' we'll\tDON'T x y", "ÀÉ é İstanbul İ ß ﬁ ½ ² ٣٤", "日本語テスト 你好 🙂🙂 \x00\x01", "<|endoftext|> <|startoftext|>a", "a <|endoftext|> b<|startoftext|>", "x<|endoftext|><|endoftext|>y\t<|startoftext|>", "a" * 5000, "12345 1,000.50 ...!!! ''' 're",
         "́x ͅ Σίσυφος ΣΑΣ", "word " * 9000, "x\x0by\x0cz\r\n\x1c\x1d\x85w"]
 
 
