@@ -1,28 +1,51 @@
 """Fuzzy line deduplication in SQL functions only.
 
 A line is normalised: lower case, every run of digits as 0, every run of ASCII
-characters that are neither letters nor digits as one space. Lines with equal normal forms are one class. A class
-has a 64-bit SimHash over its words. Two classes are linked if their SimHashes
-differ in at most DISTANCE = 3 bits and the edit distance of the normal forms
-is at most 1 - `similarity` of the longer one's length. Of every connected
-group of lines one occurrence stays, the first by doc_id (nulls last) and line.
-
-Candidates by the pigeonhole principle: the 64 bits form five blocks; if at
-most three bits differ, at least two blocks are equal, so each class has a key
-for every two of the five blocks. Buckets of at most SMALL classes are compared
-pair by pair. The classes of a larger bucket are compared with two pivots of it
-first; only where it still holds several connected groups are the classes
-outside its largest group compared with the other groups' classes there. So the
-groups equal those of all pairs, and no hot bucket sends out all its pairs.
-
-Defined cases: a line without letters, digits or non-ASCII characters is never removed; a null text
-stays null; an empty text is one empty line; of repeated rows the later ones
-lose the lines that the first keeps; a null doc_id comes after all others.
+characters that are neither letters nor digits as one space. Lines with equal
+normal forms are one class. Two classes are linked if they share a key and the
+edit distance of their normal forms is at most 1 - `similarity` of the longer
+one's length. Of every connected group of lines one occurrence stays, the first
+by doc_id (nulls last) and line.
+
+Keys by the pigeonhole principle: a line is cut into parts, two counted from its
+left end, two from its right end and what lies between. An exchanged character
+spoils one part; an inserted or missing one spoils its own and those between it
+and the middle, which is counted from both ends. Each part has a 64-bit SimHash
+over its three thirds (a bit is set if it is in two of their hashes), and
+unspoiled parts have equal ones. A key holds the SimHashes of some parts, so few
+enough edits leave a key that both lines have:
+
+* lines of up to 25 bytes: either half, by the longer line's length, so any one
+  edit leaves a key, and from 18 on any three of five parts;
+* up to 86 bytes: any pair of the left two parts or of the other three, so any two
+  spoiled parts leave a key;
+* longer ones: any part, so any four spoiled parts leave a key.
+
+Part lengths follow from steps of a factor 1.5 in the line's length, and a line
+near the end of a step has the keys of the next one too. Words play no role, so
+scripts without spaces are treated alike. A line with an edit in every part has
+no key in common with its original; README gives the recall by edits and length.
+
+The classes of a bucket (a key) are compared with its first class; only where a
+bucket then still holds several connected groups are the classes outside its
+largest group compared with the other groups' classes there, if the lengths
+allow it. So the groups equal those of all pairs of a bucket, and no bucket of
+near lines sends out all its pairs. Before an edit distance is taken, common
+ends are cut off by bisection, so its cost follows from what lies between the
+first and the last edit.
+
+Defined cases: a line without letters, digits or non-ASCII characters is never
+removed; a null text stays null; an empty text is one empty line; lines under 9
+characters are only ever equal; lines and texts of any length are whole; of
+equal lines the first stays; of repeated rows the later ones lose the lines that
+the first keeps; a null doc_id comes after all others; an empty table gives no
+rows; columns with other names, also those used here, are kept as they are.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,97 +53,127 @@ from pyspark.sql import functions as F
 from .components import components
 from .staging import keep
 
-DISTANCE = 3
 SIMILARITY = 0.9
-#: Bits of the five blocks of a SimHash, from the highest.
-BLOCKS = (13, 13, 13, 13, 12)
-#: Words that are counted at once.
-PART = 16_000
-#: Buckets of at most so many classes are compared pair by pair.
-SMALL = 32
+#: Step between line lengths that are cut alike.
+STEP = 1.5
+#: Steps from which pairs of parts, and single parts, are keys: lengths of 25.6 and 86.5.
+PAIRS, SINGLES = 8, 11
+#: Bytes that an edit can change a line's length by.
+_WIDEST = 3
+#: Share of a step's least length that each part at an end has.
+SHARE = 0.2
 
 
 def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), "[0-9]+", "0"))
 
 
-def _majority(sums: dict[int, Column], n: Column, width: int) -> Column:
-    """64 bits from counts in lanes of `width` bits (counts below 2**(width - 2)): is a count more than half of `n`?"""
-    lanes = sum(1 << (width * i) for i in range(64 // width))
-    lift = (F.lit(1 << (width - 2)) - F.shiftright(n, 1) - 1) * F.lit(lanes)  # sets bit width - 2 of such lanes
-    out = F.lit(0).cast("bigint")
-    for j, s in sums.items():
-        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(s + lift, width - 2).bitwiseAND(F.lit(lanes)), j))
-    return out
+def _third(text: Column, start: Column, size: Column, i: int) -> Column:
+    """Hash of the i-th third of `size` bytes from `start` (1 is the first)."""
+    third = F.floor(size / 3).cast("int")
+    return F.xxhash64(F.lit(i), F.substring(text, start + third * i, third if i < 2 else size - third * 2))
 
 
-def with_simhash(df: DataFrame, keys: list[str], words: str, name: str = "sim") -> DataFrame:
-    """`keys` (one row for each) and the 64-bit SimHash of a column with an array of words.
+def simhash(text: Column, start: Column, size: Column) -> Column:
+    """64-bit SimHash of `size` bytes from `start`: a bit is set if it is in two of the thirds' hashes."""
+    thirds = F.array(*[_third(text, start, size, i) for i in range(3)])
+    # a list of one array, so that each hash is made once
+    return F.transform(F.array(thirds), lambda h: h[0].bitwiseAND(h[1]).bitwiseOR(h[2].bitwiseAND(h[0].bitwiseOR(h[1]))))[0]
 
-    The words' hashes are added up per bit, four counts of 16 bits in each of
-    16 sums, in parts of PART words; the parts of longer lines are then added
-    in counts of 32 bits. A bit is set if it is set for more than half of the words.
+
+def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataFrame:
+    """`df` with `size`, the length of the normal form in column `text`, and `keys`, all its keys as an array of longs.
+
+    Parts are cut by bytes, which needs no look at the characters before them.
+    Lengths and widths are columns of their own, so that each is made once.
     """
-    exploded = df.select(*keys, F.size(words).alias("_size"), F.posexplode_outer(words).alias("_at", "_w")).withColumn("_h", F.xxhash64("_w"))
-    part = F.expr(f"coalesce(_at div {PART}, 0)").alias("_part")
-    lane = F.lit(sum(1 << (16 * i) for i in range(4)))
-    sums = exploded.groupBy(*keys, part).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_size").alias("_size"),
-        *[F.sum(F.shiftrightunsigned("_h", j).bitwiseAND(lane)).alias(f"_s{j}") for j in range(16)])
-    whole = sums.where(F.coalesce("_size", F.lit(0)) <= PART).select(*keys, _majority({j: F.col(f"_s{j}") for j in range(16)}, F.col("_n"), 16).alias(name))
-    count = lambda j, i: F.shiftrightunsigned(f"_s{j}", 16 * i).bitwiseAND(F.lit(0xFFFF))
-    wide = {16 * i + j: F.sum(count(j, i).bitwiseOR(F.shiftleft(count(j, i + 2), 32))) for j in range(16) for i in (0, 1)}
-    long = (sums.where(F.col("_size") > PART).groupBy(*keys).agg(F.sum("_n").alias("_n"), *[c.alias(f"_s{j}") for j, c in wide.items()])
-            .select(*keys, _majority({j: F.col(f"_s{j}") for j in wide}, F.col("_n"), 32).alias(name)))
-    return whole.unionByName(long)
-
-
-def _keys(sim: str) -> Column:
-    """One value for every two of the five blocks."""
-    low, parts = 64, []
-    for bits in BLOCKS:
-        low -= bits
-        parts.append(F.shiftrightunsigned(sim, low).bitwiseAND(F.lit((1 << bits) - 1)))
-    pairs = enumerate(itertools.combinations(range(len(BLOCKS)), 2))
-    return F.array(*[F.lit(i << 32).bitwiseOR(F.shiftleft(parts[a], 13)).bitwiseOR(parts[b]) for i, (a, b) in pairs])
-
-
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose SimHashes differ in at most DISTANCE bits."""
-    side = lambda x: classes.select(F.col("c").alias(x), F.col("sim").alias(f"sim_{x}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE).select("a", "b"))
-
-
-def _linked(near: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    kept, t, n = df.columns, F.col("bytes"), F.col("n")
+    one, two = round(1 / (1 - similarity)), math.ceil(2 / (1 - similarity) - 1e-9)  # lengths from which one and two edits are allowed
+    step = lambda size: F.floor(F.log(F.greatest(size, F.lit(1.0))) / math.log(STEP) + 1e-9).cast("int")
+    df = df.withColumns({"size": F.length(text), "bytes": F.col(text).cast("binary"), "n": F.octet_length(text)})
+    # a partner may be longer by the allowed edits, so it may be of the next step
+    df = df.withColumns({"step0": step(n.cast("double")), "step1": step(n / similarity + 1e-6)})
+    width = lambda s: F.floor(F.pow(F.lit(STEP), F.col(s)) * SHARE).cast("int")
+    long = n >= math.ceil(two * similarity - 1e-9)
+    used = {0: long, 1: long & (F.col("step1") != F.col("step0"))}
+    df = df.withColumns({f"w{k}": F.when(used[k], width(f"step{k}")) for k in used})
+    sims = {}
+    for k in used:
+        w = F.col(f"w{k}")
+        parts = [(F.lit(1), w), (w + 1, w), (2 * w + 1, n - 4 * w), (n - 2 * w + 1, w), (n - w + 1, w)]
+        parts = F.array(*[F.struct(start.cast("int").alias("start"), size.cast("int").alias("size")) for start, size in parts])
+        sims[f"s{k}"] = F.when(w.isNotNull(), F.transform(parts, lambda p: simhash(t, p["start"], p["size"])))
+    df = df.withColumns(sims)
+    none = F.array().cast("array<bigint>")
+
+    def of_step(k: int) -> Column:
+        at = F.col(f"step{k}")
+        key = lambda chosen: F.array(*[F.xxhash64(F.lit(i), at, *[F.col(f"s{k}")[j] for j in c]) for i, c in enumerate(chosen)])
+        return (F.when(F.col(f"w{k}").isNull(), none).when(at >= SINGLES, key([(j,) for j in range(5)]))
+                .when(at >= PAIRS, key([(0, 1), (2, 3), (2, 4), (3, 4)])).otherwise(key(list(itertools.combinations(range(5), 3)))))
+
+    def halves(longer: Column) -> Column:
+        h = F.floor((longer - _WIDEST) / 2).cast("int")
+        return F.array(*[F.xxhash64(F.lit(100 + j), longer, simhash(t, start, h)) for j, start in enumerate((F.lit(1), n - h + 1))])
+
+    longer = F.transform(F.sequence(F.lit(0), F.lit(_WIDEST)), lambda i: n + i)
+    short = F.when((n >= one - 1) & (F.col("step0") < PAIRS), F.flatten(F.transform(longer, halves))).otherwise(none)
+    df = df.withColumns({"k0": of_step(0), "k1": of_step(1), "k2": short})
+    return df.select(*kept, "size", F.concat("k0", "k1", "k2").alias("keys"))
+
+
+def _common(a: Column, b: Column, cut, most: int = 26) -> Column:
+    """The number of characters that a and b share at one end, by bisection; cut(text, n) takes n from that end."""
+    room = F.least(F.length(a), F.length(b))
+    return F.aggregate(F.array(*[F.lit(1 << i) for i in range(most, -1, -1)]), F.lit(0),
+                       lambda n, p: F.when((n + p <= room) & (cut(a, n + p) == cut(b, n + p)), n + p).otherwise(n))
+
+
+def _linked(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose normal forms are similar."""
     side = lambda x: lines.select(F.col("c").alias(x), F.col("norm").alias(f"norm_{x}"))
     longer = F.greatest(F.length("norm_a"), F.length("norm_b"))
     most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    both = near.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
     both = both.where(F.abs(F.length("norm_a") - F.length("norm_b")) <= F.col("most"))
+    # each step is made inside a generator, so that it is made once
+    x, y = F.col("norm_a"), F.col("norm_b")
+    head = _common(x, y, lambda t, n: F.substring(t, F.lit(1), n))
+    both = both.select("a", "b", "most", "norm_a", "norm_b", F.explode(F.array(head)).alias("head"))
+    rest = lambda t: F.substring(t, F.col("head") + 1, F.length(t))
+    both = both.select("a", "b", "most", F.inline(F.array(F.struct(rest(x).alias("x"), rest(y).alias("y")))))
+    tail = _common(F.col("x"), F.col("y"), lambda t, n: F.right(t, n))
+    both = both.select("a", "b", "most", "x", "y", F.explode(F.array(tail)).alias("tail"))
+    left = lambda t: F.substring(F.col(t), F.lit(1), F.length(t) - F.col("tail"))
+    both = both.select("a", "b", "most", F.inline(F.array(F.struct(left("x").alias("x"), left("y").alias("y")))))
     # the band that is searched grows with the limit, and most pairs are far nearer than it
-    return both.where(F.expr("""CASE WHEN levenshtein(norm_a, norm_b, least(most, 16)) >= 0 THEN true WHEN most <= 16 THEN false
-        WHEN levenshtein(norm_a, norm_b, least(most, 128)) >= 0 THEN true WHEN most <= 128 THEN false
-        ELSE levenshtein(norm_a, norm_b, most) >= 0 END""")).select("a", "b")
+    return both.where(F.expr("""CASE WHEN greatest(length(x), length(y)) <= most THEN true
+        WHEN levenshtein(x, y, least(most, 16)) >= 0 THEN true WHEN most <= 16 THEN false
+        WHEN levenshtein(x, y, least(most, 128)) >= 0 THEN true WHEN most <= 128 THEN false
+        ELSE levenshtein(x, y, most) >= 0 END""")).select("a", "b")
 
 
-def _across(members: DataFrame, sims: DataFrame, roots: DataFrame) -> DataFrame:
-    """Near pairs (a, b) of a bucket that have different roots.
+def _across(members: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket that are in different groups and near enough in length.
 
-    `members`: key, c; `sims`: c, sim; `roots`: c, root of the classes that are not alone.
+    `members`: key, c, size; `roots`: c, root of the classes that are not alone.
     In each bucket the classes outside its largest group meet all classes of
     other groups; buckets with the same classes are looked at once.
     """
-    placed = keep(members.join(roots, "c", "left").select("key", "c", F.coalesce("root", "c").alias("root")), "placed")
+    placed = keep(members.join(roots, "c", "left").select("key", "c", "size", F.coalesce("root", "c").alias("root")), "placed")
     of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c")).alias("x"))
     mixed = (of_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.bit_xor("x").alias("x"))
-             .where("roots > 1").groupBy("x", "n").agg(F.min(F.struct("key", "most")).alias("b"))
+             # of two classes one was the pivot of the other
+             .where("roots > 1 AND n > 2").groupBy("x", "n").agg(F.min(F.struct("key", "most")).alias("b"))
              .select("b.key", F.col("b.most.root").alias("main")))
-    here = placed.join(mixed, "key").join(sims, "c")
-    stray = here.where("root != main").select("key", F.col("c").alias("a"), F.col("root").alias("root_a"), F.col("sim").alias("sim_a"))
-    other = here.select("key", F.col("c").alias("b"), F.col("root").alias("root_b"), F.col("sim").alias("sim_b"))
-    return keep(stray.join(other, "key").where((F.col("root_a") != F.col("root_b")) & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE))
+    here = placed.join(mixed, "key")
+    side = lambda x: (F.col("c").alias(x), F.col("root").alias(f"root_{x}"), F.col("size").alias(f"size_{x}"))
+    stray = here.where("root != main").select("key", "main", *side("a"))
+    other = here.select("key", *side("b"))
+    near = F.least("size_a", "size_b") >= F.floor(F.greatest("size_a", "size_b") * similarity - 1e-9)
+    # two strays meet once
+    once = (F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))
+    return keep(stray.join(other, "key").where((F.col("root_a") != F.col("root_b")) & once & near)
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "across")
 
 
@@ -134,34 +187,14 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _groups(classes: DataFrame, lines_of, similarity: float) -> DataFrame:
-    """(c, root) of every class in a connected group of several classes.
-
-    SimHashes alone come first: near pairs of small buckets; for others, groups
-    by distance (pivots, then what they leave apart). All links lie within
-    those groups, so text is needed for their classes only. Then the same with
-    edit similarity as well.
-    """
-    keys = classes.select("c", "sim", F.explode(_keys("sim")).alias("key"))
-    mix = F.xxhash64("key")
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    shared = keep(counts.where("n > 1"), "shared-keys")
-    member = keys.join(shared.where(F.col("n") <= SMALL).select("key"), "key")
-    side = lambda x: member.select("key", F.col("c").alias(x), F.col("sim").alias(f"sim_{x}"))
-    distance = F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b")))
-    near = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (distance <= DISTANCE)).select("a", "b")
-    large = keep(keys.drop("sim").join(shared.where(F.col("n") > SMALL).select("key"), "key"), "large-buckets")
-    pivots = (large.groupBy("key").agg(F.min(F.col("c").bitwiseXOR(mix)).alias("lo"), F.max(F.col("c").bitwiseXOR(mix)).alias("hi"))
-              .select("key", F.array(F.col("lo").bitwiseXOR(mix), F.col("hi").bitwiseXOR(mix)).alias("pivots")))
-    pairs = large.join(pivots, "key").select(F.explode("pivots").alias("a"), F.col("c").alias("b")).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = keep(near.unionByName(_near(pairs.distinct(), classes)).distinct(), "near")
-    hash_roots = keep(components(near).toDF("c", "root"), "roots")
-    near = near.unionByName(_across(large, classes, hash_roots))
-    hash_roots = _merged(hash_roots, near)
-    lines = keep(lines_of(hash_roots.select("c")), "candidate-lines")
-    roots = keep(components(_linked(near, lines, similarity)).toDF("c", "root"), "roots")
-    # in large buckets, classes of one group by distance can still be linked
-    together = large.join(hash_roots.withColumnRenamed("root", "group"), "c").select("c", F.xxhash64("key", "group").alias("key"))
-    return _merged(roots, _linked(_across(together, classes, roots), lines, similarity))
+    """(c, root) of every class in a connected group of several classes; `classes`: c, size, keys."""
+    keys = classes.select("c", "size", F.explode("keys").alias("key"))
+    shared = keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("pivot")).where("n > 1").drop("n"), "shared-keys")
+    member = keep(keys.join(shared, "key"), "buckets")
+    pairs = member.where("c != pivot").select(F.col("pivot").alias("a"), F.col("c").alias("b")).distinct()
+    lines = keep(lines_of(member.select("c").distinct()), "candidate-lines")
+    roots = keep(components(keep(_linked(pairs, lines, similarity), "links")).toDF("c", "root"), "roots")
+    return _merged(roots, keep(_linked(_across(member.drop("pivot"), roots, similarity), lines, similarity), "links"))
 
 
 def _hashed(norm: Column, h: Column) -> Column:
@@ -178,11 +211,11 @@ def occurrences(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows = docs.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("rid"), F.xxhash64(text).alias("th"))
     # normal forms are made inside the generator, so that each is made once
     lines = rows.select("rid", "doc_id", "th", F.posexplode_outer(F.transform(F.split("text", "\n", -1), normalised)).alias("line_no", "norm"))
-    keys = ["rid", "doc_id", "th", "line_no", "h1", "h2"]
     # a text's hash goes with its first line
-    found = keep(with_simhash(lines.select("rid", "doc_id", F.when(F.col("line_no") == 0, F.col("th")).alias("th"), "line_no", h1, h2, F.split("norm", " ").alias("words")), keys, "words"), "lines")
-    who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "rid")
-    classes = keep(found.where("h1 is not null").groupBy("h1", "h2").agg(F.min(who).alias("who"), F.first("sim").alias("sim"))
+    hashed = lines.select("rid", "doc_id", F.when(F.col("line_no") == 0, F.col("th")).alias("th"), "line_no", h1, h2, "norm")
+    found = keep(with_keys(hashed, "norm", similarity).drop("norm"), "lines")
+    who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "rid", "size", "keys")
+    classes = keep(found.where("h1 is not null").groupBy("h1", "h2").agg(F.min(who).alias("who"))
                    .withColumn("c", F.monotonically_increasing_id()), "line-classes")
 
     def lines_of(some: DataFrame) -> DataFrame:
@@ -199,12 +232,13 @@ def occurrences(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         again = raw.select(F.explode(F.array(normalised(F.col("line")))).alias("norm")).select("norm", h1, h2)
         return again.join(wanted.select("c", "h1", "h2"), ["h1", "h2"]).select("c", "norm").dropDuplicates(["c"])
 
-    groups = _groups(classes.select("c", "sim"), lines_of, similarity)
-    joined = classes.select("h1", "h2", "who", "c").join(groups, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    groups = _groups(classes.select("c", "who.size", "who.keys"), lines_of, similarity)
+    first = F.struct("who.no_id", "who.doc_id", "who.line_no", "who.rid")
+    joined = classes.select("h1", "h2", first.alias("who"), "c").join(groups, "c", "left").withColumn("root", F.coalesce("root", "c"))
     first = joined.groupBy("root").agg(F.min("who").alias("first"))
     of_class = joined.select("h1", "h2", "root").join(first, "root").select("h1", "h2", "first")
     mine = (F.col("first.rid") == F.col("rid")) & (F.col("first.line_no") == F.col("line_no"))
-    return found.drop("sim").join(of_class, ["h1", "h2"], "left").select(
+    return found.drop("size", "keys").join(of_class, ["h1", "h2"], "left").select(
         "rid", "doc_id", "th", "line_no", (F.col("first").isNull() | mine).alias("kept"), "first")
 
 

@@ -112,12 +112,13 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def kept_lines(docs, simhash, distance=3, similarity=0.9):
-    """{(row, line_no)} that stay; docs: (doc_id, text) rows; simhash: {normal form: bits}."""
+def kept_lines(docs, keys=None, similarity=0.9):
+    """{(row, line_no)} that stay; docs: (doc_id, text) rows; keys: {normal form: set}, of which two
+    linked lines share one (None: any two similar lines are linked)."""
     groups, forms = Groups(), sorted({normal_line(x) for _, t in docs for x in (t or "").split("\n")} - {""})
     for i, a in enumerate(forms):
         for b in forms[:i]:
-            if bin((simhash[a] ^ simhash[b]) & (2**64 - 1)).count("1") <= distance and edit_distance(a, b) <= math.floor(max(len(a), len(b)) * (1 - similarity) + 1e-9):
+            if (keys is None or keys[a] & keys[b]) and edit_distance(a, b) <= math.floor(max(len(a), len(b)) * (1 - similarity) + 1e-9):
                 groups.link(a, b)
     first, kept = {}, set()
     rows = sorted((d is None, d if d is not None else 0, k, r, line) for r, (d, t) in enumerate(docs) if t is not None for k, line in enumerate(t.split("\n")))

@@ -5,9 +5,9 @@ from ledgerlens.llm import lines, registry
 from pyspark.sql import functions as F
 
 
-def _simhash(spark, forms):
-    df = lines.with_simhash(spark.createDataFrame([(f,) for f in forms], "f string").withColumn("w", F.split("f", " ")), ["f"], "w")
-    return {r.f: r.sim for r in df.select("f", "sim").collect()}
+def _keys(spark, forms):
+    df = spark.createDataFrame([(f,) for f in forms], "f string")
+    return {r.f: set(r["keys"]) for r in lines.with_keys(df, "f").collect()}
 
 
 def _forms(docs):
@@ -39,8 +39,7 @@ def _docs():
 def test_groups_equal_brute_force(spark):
     docs = _docs()
     df = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
-    sims = _simhash(spark, _forms(docs))
-    want = brute.kept_lines(docs, sims)
+    want = brute.kept_lines(docs, _keys(spark, _forms(docs)))
     assert _kept(lines.occurrences(df)) == want
     near = len({(r, k) for r, (_, t) in enumerate(docs) if t is not None for k in range(len(t.split("\n")))}) - len(want)
     assert near > 100
@@ -48,7 +47,7 @@ def test_groups_equal_brute_force(spark):
 
 def test_dedup_returns_the_kept_lines(spark):
     docs = _docs()
-    want = brute.kept_lines(docs, _simhash(spark, _forms(docs)))
+    want = brute.kept_lines(docs, _keys(spark, _forms(docs)))
     df = spark.createDataFrame([(d, t, "k", 1) for d, t in docs], "doc_id bigint, text string, kept string, line_no int").coalesce(1)
     out = lines.dedup_lines(df)
     assert out.columns == df.columns
@@ -75,14 +74,68 @@ def test_empty_table(spark):
     assert lines.report(df).count() == 0 and lines.dedup_lines(df).count() == 0
 
 
-def test_simhash_of_short_and_long_lines(spark):
-    rng = random.Random(1)
-    forms = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)) for n in (1, 2, 127, 128, 32767, 32768)]
-    df = spark.createDataFrame([(f,) for f in forms], "f string").withColumn("w", F.split("f", " "))
-    hashes = {r.f: r.h for r in df.select("f", F.expr("transform(w, x -> xxhash64(x))").alias("h")).collect()}
-    for r in lines.with_simhash(df, ["f"], "w").collect():
-        bits = sum(1 << b for b in range(64) if 2 * sum((h >> b) & 1 for h in hashes[r.f]) > len(hashes[r.f]))
-        assert bits == r.sim & (2**64 - 1)
+def _edited(rng, text, n_edits, kinds="xid"):
+    """`text` after n random edits: exchanged, inserted or deleted characters."""
+    t = list(text)
+    for _ in range(n_edits):
+        i, kind = rng.randrange(1, len(t) - 1), rng.choice(kinds)
+        t[i:i + (kind != "i")] = [] if kind == "d" else [rng.choice([c for c in "qwzßжい" if c != t[i]])]
+    return "".join(t)
+
+
+def _line(rng, n_words):
+    if n_words == 0:  # without spaces
+        return "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(40))
+    return " ".join("".join(rng.choice("abcdefghijklmnoprstuvy") for _ in range(rng.randint(2, 9))) for _ in range(n_words))
+
+
+def test_recall_by_edits(spark):
+    """Pairs that are similar by their edits alone, on lines of 2 to 100 words and on lines without spaces: the share with a common key."""
+    rng, pairs = random.Random(11), {}
+    for n_words in (0, 2, 3, 5, 12, 20, 50, 100):
+        base = [_line(rng, n_words) for _ in range(40)]
+        for n_edits, kinds in ((1, "xid"), (2, "x"), (2, "xid"), (4, "x"), (4, "xid")):
+            made = [(brute.normal_line(b), brute.normal_line(_edited(rng, b, n_edits, kinds))) for b in base]
+            similar = [(a, b) for a, b in made if a != b and 10 * n_edits <= max(len(a), len(b))]
+            if len(similar) > 10:
+                pairs[n_words, n_edits, kinds] = similar
+    keys = _keys(spark, sorted({x for some in pairs.values() for p in some for x in p}))
+    found = {k: round(sum(bool(keys[a] & keys[b]) for a, b in some) / len(some), 2) for k, some in pairs.items()}
+    print(found)
+    assert all(v == 1 for (_, n, kinds), v in found.items() if n == 1 or (n, kinds) == (2, "x"))
+    assert all(v >= 0.7 for (w, n, _), v in found.items() if n == 2)
+    assert all(v >= 0.9 for (w, n, kinds), v in found.items() if (n, kinds) == (4, "x") and w >= 20)
+
+
+def test_copies_with_one_typo_go(spark):
+    """End to end: of 200 lines each with a copy with one changed letter, no copy stays."""
+    rng = random.Random(12)
+    base = [_line(rng, n) for n in (0, 5, 12, 50) for _ in range(50)]
+    docs = [(i, b) for i, b in enumerate(base)] + [(1000 + i, _edited(rng, b, 1)) for i, b in enumerate(base)]
+    got = lines.report(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)).collect()
+    assert {r.doc_id for r in got if r.n_removed} == {1000 + i for i in range(200)}
+
+
+def test_buckets_of_unlike_and_of_near_lines(spark):
+    """A bucket with one group of near lines, and one whose lines share a beginning only."""
+    rng = random.Random(13)
+    near = _line(rng, 15)
+    docs = [(i, _edited(rng, near, 1 + i % 2)) for i in range(60)]
+    start = _line(rng, 12)
+    docs += [(100 + i, f"{start} {_line(rng, 9)}") for i in range(40)]
+    keys = _keys(spark, _forms(docs))
+    assert _kept(lines.occurrences(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1))) == brute.kept_lines(docs, keys)
+
+
+def test_very_long_lines(spark):
+    """Lines of over a megabyte, one with an edit, one with words that have changed places."""
+    rng = random.Random(14)
+    words = [_line(rng, 1) for _ in range(250_000)]
+    other = words.copy()
+    other[100_000], other[100_050] = "zzz", "qqq"
+    docs = [(1, " ".join(words)), (2, " ".join(other)), (3, "x" * 2_000_000), (4, "x" * 1_000_000 + "y" + "x" * 999_999)]
+    got = {r.doc_id: r.n_removed for r in lines.report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 1}
 
 
 def test_query_on_whole_table(spark, sf_dir):
