@@ -15,7 +15,8 @@ from .plans import daily, fees, line_items, merchant, primitives as pr, tracing
 from .plans import oracle_primitives as op
 from .plans import oracle_daily as od, oracle_merchant as om, oracle_reports as orr
 from .sources.fixtures import PLATFORM_ACCOUNT, oracle_ctes
-from .sources.tables import csv_lines, load_tables
+from .sources.report_csv import OPTIONS, csv_lines, plain_numbers
+from .sources.tables import load_tables
 
 # Whole-data report window: the driver's orders run 1995-01-01 .. 2001-08-01
 # and derived activity trails them by at most ~45 days.
@@ -104,6 +105,9 @@ register("sales_one_merchant",
          orr.SALES_ONE_MERCHANT)
 register("dispute_dashboard_csv", lambda t: csv_lines(tracing.dispute_dashboard(t, AS_OF, MONTHS)),
          orr.DISPUTE_DASHBOARD_CSV)
+register("activity_report_csv",
+         lambda t: csv_lines(plain_numbers(line_items.activity_report(t, LOAD_TIME, CURRENCY, PERIOD_SINCE)), **OPTIONS),
+         orr.activity_report_csv_sql("2000-07-01", "2000-08-01", CURRENCY))
 
 # Operator-level queries on the driver tables.
 # Months for the semi-join check: one per year of the data.

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,9 +22,16 @@ def count_if(pred: Column) -> Column:
     return F.count_if(pred)
 
 
-def count_distinct_if(pred: Column, value: Column) -> Column:
-    """count(distinct case when p then x end) - exact."""
-    return F.count_distinct(F.when(pred, value))
+def distinct_counts(df: DataFrame, keys: list, value: str, **flags: Column) -> DataFrame:
+    """Exact count(distinct value) per `keys` for the rows of each flag, in two levels and without an expand.
+
+    A value is reduced to one row per group on the map side first, with all its
+    flags in it; the second level adds them up. Groups whose values are all
+    null have no row.
+    """
+    once = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[F.max(F.when(p, 1).otherwise(0)).alias(n) for n, p in flags.items()])
+    names = [c for c in once.columns if c != value and c not in flags]
+    return once.groupBy(*names).agg(*[F.sum(n).alias(n) for n in flags])
 
 
 def minor_to_major(c) -> Column:

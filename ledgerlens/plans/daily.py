@@ -14,15 +14,17 @@ a day); that fan-out is not reproduced (see README, D4).
 
 from __future__ import annotations
 
-import datetime as dt
 import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_distinct_if, count_if, in_days, local_day, sum_if, zero_major
+from ..functions import count_if, distinct_counts, in_days, local_day, sum_if, zero_major
 from ..operators.calendars import calendar_days, gate_joined
 from ..operators.attribution import attributed_daily
+from ..operators.links import lookup
+from ..operators.presence import days_seen, days_unseen
+from ..operators.reduction import reduced
 
 CHARGE_TYPES = ("payment", "charge")
 REFUND_TYPES = ("payment_refund", "refund")
@@ -81,24 +83,21 @@ def merchant_days(t, d0, d1, sources, measures, gate) -> DataFrame:
     the measures; keyed rows make their (day, account) a report row. All
     sources go through one union and one aggregation, so no measure is joined
     to another and none to the calendar. Days without a row appear once with a
-    null account. The days that have rows, and the first day of `gate` (P18),
-    come from a scan of the key columns alone; at most one value per day of the
-    range reaches the driver. A null account has no measures, as it equals no
-    other.
+    null account. The days that have rows, and the first day of `gate` (P18,
+    one of the keyed sources), are read off that aggregation inside the plan. A
+    null account has no measures, as it equals no other.
     """
-    days = [rows.select("day", F.lit(rows is gate).alias("g")) for rows, keyed in sources if keyed]
-    seen = functools.reduce(DataFrame.unionByName, days).groupBy("day").agg(F.max("g").alias("g")).collect()
-    first = min((r["day"] for r in seen if r["g"]), default=None)
-    if first is None:
-        first, seen = dt.date.max, []
     value = lambda rows, m: F.when(F.col("account").isNotNull(), F.col(m)) if m in rows.columns else F.lit(None)
+    # 2 for a row of the gate, 1 for another that makes a report row, 0 for others
     rel = functools.reduce(DataFrame.unionByName, [
-        rows.select("day", "account", *[value(rows, m).cast("bigint").alias(m) for m in measures], F.lit(keyed).alias("_key"))
+        rows.select("day", "account", *[value(rows, m).cast("bigint").alias(m) for m in measures], F.lit(2 if rows is gate else int(keyed)).alias("_mark"))
         for rows, keyed in sources])
-    out = (rel.where(F.col("day") >= F.lit(first)).groupBy("day", "account")
-           .agg(*[F.sum(m).alias(m) for m in measures], F.max("_key").alias("_key")).where("_key").drop("_key"))
-    present = [F.lit(r["day"]) for r in seen]
-    bare = calendar_days(t.spark, d0, d1).where((F.col("day") >= F.lit(first)) & ~F.col("day").isin(*present))
+    # `_day` is an aggregate, so a bound on it stays above the shuffle that the subquery shares
+    grouped = rel.groupBy("day", "account").agg(*[F.sum(m).alias(m) for m in measures], F.max("_mark").alias("_mark"), F.max("day").alias("_day"))
+    seen = days_seen(grouped, d0, d1, F.col("_mark") > 0, F.col("_mark") == 2)
+    first = seen.getField("first")
+    out = grouped.where((F.col("_mark") > 0) & (F.col("_day") >= first)).drop("_mark", "_day")
+    bare = days_unseen(t.spark, seen, d0, d1).where(F.col("day") >= first)
     return out.unionByName(bare.select("day", F.lit(None).cast("string").alias("account"),
                                        *[F.lit(None).cast("bigint").alias(m) for m in measures]))
 
@@ -209,9 +208,7 @@ def connect_payouts_daily(t, d0, d1, by_account=False, end_inclusive=False,
 def _dispute_counts(t, d0, d1) -> DataFrame:
     """Distinct disputes per day, from the adjustment rows alone."""
     bt = t.balance_transactions.where(in_days("created", d0, d1) & (_withdrawal() | _reversal()))
-    return bt.groupBy(local_day("created").alias("day")).agg(
-        count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
-        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"))
+    return distinct_counts(bt, [local_day("created").alias("day")], "source_id", dispute_count=_withdrawal(), disputes_won_count=_reversal())
 
 
 def volume_daily(t, d0, d1) -> DataFrame:
@@ -251,16 +248,17 @@ def disputes_merchant_daily(t, d0, d1) -> DataFrame:
     Grain is day x source x charge x merchant, as in the source report.
     """
     bt = t.balance_transactions.where((F.col("type") == "adjustment") & in_days("created", d0, d1))
-    d = t.disputes.select(F.col("id").alias("_did"), F.col("charge_id"))
-    ch = t.charges.select(F.col("id").alias("_cid"), F.col("destination_id").alias("account"))
-    j = (bt.join(d, bt.source_id == d._did, "left")
-         .join(ch, F.col("charge_id") == ch._cid, "left"))
+    # adjustments are few: disputes and charges are cut down to theirs before they are shuffled
+    d = reduced(t.disputes, "id", bt, "source_id").select(F.col("id").alias("source_id"), "charge_id")
+    ch = reduced(t.charges, "id", d, "charge_id").select(F.col("id").alias("charge_id"), F.col("destination_id").alias("account"))
+    j = lookup(lookup(bt, d, "source_id", ["id"]), ch, "charge_id", ["id"])
     amt = F.col("amount")
     return j.groupBy(local_day("created").alias("day"), "source_id", "charge_id", "account").agg(
         sum_if(_withdrawal(), amt).alias("disputes"),
         sum_if(_reversal(), amt).alias("disputes_won"),
-        count_distinct_if(_withdrawal(), F.col("source_id")).alias("dispute_count"),
-        count_distinct_if(_reversal(), F.col("source_id")).alias("disputes_won_count"))
+        # one dispute per group, so its distinct count is 1 or 0
+        F.max(F.when(_withdrawal() & F.col("source_id").isNotNull(), 1).otherwise(0)).alias("dispute_count"),
+        F.max(F.when(_reversal() & F.col("source_id").isNotNull(), 1).otherwise(0)).alias("disputes_won_count"))
 
 
 def volume_merchant_daily(t, d0, d1) -> DataFrame:

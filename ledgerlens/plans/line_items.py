@@ -28,12 +28,10 @@ from pyspark.sql import functions as F
 
 from ..functions import decimalize, ts_lit
 from ..functions.descriptions import has_period, is_icplus, period_end, period_start
-from ..operators.links import lookup
+from ..operators.links import heavy_keys, lookup
 
 # Fixed value: fee rows before this instant carry no parseable period.
 PERIOD_TEXT_SINCE = "2018-04-01"
-#: Copies of a ledger or payout row that many lines point to.
-SALTS = 16
 
 LINE_COLS = [
     "balance_transaction_id", "balance_transaction_created_at",
@@ -177,23 +175,39 @@ def _ledger_lines(act: DataFrame) -> DataFrame:
     return lines.select(*[fields[c].alias(c) for c in LINE_COLS])
 
 
-def _icplus_lines(t, lo, hi, currency) -> DataFrame:
-    ic = t.icplus_fees
+def _window_fees(t, lo, hi, currency) -> DataFrame:
+    """Itemised fees of the window that make a line."""
     activity_at = F.coalesce("incurred_at",
                              F.col("attribution_end_time") - F.expr("interval 1 second"))
     cur = (F.col("billing_currency") == currency) if currency is not None else F.lit(True)
-    ic = ic.withColumn("activity_at", activity_at).where(
+    return t.icplus_fees.withColumn("activity_at", activity_at).where(
         (F.col("activity_at") >= ts_lit(lo)) & (F.col("activity_at") < ts_lit(hi)) & cur
         & ((F.col("subtotal_amount") != 0) | (F.col("tax_amount") != 0)))
-    bts = t.balance_transactions.where(
+
+
+def _fee_ledger(t) -> DataFrame:
+    """Ledger rows that itemised fees belong to."""
+    return t.balance_transactions.where(
         F.col("reporting_category").isin("fee", "network_cost") & is_icplus("description")) \
         .select(F.col("id").alias("balance_transaction_id"), F.col("created").alias("_bt_created"),
                 F.col("reporting_category").alias("_bt_rc"),
                 F.col("automatic_transfer_id").alias("_bt_payout"),
                 F.col("description").alias("_bt_desc"))
+
+
+def _heavy_payouts(t, lo, hi, heavy_ledger: DataFrame) -> DataFrame:
+    """`heavy_keys` of the payouts: by their ledger rows in the window, and by the heavy ledger rows of itemised fees."""
+    bts = t.balance_transactions
+    own = heavy_keys(bts.where((F.col("created") >= ts_lit(lo)) & (F.col("created") < ts_lit(hi))), "automatic_transfer_id")
+    fees = (bts.join(F.broadcast(heavy_ledger), F.col("id") == F.col("_hot"))
+            .where(F.col("automatic_transfer_id").isNotNull()).select(F.col("automatic_transfer_id").alias("_hot"), "_copies"))
+    return own.unionByName(fees).groupBy("_hot").agg(F.sum("_copies").cast("int").alias("_copies"))
+
+
+def _icplus_lines(t, ic: DataFrame, heavy_ledger: DataFrame) -> DataFrame:
     ic = ic.drop("card_brand", "card_funding")
     # one monthly ledger row can stand for millions of itemised fees
-    j = _with_charge_context(t, lookup(ic, bts, "balance_transaction_id", ["id"], SALTS), ["id"])
+    j = _with_charge_context(t, lookup(ic, _fee_ledger(t), "balance_transaction_id", ["id"], heavy_ledger), ["id"])
     fx = F.coalesce(F.col("fx_rate"), F.lit(1).cast("decimal(18,8)"))
     none_s = F.lit(None).cast("string")
     common = {
@@ -242,7 +256,9 @@ def line_items(t, lo, hi, currency: str | None = None,
     # pass. It is skew-safe: ledger ids are unique per ledger row, and the
     # millions of itemised lines behind one monthly fee row spread on their
     # own fee ids.
-    lines = (_ledger_lines(act).unionByName(_icplus_lines(t, lo, hi, currency))
+    fees = _window_fees(t, lo, hi, currency)
+    heavy_ledger = heavy_keys(fees, "balance_transaction_id")
+    lines = (_ledger_lines(act).unionByName(_icplus_lines(t, fees, heavy_ledger))
              .repartition("balance_transaction_id", "fee_id", "balance_transaction_component")
              .distinct())
     payouts = t.transfers.where(F.col("automatic")).select(F.col("id").alias("automatic_payout_id"))
@@ -252,7 +268,7 @@ def line_items(t, lo, hi, currency: str | None = None,
         .join(payouts, "automatic_payout_id", "inner")
     # one payout has many lines, and unsettled lines have none
     li = lookup(lines, effective, "automatic_payout_id",
-                ["balance_transaction_id", "fee_id", "balance_transaction_component"], SALTS)
+                ["balance_transaction_id", "fee_id", "balance_transaction_component"], _heavy_payouts(t, lo, hi, heavy_ledger))
     ts_fmt = "yyyy-MM-dd HH:mm:ss"
     end_or_at = F.coalesce(F.col("activity_end_time") - F.expr("interval 1 second"),
                            F.col("activity_at"))

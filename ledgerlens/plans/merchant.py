@@ -16,8 +16,11 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_distinct_if, in_days, local_day, sum_if
-from ..operators.calendars import calendar_days, month_bounds, month_range
+from ..functions import in_days, local_day, sum_if
+from ..operators.calendars import month_bounds, month_range
+from ..operators.links import lookup
+from ..operators.presence import days_seen, days_unseen
+from ..operators.reduction import reduced
 
 NEW_YORK = "America/New_York"
 
@@ -86,7 +89,7 @@ def merchant_payout_batches(t, d0, d1, tz) -> DataFrame:
     po = t.connected_account_transfers.select(
         F.col("id").alias("payout_id"), F.to_date("date").alias("batch_paid_date"),
         F.col("amount").alias("batched_connect_payout"), F.col("status").alias("batch_status"))
-    return keys.join(po, "payout_id", "left")
+    return lookup(keys, po, "payout_id", ["day", "account"])
 
 
 def merchant_names(t) -> DataFrame:
@@ -129,9 +132,8 @@ def merchant_volume_daily(t, d0, d1, platform_account: str | None = None, tz=NEW
 
     Measures of a merchant-day are gathered in one union and aggregation and
     joined to the ledger rows once. Days without a ledger row appear once with
-    nulls; they are found by a scan of the ledger's day column (at most one
-    value per day of the range reaches the driver), so nothing is joined on
-    the day alone. The rates are minor units per card-present and per other
+    nulls; they are read off the ledger's aggregation inside the plan, so
+    nothing is joined on the day alone. The rates are minor units per card-present and per other
     charge.
     """
     ledger = merchant_ledger_daily(t, d0, d1, tz)
@@ -143,8 +145,7 @@ def merchant_volume_daily(t, d0, d1, platform_account: str | None = None, tz=NEW
         p.select("day", "account", *[(F.col(c) if c in p.columns else F.lit(None)).cast("decimal(38,8)").alias(c) for c in names])
         for p in parts])
     extra = rows.groupBy("day", "account").agg(*[F.sum(c).alias(c) for c in names])
-    present = [F.lit(r["day"]) for r in ledger.select("day").distinct().collect()]
-    bare = calendar_days(t.spark, d0, d1).where(~F.col("day").isin(*present))
+    bare = days_unseen(t.spark, days_seen(ledger, d0, d1), d0, d1)
     spine = ledger.unionByName(bare, allowMissingColumns=True)
     out = (spine.join(extra, ["day", "account"], "left")
            .join(merchant_payout_batches(t, d0, d1, tz), ["day", "account"], "left")
@@ -181,17 +182,21 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
 
     ic = t.icplus_fees.where(in_months("incurred_at"))
     cat = F.col("fee_category")
-    card = ic.groupBy(F.col("destination_id").alias("account"), ym("incurred_at").alias("month")) \
-        .agg(sum_if(cat == "network_cost", F.col("billing_amount")).alias("network_costs"),
-             sum_if(cat == "stripe_fee", F.col("billing_amount")).alias("stripe_fees"),
-             (count_distinct_if(F.col("card_present") == F.lit(False), F.col("charge_id"))
-              * F.lit(radar_rate)).alias("stripe_radar_fees"))
+    # fees are summed per charge first, so the distinct count is a sum
+    per_charge = ic.groupBy(F.col("destination_id").alias("account"), ym("incurred_at").alias("month"), "charge_id").agg(
+        sum_if(cat == "network_cost", F.col("billing_amount")).alias("network_costs"),
+        sum_if(cat == "stripe_fee", F.col("billing_amount")).alias("stripe_fees"),
+        F.max(F.when(~F.col("card_present"), 1).otherwise(0)).alias("_absent"))
+    card = per_charge.groupBy("account", "month").agg(
+        F.sum("network_costs").alias("network_costs"), F.sum("stripe_fees").alias("stripe_fees"),
+        (F.sum(F.when(F.col("charge_id").isNotNull(), F.col("_absent")).otherwise(0)) * F.lit(radar_rate)).alias("stripe_radar_fees"))
     since = lpm_since or lo
     ch = t.charges.where(~F.col("payment_method_type").isin("card")
                          & (F.col("created") > F.lit(since).cast("timestamp_ntz"))
                          & in_months("created"))
-    bt = t.balance_transactions.select(F.col("id").alias("balance_transaction_id"), "fee")
-    lpm = ch.join(bt, "balance_transaction_id", "left") \
+    # ledger and fee details are cut down to the charges of the months before they are shuffled
+    bt = reduced(t.balance_transactions, "id", ch, "balance_transaction_id").select(F.col("id").alias("balance_transaction_id"), "fee")
+    lpm = lookup(ch, bt, "balance_transaction_id", ["id"]) \
         .groupBy(F.col("destination_id").alias("account"), ym("created").alias("month")) \
         .agg(F.lit(0).alias("network_costs"), F.sum("fee").alias("stripe_fees"),
              F.lit(0).alias("stripe_radar_fees"))
@@ -200,24 +205,18 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
         F.sum("stripe_radar_fees").alias("stripe_radar_fees"))
 
     cac = t.connected_account_charges.where(in_months("created") & F.col("captured"))
-    det = t.connected_account_balance_transaction_fee_details.select(
+    det = reduced(t.connected_account_balance_transaction_fee_details, "balance_transaction_id", cac, "balance_transaction_id").select(
         "balance_transaction_id", F.col("amount").alias("_fee"))
-    earned = cac.join(det, "balance_transaction_id", "left") \
+    earned = lookup(cac, det, "balance_transaction_id", ["id"]) \
         .groupBy("account", ym("created").alias("month"), "currency") \
-        .agg(F.sum(F.coalesce("_fee", F.lit(0))).alias("sum_application_fees"))
+        .agg(F.sum(F.coalesce("_fee", F.lit(0))).alias("application_fees"))
 
     gch = t.charges.where(in_months("created") & F.col("captured"))
     pm, amt = F.col("payment_method_type"), F.col("amount")
-    gmv = gch.groupBy(F.col("destination_id").alias("account"), ym("created").alias("month"),
-                      "currency").agg(
-        F.sum(amt).alias("total_sum_amount"),
-        sum_if(pm == "card", amt).alias("sum_amount_when_card"),
-        sum_if(pm == "bancontact", amt).alias("sum_amount_when_bancontact"),
-        sum_if(pm == "ideal", amt).alias("sum_amount_when_ideal"),
-        F.count("id").alias("total_count_charges"),
-        sum_if(pm == "card", 1).alias("count_when_card"),
-        sum_if(pm == "bancontact", 1).alias("count_when_bancontact"),
-        sum_if(pm == "ideal", 1).alias("count_when_ideal"))
+    methods = ("card", "bancontact", "ideal")
+    gmv = gch.groupBy(F.col("destination_id").alias("account"), ym("created").alias("month"), "currency").agg(
+        F.sum(amt).alias("volume"), F.count("id").alias("txns"),
+        *[sum_if(pm == m, amt).alias(f"{m}_volume") for m in methods], *[sum_if(pm == m, 1).alias(f"{m}_txns") for m in methods])
 
     names = t.connected_accounts.select(F.col("id").alias("account"), "business_name")
     out = (gmv.join(F.broadcast(months), "month", "inner")
@@ -233,14 +232,9 @@ def merchant_monthly(t, m0: str, m1: str, radar_rate: float = 1.5, lpm_since=Non
             .cast("decimal(38,3)").cast("double")
     return out.select(
         "account", "month", "currency", "business_name",
-        maj("total_sum_amount").alias("total_volume"), maj("sum_amount_when_card").alias("card_volume"),
-        maj("sum_amount_when_bancontact").alias("bancontact_volume"),
-        maj("sum_amount_when_ideal").alias("ideal_volume"),
-        F.col("total_count_charges").alias("total_num_txns"),
-        F.col("count_when_card").cast("bigint").alias("card_num_txns"),
-        F.col("count_when_bancontact").cast("bigint").alias("bancontact_num_txns"),
-        F.col("count_when_ideal").cast("bigint").alias("ideal_num_txns"),
-        maj("sum_application_fees").alias("platform_application_fees"),
+        maj("volume").alias("total_volume"), *[maj(f"{m}_volume").alias(f"{m}_volume") for m in methods],
+        F.col("txns").alias("total_num_txns"), *[F.col(f"{m}_txns").cast("bigint").alias(f"{m}_num_txns") for m in methods],
+        maj("application_fees").alias("platform_application_fees"),
         cents3("network_costs").alias("icplus_fees"), cents3("stripe_fees").alias("stripe_fees"),
         (F.coalesce(F.col("stripe_radar_fees"), F.lit(0)).cast("double") / F.lit(100.0))
         .alias("radar_fees")).orderBy("account", "month")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (count_distinct_if, count_if, decimalize, in_days, local_day, sum_if,
+from ..functions import (count_if, decimalize, distinct_counts, in_days, local_day, sum_if,
                          zero_major)
 from ..operators.attribution import attributed_daily
 from ..operators.calendars import calendar_days, gate_joined, month_bounds, month_range
@@ -109,12 +109,11 @@ def lineitem_pivot(t) -> DataFrame:
 def supplier_distinct_orders(t, rate: float = 1.5) -> DataFrame:
     """Exact distinct and conditional distinct counts, priced."""
     li = t.lineitem
-    ret = F.col("l_returnflag") == "R"
-    return li.groupBy("l_suppkey").agg(
-        F.count_distinct("l_orderkey").alias("orders"),
-        count_distinct_if(ret, F.col("l_orderkey")).alias("returned_orders"),
-        (count_distinct_if(ret, F.col("l_orderkey")) * F.lit(rate)).alias("returned_priced"),
-        F.count_distinct("l_partkey").alias("parts"))
+    orders = distinct_counts(li, ["l_suppkey"], "l_orderkey", orders=F.lit(True), returned_orders=F.col("l_returnflag") == "R")
+    parts = distinct_counts(li, ["l_suppkey"], "l_partkey", parts=F.lit(True))
+    every = orders.unionByName(parts, allowMissingColumns=True).unionByName(li.select("l_suppkey").distinct(), allowMissingColumns=True)
+    return (every.groupBy("l_suppkey").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("orders", "returned_orders", "parts")])
+            .withColumn("returned_priced", F.col("returned_orders") * F.lit(rate)))
 
 
 def customer_two_level(t) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import local_ts, ts_lit
-from ..operators.links import contains_join, metadata_value
+from ..operators.links import contains_join, lookup, metadata_value
+from ..operators.reduction import reduced
 
 NEW_YORK = "America/New_York"
 
@@ -113,15 +114,15 @@ def sales_with_paydowns(t, since, account: str | None = None) -> DataFrame:
                                              F.col("id").alias("payment_id"),
                                              F.col("application_fee_id").alias("_afid"))
     af = t.application_fees.select(F.col("id").alias("_afid"), F.col("amount").alias("_afamt"))
-    sales = (cabt.where(F.col("type").isin("payment") & (F.col("reporting_category") == "charge"))
-             .join(cac, "id", "left").join(af, "_afid", "left")
+    paid = cabt.where(F.col("type").isin("payment") & (F.col("reporting_category") == "charge"))
+    sales = (paid.join(cac, "id", "left").join(af, "_afid", "left")
              .select(F.col("id").alias("_sid"), F.col("account").alias("merchant"), "payment_id",
                      "created", "source_id",
                      F.round(F.col("_afamt") / F.lit(-100), 2).cast("double")
                      .alias("application_fee_amount"),
                      F.round(F.col("amount") / F.lit(100), 2).cast("double").alias("sales_amount")))
     j = contains_join(sales, paydowns, "_sid", "source_id", "_pid", "paydown_description",
-                      partition_cols=["merchant"])
+                      partition_cols=["merchant"], keys=paid.select(F.col("account").alias("merchant"), "source_id"))
     return j.select("merchant", "payment_id", "created", "sales_amount", "application_fee_amount",
                     "paydown_amount", "paydown_description").orderBy(F.col("created").desc())
 
@@ -165,21 +166,20 @@ def dispute_sheet(t, dispute_id: str | None = None, tz: str = NEW_YORK) -> DataF
     d = t.disputes.where(F.col("status").isin("warning_needs_response", "needs_response"))
     if dispute_id is not None:
         d = d.where(F.col("id") == dispute_id)
-    # ledger and charges are cut down to the open disputes before they are joined
-    ids = d.select("id")
-    bt = t.balance_transactions.select(F.col("source_id").alias("id"),
-                                       F.col("created").alias("_btc")).join(ids, "id", "left_semi")
-    ch = t.charges.select(F.col("dispute_id").alias("id"), F.col("id").alias("_cid"),
-                          F.col("destination_id").alias("account_id"),
-                          F.col("created").alias("_chc"), "payment_method_type").join(ids, "id", "left_semi")
+    # every table is cut down to the open disputes, or to their charges, before it is shuffled
+    bt = reduced(t.balance_transactions, "source_id", d, "id").select(F.col("source_id").alias("id"), F.col("created").alias("_btc"))
+    ch = reduced(t.charges, "dispute_id", d, "id").select(
+        F.col("dispute_id").alias("id"), F.col("id").alias("_cid"), F.col("destination_id").alias("account_id"),
+        F.col("created").alias("_chc"), "payment_method_type")
     names = t.connected_accounts.select(F.col("id").alias("account_id"),
                                         F.col("business_name").alias("merchant_name"))
-    pmd = t.payment_method_details.select(F.col("charge_id").alias("_cid"),
-                                          F.col("card_last4").alias("last_4digits_card"))
-    oid = metadata_value(t.charges_metadata, "order_id", "charge_id", "order_id") \
+    pmd = reduced(t.payment_method_details, "charge_id", ch, "_cid").select(
+        F.col("charge_id").alias("_cid"), F.col("card_last4").alias("last_4digits_card"))
+    oid = reduced(metadata_value(t.charges_metadata, "order_id", "charge_id", "order_id"), "_parent", ch, "_cid") \
         .withColumnRenamed("_parent", "_cid")
-    j = (d.join(bt, "id", "left").join(ch, "id", "left").join(names, "account_id", "left")
-         .join(pmd, "_cid", "left").join(oid, "_cid", "left"))
+    j = d.join(bt, "id", "left").join(ch, "id", "left")
+    for dim, key in ((names, "account_id"), (pmd, "_cid"), (oid, "_cid")):
+        j = lookup(j, dim, key, ["id"])
     label = F.col("reason")
     for code, text in reversed(list(REASON_LABELS.items())):
         label = F.when(F.col("reason") == code, F.lit(text)).otherwise(label)

@@ -1,4 +1,4 @@
-"""Named-table scan (S1) and result sink.
+"""Named-table scan.
 
 `Tables` resolves a table name to a DataFrame: driver tables are read from
 Parquet (column pruning and filter pushdown happen at the scan), payments
@@ -87,6 +87,18 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None, bind
     return Tables(spark, sf_dir, derived_dir=out_dir, bind=bind)
 
 
+def bucketed(tables: Tables, database: str, keys: dict[str, str], buckets: int) -> dict[str, str]:
+    """Write tables as catalog tables in `buckets` buckets of their join key, sorted by it; return them for `bind`.
+
+    A join on that key then reads them as they lie, so only its other side is
+    shuffled. Take at least as many buckets as the session has shuffle
+    partitions.
+    """
+    for name, key in keys.items():
+        tables[name].repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{database}.{name}")
+    return {name: f"{database}.{name}" for name in keys}
+
+
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (id(spark), sf_dir.rstrip("/"))
     t = _CACHE.get(key)
@@ -96,20 +108,6 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return t
 
 
-def csv_lines(df: DataFrame) -> DataFrame:
-    """S6 as a relation: one column `line` with the CSV text of each row."""
-    return df.select(F.to_csv(F.struct("*")).alias("line"))
-
-
-def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Rows for human CSV consumption. Column names must be unique."""
-    cols = df.columns
-    dupes = {c for c in cols if cols.count(c) > 1}
-    if dupes:
-        raise ValueError(f"duplicate output columns {sorted(dupes)}")
-    df.write.mode(mode).option("header", True).csv(path)
-
-
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once (a distributed check; empty when unique).
 

@@ -1,5 +1,6 @@
 """Plan checks: no pair-forming joins, date bounds reach the scan."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -58,14 +59,69 @@ MERCHANT_REPORTS = ["fee_merchant_daily", "volume_merchant_daily", "failed_trans
                     "merchant_volume_daily", "merchant_volume_daily_utc"]
 
 
+def _seq(jvm_seq):
+    return [jvm_seq.apply(i) for i in range(jvm_seq.size())]
+
+
+def _scans(node, above=()):
+    """(path, nodes above it, nearest first) of every file scan that runs: reused shuffles and subqueries are not run again."""
+    kind = node.getClass().getSimpleName()
+    if kind in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+        return
+    if kind == "FileSourceScanExec":
+        yield node.relation().location().rootPaths().mkString(","), above
+    inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else _seq(node.children())
+    for child in inner:
+        yield from _scans(child, (node, *above))
+    for subquery in _seq(node.subqueries()):
+        yield from _scans(subquery)
+
+
+def _run_scans(df):
+    """Number of scans of each table in the plan as it was run."""
+    df.collect()
+    found = {}
+    for path, _ in _scans(df._jdf.queryExecution().executedPlan()):
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        found[name] = found.get(name, 0) + 1
+    return found
+
+
 @pytest.mark.parametrize("name", MERCHANT_REPORTS)
 def test_merchant_reports_read_each_ledger_once_per_measure(derived, no_broadcast, name):
-    plan = _nodes(PLANS[name](derived))
-    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[([^\]]*)\]", plan)
+    df = PLANS[name](derived)
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[([^\]]*)\]", _nodes(df))
     assert not [k for k in joins if re.fullmatch(r"(activity_)?day#\d+", k)], joins
-    # the ledger: once for the measures; R2 and R3 look its payout batches up as well
-    reads = plan.count("/connected_account_balance_transactions]")
-    assert reads == (2 if name.startswith("merchant_volume") else 1)
+    # the ledger: once for the measures and the days; R2 and R3 look its payout batches up as well
+    assert _run_scans(df)["connected_account_balance_transactions"] == (2 if name.startswith("merchant_volume") else 1)
+
+
+@pytest.mark.parametrize("name", [*MERCHANT_REPORTS, "sales_with_paydowns", "merchant_monthly", "dispute_sheet", "line_items"])
+def test_building_a_plan_starts_no_job(spark, derived, name):
+    PLANS[name](derived)  # the first look at a table's schema may be a job
+    sc = spark.sparkContext
+    sc.setJobGroup(f"building-{name}", "")
+    try:
+        PLANS[name](derived)
+        assert list(sc.statusTracker().getJobIdsForGroup(f"building-{name}")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name, tables", [
+    ("merchant_monthly", {"balance_transactions", "connected_account_balance_transaction_fee_details"}),
+    ("dispute_sheet", {"balance_transactions", "charges", "payment_method_details", "charges_metadata"}),
+    ("volume_merchant_daily", {"disputes"})])
+def test_large_tables_are_reduced_before_their_shuffle(derived, no_broadcast, name, tables):
+    seen = set()
+    for path, above in _scans(PLANS[name](derived)._jdf.queryExecution().executedPlan()):
+        table = path.rstrip("/").rsplit("/", 1)[-1]
+        kinds = [n.getClass().getSimpleName() for n in above]
+        below = above[:kinds.index("ShuffleExchangeExec")] if "ShuffleExchangeExec" in kinds else ()
+        filtered = any(n.getClass().getSimpleName() == "FilterExec" and "subquery" in n.condition().toString() for n in below)
+        if table in tables and filtered:
+            seen.add(table)
+    assert seen == tables
 
 
 def test_payout_lower_bound_reaches_the_scan(spark, derived):
@@ -89,7 +145,6 @@ def test_attribution_overlap_reaches_the_scan(spark, derived, sf_dir):
 
 def test_line_items_look_customers_up_for_the_window_only(derived):
     """No join of customers or invoices has a charge scan without the window's activity below it."""
-    import datetime as dt
     from ledgerlens.plans import line_items
     plan = line_items.line_items(derived, dt.datetime(1998, 7, 1), dt.datetime(1998, 8, 1))._jdf.queryExecution().optimizedPlan()
 
@@ -116,8 +171,36 @@ COLUMN = {"customers": "email", "invoices": "subscription_id", "charges": "outco
           "icplus_fees": "subtotal_amount"}
 
 
-def test_sales_are_read_once(derived):
-    plan = _nodes(PLANS["sales_with_paydowns"](derived))
-    # sales, and paydowns once for their substrings and once for their columns
-    assert plan.count("/connected_account_balance_transactions]") == 3
-    assert plan.count("/connected_account_charges]") == 1
+def test_sales_are_made_once(derived, no_broadcast):
+    """The joins of a sale run once; its keys and the paydowns come from the ledger alone."""
+    runs = _run_scans(PLANS["sales_with_paydowns"](derived))
+    assert runs["connected_account_charges"] == 1 and runs["application_fees"] == 1
+    # sales, their keys, the grams of paydowns (to count and to match), and their columns
+    assert runs["connected_account_balance_transactions"] == 5
+
+
+@pytest.mark.parametrize("name", ["platform_daily", "volume_daily", "volume_merchant_daily", "merchant_monthly", "merchant_volume_daily", "prim_distinct"])
+def test_distinct_counts_need_no_expand(spark, sf_dir, derived, name):
+    plan = _nodes(PLANS[name](load_tables(spark, sf_dir) if name.startswith("prim") else derived))
+    assert "Expand" not in plan
+
+
+def test_bucketed_tables_are_not_shuffled(spark, derived, no_broadcast):
+    """R1 on charges and ledger kept in buckets of their join key: the charge lookup moves the activity only."""
+    from ledgerlens.plans import line_items
+    from ledgerlens.sources.tables import Tables, bucketed
+    spark.sql("create database if not exists bucketed_test")
+    try:
+        bound = bucketed(derived, "bucketed_test", {"charges": "id", "customers": "id"}, 16)
+        t = Tables(spark, derived.sf_dir, derived.derived_dir, bind=bound)
+        plan = line_items.line_items(t, dt.datetime(1995, 1, 1), dt.datetime(2002, 1, 1), period_since=catalog.PERIOD_SINCE)
+        above = {}
+        for path, nodes in _scans(plan._jdf.queryExecution().executedPlan()):
+            kinds = [n.getClass().getSimpleName() for n in nodes]
+            above.setdefault(path.rsplit("/", 1)[-1], []).append(kinds[:kinds.index("SortMergeJoinExec")])
+        for table in ("charges", "customers"):
+            assert above[table] and all("ShuffleExchangeExec" not in kinds for kinds in above[table]), above[table]
+        assert sorted(map(tuple, plan.select("balance_transaction_id", "amount").collect()), key=str) == \
+            sorted(map(tuple, PLANS["line_items"](derived).select("balance_transaction_id", "amount").collect()), key=str)
+    finally:
+        spark.sql("drop database bucketed_test cascade")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerlens import catalog
 from ledgerlens.plans import daily, line_items, merchant, tracing
 from ledgerlens.sources.fixtures import PLATFORM_ACCOUNT
-from ledgerlens.sources.tables import Tables, load_tables, write_report_csv
+from ledgerlens.sources.report_csv import write_report_csv
+from ledgerlens.sources.tables import Tables, load_tables
 
 D0, D1 = "1995-01-01", "2001-12-31"
 

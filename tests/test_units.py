@@ -11,8 +11,10 @@ from ledgerlens.functions.descriptions import (date_after_open_paren, date_befor
                                                has_period, is_icplus, period_end, period_start)
 from ledgerlens.operators.attribution import attributed_daily
 from ledgerlens.operators.calendars import calendar_days, gate, month_range
-from ledgerlens.operators.links import contains_join, lookup
-from ledgerlens.sources.tables import write_report_csv
+from ledgerlens.operators.links import contains_join, heavy_keys, lookup
+from ledgerlens.operators.presence import days_seen, days_unseen
+from ledgerlens.operators.reduction import reduced
+from ledgerlens.sources.report_csv import csv_lines, OPTIONS, read_report_csv, write_report_csv
 
 
 def test_period_text_parsing(spark):
@@ -117,8 +119,52 @@ def test_lookup_spreads_null_and_hot_keys(spark):
     dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k4", 3), (None, 9)], "key string, v int")
     rows = lambda df: sorted((r.id, r.key or "", r.v or 0) for r in df.select("id", "key", "v").collect())
     want = rows(left.join(dim, "key", "left"))
-    for salts in (1, 7):
-        assert rows(lookup(left, dim, "key", ["id"], salts)) == want
+    for parts in (None, 2, 7, 4096):
+        assert rows(lookup(left, dim, "key", ["id"], parts and heavy_keys(left, "key", parts))) == want
+
+
+def test_heavy_keys_are_measured(spark):
+    """A key with a third of all rows: no reducer has more than twice the median; without skew nothing is repeated."""
+    skewed = spark.range(120_000).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("key"))
+    heavy = heavy_keys(skewed, "key")
+    assert [(r._hot, r._copies) for r in heavy.collect()] == [("hot", 1366)]
+    even = skewed.where("id % 3 != 0")
+    assert heavy_keys(even, "key").count() == 0
+    dim = skewed.select("key").distinct().withColumn("v", F.lit(1))
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        placed = lookup(skewed, dim, "key", ["id"], heavy).select("id", "v", F.spark_partition_id().alias("p"))
+        assert placed.where("v is null").count() == 0
+        sizes = sorted(r["count"] for r in placed.groupBy("p").count().collect())
+        plain = lookup(skewed, dim, "key", ["id"]).groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 32 and sum(sizes) == 120_000 and sizes[-1] <= 2 * sizes[16] < plain
+
+
+def test_presence_bitmap(spark):
+    rows = spark.createDataFrame([("1995-01-01", 1, True), ("1995-01-03", 2, False), ("1999-12-31", 3, True), ("1990-01-01", 4, True), (None, 5, True), ("2095-06-01", 6, True)], "d string, v int, g boolean") \
+        .select(F.col("d").cast("date").alias("day"), "v", "g").groupBy("day").agg(F.max("v").alias("v"), F.max("g").alias("g"))
+    for d0, d1 in (("1995-01-01", "1995-01-05"), ("1990-01-01", "2095-12-31"), ("1999-12-31", "1999-12-31"), ("2000-01-02", "2000-01-01")):
+        seen = days_seen(rows, d0, d1, F.col("v") != 2, F.col("g") & (F.col("v") > 1))
+        missing = {r.day for r in days_unseen(spark, seen, d0, d1).collect()}
+        span = [dt.date.fromisoformat(d0) + dt.timedelta(i) for i in range((dt.date.fromisoformat(d1) - dt.date.fromisoformat(d0)).days + 1)]
+        assert missing == set(span) - {dt.date(1995, 1, 1), dt.date(1999, 12, 31), dt.date(1990, 1, 1), dt.date(2095, 6, 1)}
+        assert spark.range(1).select(seen.getField("first")).first()[0] == dt.date(1990, 1, 1)
+
+
+def test_reduction_never_drops_a_match(spark):
+    keys = spark.range(0, 3000, 3).select(F.concat(F.lit("k"), "id").alias("key")).unionByName(spark.createDataFrame([(None,)], "key string"))
+    large = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), "id").unionByName(spark.createDataFrame([(None, -1)], "k string, id bigint"))
+    for bits in (64, 1 << 12, 1 << 24):
+        kept = {r.id for r in reduced(large, "k", keys, "key", bits).collect()}
+        assert kept >= set(range(0, 3000, 3)) and -1 not in kept
+        assert len(kept) <= {64: 3000, 1 << 12: 1700, 1 << 24: 1002}[bits]
+    assert reduced(large, "k", keys.where("false"), "key").count() == 0
 
 
 def test_anti_join_keeps_null_keys(spark):
@@ -162,6 +208,19 @@ def test_csv_sink_rejects_duplicate_names(spark, tmp_path):
         write_report_csv(df, str(tmp_path / "out"))
 
 
+def test_report_csv_keeps_rows_and_order(spark, tmp_path):
+    """R1 in bounded files: read back in order, quoted fields and blanks unchanged."""
+    odd = ['a "quoted" word', "commas, and, more", "line\nbreak", " spaces ", "", None, "#1", '"', "plain"]
+    df = spark.range(2000).select((F.lit(5000) - F.col("id")).alias("n"), F.element_at(F.array(*[F.lit(x) for x in odd]), (F.col("id") % len(odd) + 1).cast("int")).alias("text")).orderBy("n")
+    path = str(tmp_path / "report")
+    write_report_csv(df.repartitionByRange(4, "n").sortWithinPartitions("n"), path, max_records=150)
+    back = read_report_csv(spark, path, df.schema).collect()
+    assert [(r.n, r.text or "") for r in back] == [(r.n, r.text or "") for r in df.collect()]
+    manifest = spark.read.option("header", True).csv(f"{path}/_manifest").collect()
+    assert len(manifest) >= 16 and all(int(r.n_rows) <= 150 for r in manifest) and sum(int(r.n_rows) for r in manifest) == 2000
+    assert csv_lines(df.limit(0), **OPTIONS).columns == ["line"]
+
+
 def test_spines_are_partitioned_and_reversed_ranges_are_empty(spark):
     cal = calendar_days(spark, "2020-02-27", "2020-03-02")
     assert [r.day for r in cal.orderBy("day").collect()] == \
