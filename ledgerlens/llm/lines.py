@@ -92,7 +92,7 @@ def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataF
     step = lambda size: F.floor(F.log(F.greatest(size, F.lit(1.0))) / math.log(STEP) + 1e-9).cast("int")
     df = df.withColumns({"size": F.length(text), "bytes": F.col(text).cast("binary"), "n": F.octet_length(text)})
     # a partner may be longer by the allowed edits, so it may be of the next step
-    df = df.withColumns({"step0": step(n.cast("double")), "step1": step(n / similarity + 1e-6)})
+    df = df.withColumns({"step0": step(n.cast("double")), "step1": step(n / similarity + _WIDEST)})
     width = lambda s: F.floor(F.pow(F.lit(STEP), F.col(s)) * SHARE).cast("int")
     long = n >= math.ceil(two * similarity - 1e-9)
     used = {0: long, 1: long & (F.col("step1") != F.col("step0"))}
