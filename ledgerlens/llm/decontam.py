@@ -13,7 +13,9 @@ so no broadcast grows with the benchmark.
 Defined cases: a null or empty text has no words; an item without words gives
 no window; a null item id marks words but is not listed; item ids that occur
 twice count once; extra columns of either table are left alone. An empty
-benchmark marks nothing.
+benchmark marks nothing. Repeated documents are judged each. Texts are taken
+whole; one longer than `words.PIECE` is a piece of work of its own, so a task's
+memory follows the longest text. Nothing is ranked, so there are no ties.
 """
 
 from __future__ import annotations

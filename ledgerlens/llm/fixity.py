@@ -17,7 +17,9 @@ archive boundary in any order, their bytes are the same.
 Archives are at most 4 GiB: RECORDS pages, or an error from `tree` beyond.
 Defined cases: null url or html counts as empty, a null page_id sorts first and
 is written as an empty id; repeated pages are records of their own; an empty
-table has no archives; an archive that only one replica has differs at its root.
+table has no archives; an archive that only one replica has differs at its root;
+records are whole, and an archive of over 4 GiB is refused; columns with other
+names are left alone.
 """
 
 from __future__ import annotations

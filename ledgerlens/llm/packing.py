@@ -15,7 +15,9 @@ among the pieces of its length, which comes from per-partition counts.
 
 Defined cases: a null text is empty and gives the end token alone; repeated
 rows are packed each; a null doc_id is kept; only texts of more than
-`capacity` tokens are cut; an empty table gives no rows.
+`capacity` tokens are cut; an empty table gives no rows; texts are taken whole,
+a very long one as a piece of work of its own; pieces of equal length are placed
+by partition and place in it; columns other than doc_id and text are left alone.
 """
 
 from __future__ import annotations

@@ -13,7 +13,10 @@ hash of doc_id; it holds FEATURES * RANK + SAMPLE * RANK numbers (3 MB).
 Defined cases: null and empty texts, and texts without positive cosine to any
 labelled one, get the share of label 1 in the sample; a document with several
 labels has their mean, rounded up; null labels and ids are not learned from; if
-there are no labels every score is 0.5. Repeated rows are scored each.
+there are no labels every score is 0.5. Repeated rows are scored each. Texts are
+taken whole, a very long one as a piece of work of its own; of neighbours with
+equal cosines any may be the last to vote; an empty table gives no rows; columns
+with other names are left alone.
 """
 
 from __future__ import annotations

@@ -26,7 +26,9 @@ and a histogram of p-values (at most 30,001 bins) reach the driver.
 
 Positions are code points, end exclusive. Defined cases: a null text is empty;
 a text without findings has the hash of the empty string and empty spans;
-repeated rows and null ids are reported each; extra columns are left alone.
+repeated rows and null ids are reported each; extra columns are left alone; an
+empty table gives no rows; texts are taken whole, as one string; runs with equal
+p-values are accepted or refused together.
 """
 
 from __future__ import annotations

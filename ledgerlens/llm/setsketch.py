@@ -24,7 +24,10 @@ of at most (1 - 0.75**4)**32, about 5e-6.
 
 Defined cases: null texts and texts without words have no shingles and are
 linked with nothing; a null doc_id is never a component's id unless no other is
-there; extra columns are left alone.
+there; extra columns are left alone. Repeated rows are links of each other, and
+the first keeps the text; an empty table gives no rows. Texts are taken whole,
+a very long one as a piece of work of its own. Equal estimates need no order, as
+every candidate is verified.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@
 Vectors of different lengths are never compared. Defined cases: repeated rows
 are links of each other; a null vec_id names no component unless no other is
 there; extra columns and labels play no part; an empty table gives no rows.
+Equal cosines need no order: every link at or above the limit counts.
 """
 
 from __future__ import annotations
