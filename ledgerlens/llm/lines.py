@@ -122,9 +122,9 @@ def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataF
     return df.select(*kept, "size", F.concat("k0", "k1", "k2").alias("keys"))
 
 
-def _common(a: Column, b: Column, cut, most: int = 26) -> Column:
-    """The number of characters that a and b share at one end, by bisection; cut(text, n) takes n from that end."""
-    room = F.least(F.length(a), F.length(b))
+def _common(a: Column, b: Column, cut, most: int = 27) -> Column:
+    """The number of bytes that a and b share at one end, by bisection; cut(bytes, n) takes n from that end."""
+    room = F.least(F.octet_length(a), F.octet_length(b))
     return F.aggregate(F.array(*[F.lit(1 << i) for i in range(most, -1, -1)]), F.lit(0),
                        lambda n, p: F.when((n + p <= room) & (cut(a, n + p) == cut(b, n + p)), n + p).otherwise(n))
 
@@ -137,15 +137,19 @@ def _linked(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
     both = both.where(F.abs(F.length("norm_a") - F.length("norm_b")) <= F.col("most"))
     # each step is made inside a generator, so that it is made once
-    x, y = F.col("norm_a"), F.col("norm_b")
-    head = _common(x, y, lambda t, n: F.substring(t, F.lit(1), n))
-    both = both.select("a", "b", "most", "norm_a", "norm_b", F.explode(F.array(head)).alias("head"))
-    rest = lambda t: F.substring(t, F.col("head") + 1, F.length(t))
-    both = both.select("a", "b", "most", F.inline(F.array(F.struct(rest(x).alias("x"), rest(y).alias("y")))))
-    tail = _common(F.col("x"), F.col("y"), lambda t, n: F.right(t, n))
-    both = both.select("a", "b", "most", "x", "y", F.explode(F.array(tail)).alias("tail"))
-    left = lambda t: F.substring(F.col(t), F.lit(1), F.length(t) - F.col("tail"))
-    both = both.select("a", "b", "most", F.inline(F.array(F.struct(left("x").alias("x"), left("y").alias("y")))))
+    both = both.select("a", "b", "most", "norm_a", "norm_b", F.inline(F.array(F.struct(F.col("norm_a").cast("binary").alias("u"), F.col("norm_b").cast("binary").alias("v")))))
+    u, v = F.col("u"), F.col("v")
+    head = _common(u, v, lambda t, n: F.substring(t, F.lit(1), n))
+    tail = _common(u, v, lambda t, n: F.substring(t, F.octet_length(t) - n + 1, n))
+    both = both.select("a", "b", "most", "norm_a", "norm_b", "u", F.inline(F.array(F.struct(head.alias("head"), tail.alias("tail")))))
+    # whole characters of both ends: a character that is cut counts for up to three, and the ends must not meet
+    chars = lambda t: F.length(t.cast("string"))
+    ends = F.struct(F.greatest(chars(F.substring("u", F.lit(1), F.col("head"))) - 1, F.lit(0)).alias("h"),
+                    F.greatest(chars(F.substring("u", F.octet_length("u") - F.col("tail") + 1, F.col("tail"))) - 3, F.lit(0)).alias("z"))
+    both = both.select("a", "b", "most", "norm_a", "norm_b", F.inline(F.array(ends)))
+    room = F.least(F.length("norm_a"), F.length("norm_b")) - F.col("h")
+    middle = lambda t: F.substring(F.col(t), F.col("h") + 1, F.length(t) - F.col("h") - F.least(F.col("z"), room))
+    both = both.select("a", "b", "most", F.inline(F.array(F.struct(middle("norm_a").alias("x"), middle("norm_b").alias("y")))))
     # the band that is searched grows with the limit, and most pairs are far nearer than it
     return both.where(F.expr("""CASE WHEN greatest(length(x), length(y)) <= most THEN true
         WHEN levenshtein(x, y, least(most, 16)) >= 0 THEN true WHEN most <= 16 THEN false
