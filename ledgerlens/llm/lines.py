@@ -26,9 +26,10 @@ near the end of a step has the keys of the next one too. Words play no role, so
 scripts without spaces are treated alike. A line with an edit in every part has
 no key in common with its original; README gives the recall by edits and length.
 
-The classes of a bucket (a key) are compared with its first class; only where a
-bucket then still holds several connected groups are the classes outside its
-largest group compared with the other groups' classes there, if the lengths
+The classes of a bucket (a key) are compared with its first and its last class.
+Where a bucket then still holds several connected groups, the classes outside
+its largest group are compared with a few of that group, twice; what is apart
+after that is compared with all other groups' classes there, if the lengths
 allow it. So the groups equal those of all pairs of a bucket, and no bucket of
 near lines sends out all its pairs. Before an edit distance is taken, common
 ends are cut off by bisection, so its cost follows from what lies between the
@@ -58,6 +59,8 @@ SIMILARITY = 0.9
 STEP = 1.5
 #: Steps from which pairs of parts, and single parts, are keys: lengths of 25.6 and 86.5.
 PAIRS, SINGLES = 8, 11
+#: Looks at what the pivots of a bucket have left apart, before all of it is compared.
+LOOKS = 2
 #: Bytes that an edit can change a line's length by.
 _WIDEST = 3
 #: Share of a step's least length that each part at an end has.
@@ -157,6 +160,21 @@ def _linked(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
         ELSE levenshtein(x, y, most) >= 0 END""")).select("a", "b")
 
 
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "c", "left").select("key", "c", "size", F.coalesce("root", "c").alias("root"))
+
+
+def _looks(members: DataFrame, roots: DataFrame, mix: int) -> DataFrame:
+    """Pairs (a, b): in each bucket every class outside the largest group with up to four of that group."""
+    placed = keep(_placed(members, roots), "placed")
+    mixed = F.col("c").bitwiseXOR(F.lit(mix))
+    picks = F.array(F.min("c"), F.max("c"), F.min(mixed).bitwiseXOR(F.lit(mix)), F.max(mixed).bitwiseXOR(F.lit(mix)))
+    of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), picks.alias("picks"))
+    main = of_root.groupBy("key").agg(F.max(F.struct("n", "root", "picks")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1 AND main.n > 1").drop("roots")
+    stray = placed.join(main, "key").where("root != main.root").select(F.explode(F.array_distinct("main.picks")).alias("p"), "c")
+    return keep(stray.select(F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")).distinct(), "looks")
+
+
 def _across(members: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of a bucket that are in different groups and near enough in length.
 
@@ -164,11 +182,11 @@ def _across(members: DataFrame, roots: DataFrame, similarity: float) -> DataFram
     In each bucket the classes outside its largest group meet all classes of
     other groups; buckets with the same classes are looked at once.
     """
-    placed = keep(members.join(roots, "c", "left").select("key", "c", "size", F.coalesce("root", "c").alias("root")), "placed")
+    placed = keep(_placed(members, roots), "placed")
     of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c")).alias("x"))
     mixed = (of_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.bit_xor("x").alias("x"))
-             # of two classes one was the pivot of the other
-             .where("roots > 1 AND n > 2").groupBy("x", "n").agg(F.min(F.struct("key", "most")).alias("b"))
+             # of three classes two were the pivots of the third
+             .where("roots > 1 AND n > 3").groupBy("x", "n").agg(F.min(F.struct("key", "most")).alias("b"))
              .select("b.key", F.col("b.most.root").alias("main")))
     here = placed.join(mixed, "key")
     side = lambda x: (F.col("c").alias(x), F.col("root").alias(f"root_{x}"), F.col("size").alias(f"size_{x}"))
@@ -193,12 +211,15 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 def _groups(classes: DataFrame, lines_of, similarity: float) -> DataFrame:
     """(c, root) of every class in a connected group of several classes; `classes`: c, size, keys."""
     keys = classes.select("c", "size", F.explode("keys").alias("key"))
-    shared = keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("pivot")).where("n > 1").drop("n"), "shared-keys")
+    shared = keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array(F.min("c"), F.max("c")).alias("pivots")).where("n > 1").drop("n"), "shared-keys")
     member = keep(keys.join(shared, "key"), "buckets")
-    pairs = member.where("c != pivot").select(F.col("pivot").alias("a"), F.col("c").alias("b")).distinct()
+    pairs = member.select(F.explode("pivots").alias("p"), "c").where("p != c").select(F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")).distinct()
     lines = keep(lines_of(member.select("c").distinct()), "candidate-lines")
     roots = keep(components(keep(_linked(pairs, lines, similarity), "links")).toDF("c", "root"), "roots")
-    return _merged(roots, keep(_linked(_across(member.drop("pivot"), roots, similarity), lines, similarity), "links"))
+    member = member.drop("pivots")
+    for i in range(LOOKS):
+        roots = _merged(roots, keep(_linked(_looks(member, roots, 0x2AAAAAAAA >> i), lines, similarity), "links"))
+    return _merged(roots, keep(_linked(_across(member, roots, similarity), lines, similarity), "links"))
 
 
 def _hashed(norm: Column, h: Column) -> Column:
