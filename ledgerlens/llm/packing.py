@@ -47,7 +47,10 @@ class _Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.loaded, self.tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # without special tokens to look for it is faster; texts that hold one go to the other
+        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.loaded.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self):
@@ -56,7 +59,8 @@ class _Encoder:
 
     def _encoded(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the runs, encoded as one text, and how many each has by where they start in it."""
-        got = self.tokenizer.encode(" ".join(runs), add_special_tokens=False)
+        text = " ".join(runs)
+        got = (self.loaded if any(t in text for t in self.special) else self.tokenizer).encode(text, add_special_tokens=False)
         first = np.cumsum([0, *(len(r) + 1 for r in runs[:-1])])
         at = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
         return np.array(got.ids, np.uint32), np.bincount(np.searchsorted(first, at, "right") - 1, minlength=len(runs))
