@@ -11,9 +11,12 @@ Here it is made an equi join without losing any match:
   so every maximal run of other characters of the key must occur in the text,
   and so must every piece (gram) of such a run.
 * Grams have one of the fixed lengths GRAMS; a key takes the longest that its
-  longest run has room for, and up to TRIED grams of that run. Each text is cut
-  into its distinct grams of the lengths that keys take, a number linear in the
-  text. A key without a literal character has the empty gram, as has every text.
+  longest run has room for, and up to TRIED grams of that run. The lengths lie
+  close together, so that a gram leaves out little of its run: of the numbers of
+  seven digits few texts hold the same six, but one in two hundred the same three.
+  Each text is cut into its distinct grams of the lengths that keys take, a number
+  linear in the text. A key without a literal character has the empty gram, as has
+  every text.
 * Texts are counted per (partition key, gram). A key one of whose grams occurs
   in no text matches none; the others are looked up by their rarest gram alone.
   The original LIKE decides on each such pair.
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Lengths of grams in the containment join.
-GRAMS = (8, 3, 1, 0)
+GRAMS = (16, 12, 8, 6, 4, 3, 2, 1, 0)
 #: Grams of a key that are tried.
 TRIED = 4
 #: A key with more than one part in PARTS of all rows is split.
@@ -110,8 +113,8 @@ def _text_grams(text: str, sizes: Column) -> Column:
     return F.array_distinct(F.concat(*[F.when(F.array_contains(sizes, F.lit(n)), _cuts(text, n)).otherwise(none) for n in GRAMS]))
 
 
-def _text_matches(keys: DataFrame, right: DataFrame, key: str, right_id: str, text: str, parts: list[str]) -> DataFrame:
-    """`parts`, `_key` and the columns of `right` for each distinct key of `keys` and each text that it matches."""
+def _candidates(keys: DataFrame, right: DataFrame, key: str, right_id: str, text: str, parts: list[str]) -> DataFrame:
+    """`parts`, `_key` and `right_id` of each distinct key of `keys` and each text that has the key's rarest gram."""
     keys = keys.where(F.col(key).isNotNull()).select(*parts, F.col(key).alias("_key")).distinct()
     keyed = keys.withColumn("_grams", _grams_of_run(_literal_run("_key")))
     # the lengths that keys take, at most len(GRAMS) values; read with all columns, so that the keys are made distinct once
@@ -125,7 +128,12 @@ def _text_matches(keys: DataFrame, right: DataFrame, key: str, right_id: str, te
     rarest = (tried.join(seen, [*parts, "_gram"]).groupBy(*parts, "_key", "_tried")
               .agg(F.count(F.lit(1)).alias("_found"), F.min(F.struct("_n", "_gram")).alias("_rare"))
               .where("_found = _tried").select(*parts, "_key", F.col("_rare._gram").alias("_gram")))
-    pairs = rarest.join(texts, [*parts, "_gram"]).drop("_gram")
+    return rarest.join(texts, [*parts, "_gram"]).drop("_gram")
+
+
+def _text_matches(keys: DataFrame, right: DataFrame, key: str, right_id: str, text: str, parts: list[str]) -> DataFrame:
+    """`parts`, `_key` and the columns of `right` for each distinct key of `keys` and each text that it matches."""
+    pairs = _candidates(keys, right, key, right_id, text, parts)
     return pairs.join(right.drop(*parts), right_id).where(F.expr(f"`{text}` like concat('%', `_key`, '%')"))
 
 

@@ -114,6 +114,17 @@ def test_containment_join_with_odd_keys_and_long_texts(spark):
                        ("s4", "p2"), ("s4", "p3"), ("s5", "p3"), ("s6", None)}
 
 
+@pytest.mark.parametrize("n", [2_000, 20_000])
+def test_candidates_grow_with_the_texts(spark, n):
+    """Keys of seven digits, one text in ten keys: few texts are compared with a key that they do not name."""
+    from ledgerlens.operators.links import _candidates
+    sales = spark.range(n).selectExpr("concat('s', id) sid", "concat('py_', 1000000 + id * 397) key", "'m' merchant")
+    pays = spark.range(0, n, 10).selectExpr("concat('p', id) pid", "concat('withheld from py_', 1000000 + id * 397) text", "'m' merchant")
+    pairs = _candidates(sales, pays, "key", "pid", "text", ["merchant"])
+    found = contains_join(sales, pays, "sid", "key", "pid", "text", partition_cols=["merchant"]).where("pid is not null")
+    assert found.count() == n // 10 and pairs.count() <= n
+
+
 def test_lookup_spreads_null_and_hot_keys(spark):
     left = spark.createDataFrame([(i, "hot" if i % 2 else None if i % 4 else f"k{i}") for i in range(200)], "id int, key string")
     dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k4", 3), (None, 9)], "key string, v int")
