@@ -205,3 +205,17 @@ def test_bucketed_tables_are_not_shuffled(spark, derived, no_broadcast):
             sorted(map(tuple, PLANS["line_items"](derived).select("balance_transaction_id", "amount").collect()), key=str)
     finally:
         spark.sql("drop database bucketed_test cascade")
+
+
+def test_broadcasts_follow_the_rows_not_the_file(spark, tmp_path):
+    """Half a million customers in a file of a few MB are no broadcast side of R1."""
+    from ledgerlens.session import SCALE_CONFS
+    from ledgerlens.sources.tables import Tables
+    spark.range(500_000).selectExpr("concat('cus_', id) id", "concat('customer_', id, '@example.com') email", "'BUILDING' description") \
+        .write.parquet(str(tmp_path / "customers"))
+    customers = spark.read.parquet(str(tmp_path / "customers"))
+    keys = spark.range(10**9).selectExpr("concat('cus_', id) id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", SCALE_CONFS["spark.sql.autoBroadcastJoinThreshold"])
+    assert "BroadcastHashJoin" not in _nodes(keys.join(Tables(spark, bind={"customers": customers}).customers, "id"))
+    # a split of this size and its aggregate fit a task many times
+    assert int(SCALE_CONFS["spark.sql.files.maxPartitionBytes"]) <= 16 << 20
