@@ -140,18 +140,18 @@ def icplus_tagged(t, since) -> DataFrame:
     """Itemised fees tagged subscription / product, with the billed amount."""
     ic = t.icplus_fees.where(F.col("incurred_at") > ts_lit(since))
     ch = t.charges.select(F.col("id").alias("charge_id"),
-                          F.col("description").alias("charge_description"),
-                          F.col("id").alias("_mid"))
+                          F.col("description").alias("charge_description"))
     tags = t.charges_metadata.where((F.col("key") == "product_id")
                                     & F.col("value").isin("resto", "retail")) \
         .select("charge_id", F.col("value").alias("_product"))
     inv = t.invoices.select(F.col("subscription_id"), F.col("charge_id"))
     subs = t.subscriptions.select(F.col("id").alias("subscription_id"))
     sub_charges = subs.join(inv, "subscription_id", "inner")
-    # a subscription counts for charges that exist, so it is looked up by the charge found
-    j = lookup(ic, ch, "charge_id", ["id"])
+    # a subscription counts for charges that exist, so it is joined to them first;
+    # tags count without a charge; both lookups have one key, so that the fees move once
+    known = ch.join(sub_charges, "charge_id", "left").withColumn("_mid", F.col("charge_id"))
+    j = lookup(ic, known, "charge_id", ["id"])
     j = lookup(j, tags, "charge_id", ["id"])
-    j = lookup(j, sub_charges.withColumnRenamed("charge_id", "_mid"), "_mid", ["id"])
     return j.select(
         F.date_format(F.date_trunc("day", "incurred_at"), "yyyy-MM-dd").alias("date"),
         F.round(F.col("billing_amount") / F.lit(-100), 10).cast("double").alias("billed"),

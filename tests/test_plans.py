@@ -219,3 +219,30 @@ def test_broadcasts_follow_the_rows_not_the_file(spark, tmp_path):
     assert "BroadcastHashJoin" not in _nodes(keys.join(Tables(spark, bind={"customers": customers}).customers, "id"))
     # a split of this size and its aggregate fit a task many times
     assert int(SCALE_CONFS["spark.sql.files.maxPartitionBytes"]) <= 16 << 20
+
+
+def test_itemised_fees_move_once(derived, no_broadcast):
+    """Between the scan of the fees and the result there is one shuffle of them."""
+    above = [n for path, n in _scans(PLANS["icplus_tagged"](derived)._jdf.queryExecution().executedPlan()) if path.rstrip("/").endswith("/icplus_fees")]
+    kinds = [n.getClass().getSimpleName() for n in above[0]]
+    assert len(above) == 1 and kinds.count("ShuffleExchangeExec") == 1 and kinds.count("SortMergeJoinExec") == 2
+
+
+def test_tags_and_subscriptions_of_itemised_fees(spark):
+    """Tags count without a charge, a subscription only with one; repeated keys repeat rows."""
+    from ledgerlens.plans import fees
+    from ledgerlens.sources.tables import Tables
+    make = spark.createDataFrame
+    ids = ["a", "a", "b", "c", "d", None]
+    tables = {
+        "icplus_fees": make([(f"f{i}", c, dt.datetime(2000, 1, 2), 100, "n", "k", "r", "d", "q") for i, c in enumerate(ids)],
+                            "id string, charge_id string, incurred_at timestamp_ntz, billing_amount int, fee_name string, fee_category string, refund_id string, dispute_id string, request_id string"),
+        "charges": make([("a", "A"), ("b", "B1"), ("b", "B2"), (None, "N")], "id string, description string"),
+        "charges_metadata": make([("a", "product_id", "resto"), ("c", "product_id", "retail"), ("c", "product_id", "resto"), (None, "product_id", "resto"), ("d", "note", "x")],
+                                 "charge_id string, key string, value string"),
+        "invoices": make([("s1", "b"), ("s2", "b"), ("s1", "d"), ("s1", None)], "subscription_id string, charge_id string"),
+        "subscriptions": make([("s1",), ("s2",)], "id string")}
+    got = sorted(tuple(r) for r in fees.icplus_tagged(Tables(spark, bind=tables), "1999-01-01")
+                 .selectExpr("activity_id", "coalesce(charge_description, '')", "coalesce(subscription_id, '')", "coalesce(business_type, '')").collect())
+    assert got == [("a", "A", "", "resto")] * 2 + [("b", x, s, "subscription") for x in ("B1", "B2") for s in ("s1", "s2")] \
+        + [("c", "", "", "resto"), ("c", "", "", "retail"), ("d", "", "", ""), ("r", "", "", "")]
