@@ -77,6 +77,19 @@ def test_texts_unlike_their_language_go(spark):
     assert kept == {d[0] for d in docs + some}
 
 
+def test_language_is_learned_from_every_text(spark):
+    """More rows than the 20,000 of a language that were once taken as a sample: the counts are those of all."""
+    docs = spark.range(45_000).selectExpr("id doc_id", "concat(char(97 + id % 26), char(97 + id % 23)) text", "'en' lang")
+    every = langid.train(docs)
+    n = np.exp(every.matrix[:langid.BUCKETS, 0].astype(float) + every.base[:langid.BUCKETS])
+    # counts plus 0.5 in every bucket; a text has two letters and a space on each side
+    assert abs(0.5 / n.min() - (45_000 * 4 + 0.5 * langid.BUCKETS)) < 1
+    typical = langid._typical(docs, every)["en"]
+    texts = [(chr(97 + i % 26) + chr(97 + i % 23)).encode() for i in range(45_000)]
+    _, _, fit, size = langid._predict(texts, langid._tables(), every)
+    assert abs(typical[0] - (fit / size).mean()) < 1e-4
+
+
 def test_language_defined_cases(spark):
     rows = [(1, "hello there", "en", "k"), (2, None, "en", "k"), (3, "", "fr", "k"), (4, "123 !!", "fr", "k"), (5, "bonjour mes amis", "fr", "k"), (None, "hello", None, "k"), (6, "hi " * 50_000, None, "k"), (7, "x", " ", "k")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, lang_pred string")
