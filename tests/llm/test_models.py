@@ -194,6 +194,21 @@ def test_built_filter_holds_the_counted_bigrams(spark, sf_dir):
     assert (got[n >= 2] >= np.ceil(2 * 1.5 ** (level[n >= 2] - 1) - 1e-6)).all() and (got[n < 2] > 0).mean() < 0.1
 
 
+def test_filter_in_parts_scores_as_the_whole_one(spark, sf_dir):
+    """A filter many times larger than its bound is cut into parts; no level of a bigram is dropped."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = docs.unionAll(docs.withColumn("doc_id", F.col("doc_id") + 10_000))
+    counts = bloomlm.word_counts(docs.select("text"))
+    parts = bloomlm.Filters(bloomlm.bigram_levels(docs.select("text"), bloomlm._head(counts, 1 << 20)[:2], 4), 1 << 16)
+    assert len(parts) > 1
+    want = _scores(bloomlm.report(docs))
+    got = _scores(bloomlm.report(docs, filter_bits=1 << 16))
+    assert got.keys() == want.keys()
+    for d, r in got.items():
+        assert (r.n_tokens, r.n_known) == (want[d].n_tokens, want[d].n_known)
+        assert abs(r.score - want[d].score) < 1e-7 * abs(r.score) and abs(r.base_score - want[d].base_score) < 1e-7 * abs(r.base_score)
+
+
 def test_weight_is_chosen_on_all_training_texts(spark, monkeypatch):
     """One long text of a set phrase outweighs many short ones of random words."""
     rng = np.random.default_rng(10)
