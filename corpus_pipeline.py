@@ -21,10 +21,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import decontam, langid, lines, packing, registry, setsketch
-from ledgerlens.llm.staging import keep
+from ledgerlens.llm.staging import bounded_batches, keep
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return langid.keep_identified(docs)
 
 
@@ -33,14 +34,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return setsketch.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"), remove="documents")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.pack_documents(docs, registry.tokenizer_path())
 
 
