@@ -47,6 +47,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import string
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,14 +62,19 @@ STEP = 1.5
 PAIRS, SINGLES = 8, 11
 #: Looks at what the pivots of a bucket have left apart, before all of it is compared.
 LOOKS = 2
+#: Characters of the classes outside a bucket's largest group that are compared with all others of a length in one part, about.
+STRAYS = 16384
 #: Bytes that an edit can change a line's length by.
 _WIDEST = 3
 #: Share of a step's least length that each part at an end has.
 SHARE = 0.2
+#: A run of ASCII characters that are neither letters nor digits, but for a single space, which stays as it is.
+_OTHER = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+_RUN = rf" [{_OTHER}]++|[\x00-\x1F\x21-\x2F\x3A-\x60\x7B-\x7F][{_OTHER}]*+"
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), "[0-9]+", "0"))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), _RUN, " "), "[0-9]++", "0"))
 
 
 def _third(text: Column, start: Column, size: Column, i: int) -> Column:
@@ -125,6 +131,11 @@ def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataF
     return df.select(*kept, "size", F.concat("k0", "k1", "k2").alias("keys"))
 
 
+def _let(value: Column, then) -> Column:
+    """then(value), with `value` made once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _common(a: Column, b: Column, cut, most: int = 27) -> Column:
     """The number of bytes that a and b share at one end, by bisection; cut(bytes, n) takes n from that end."""
     room = F.least(F.octet_length(a), F.octet_length(b))
@@ -132,32 +143,57 @@ def _common(a: Column, b: Column, cut, most: int = 27) -> Column:
                        lambda n, p: F.when((n + p <= room) & (cut(a, n + p) == cut(b, n + p)), n + p).otherwise(n))
 
 
+def _most(a: Column, b: Column, similarity: float) -> Column:
+    """The edits allowed between lines of the lengths a and b."""
+    return F.floor(F.greatest(a, b) * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+
+
+def _similar(a: Column, b: Column, most: Column) -> Column:
+    """Whether the edit distance of the normal forms a and b is at most `most`."""
+    head = lambda u, v: _common(u, v, lambda t, n: F.substring(t, F.lit(1), n))
+    tail = lambda u, v: _common(u, v, lambda t, n: F.substring(t, F.octet_length(t) - n + 1, n))
+    # whole characters of both ends: a character that is cut counts for up to three, and the ends must not meet
+    chars = lambda t: F.length(t.cast("string"))
+
+    def ends(u: Column, n: Column, m: Column) -> Column:
+        return F.struct(F.greatest(chars(F.substring(u, F.lit(1), n)) - 1, F.lit(0)).alias("h"),
+                        F.greatest(chars(F.substring(u, F.octet_length(u) - m + 1, m)) - 3, F.lit(0)).alias("z"))
+
+    def middles(e: Column) -> Column:
+        room = F.least(F.length(a), F.length(b)) - e["h"]
+        middle = lambda t: F.substring(t, e["h"] + 1, F.length(t) - e["h"] - F.least(e["z"], room))
+        return F.struct(middle(a).alias("x"), middle(b).alias("y"))
+
+    def near(m: Column) -> Column:
+        x, y = m["x"], m["y"]
+        within = lambda n: F.call_function("levenshtein", x, y, n) >= 0
+        # the band that is searched grows with the limit, and most linked pairs are far nearer than it
+        return (F.when(F.greatest(F.length(x), F.length(y)) <= most, True)
+                .when(within(F.least(most, F.lit(16))), True).when(most <= 16, False)
+                .when(within(F.least(most, F.lit(128))), True).when(most <= 128, False).otherwise(within(most)))
+
+    both = F.struct(a.cast("binary").alias("u"), b.cast("binary").alias("v"))
+    cut = _let(both, lambda t: _let(F.struct(head(t["u"], t["v"]).alias("n"), tail(t["u"], t["v"]).alias("m")), lambda n: ends(t["u"], n["n"], n["m"])))
+    return _let(_let(cut, middles), near)
+
+
+def _letters(text: Column) -> Column:
+    """How often each letter from a to z is in `text`."""
+    return F.transform(F.array(*map(F.lit, string.ascii_lowercase)), lambda c: F.length(text) - F.length(F.replace(text, c, F.lit(""))))
+
+
+def _apart(a: Column, b: Column, most: Column) -> Column:
+    """Whether letter counts alone need over `most` edits: an edit takes one character away at most and adds one at most."""
+    more = lambda x, y: F.aggregate(F.zip_with(x, y, lambda i, j: F.greatest(i - j, F.lit(0))), F.lit(0), lambda n, i: n + i)
+    return (more(a, b) > most) | (more(b, a) > most)
+
+
 def _linked(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose normal forms are similar."""
     side = lambda x: lines.select(F.col("c").alias(x), F.col("norm").alias(f"norm_{x}"))
-    longer = F.greatest(F.length("norm_a"), F.length("norm_b"))
-    most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
-    both = both.where(F.abs(F.length("norm_a") - F.length("norm_b")) <= F.col("most"))
-    # each step is made inside a generator, so that it is made once
-    both = both.select("a", "b", "most", "norm_a", "norm_b", F.inline(F.array(F.struct(F.col("norm_a").cast("binary").alias("u"), F.col("norm_b").cast("binary").alias("v")))))
-    u, v = F.col("u"), F.col("v")
-    head = _common(u, v, lambda t, n: F.substring(t, F.lit(1), n))
-    tail = _common(u, v, lambda t, n: F.substring(t, F.octet_length(t) - n + 1, n))
-    both = both.select("a", "b", "most", "norm_a", "norm_b", "u", F.inline(F.array(F.struct(head.alias("head"), tail.alias("tail")))))
-    # whole characters of both ends: a character that is cut counts for up to three, and the ends must not meet
-    chars = lambda t: F.length(t.cast("string"))
-    ends = F.struct(F.greatest(chars(F.substring("u", F.lit(1), F.col("head"))) - 1, F.lit(0)).alias("h"),
-                    F.greatest(chars(F.substring("u", F.octet_length("u") - F.col("tail") + 1, F.col("tail"))) - 3, F.lit(0)).alias("z"))
-    both = both.select("a", "b", "most", "norm_a", "norm_b", F.inline(F.array(ends)))
-    room = F.least(F.length("norm_a"), F.length("norm_b")) - F.col("h")
-    middle = lambda t: F.substring(F.col(t), F.col("h") + 1, F.length(t) - F.col("h") - F.least(F.col("z"), room))
-    both = both.select("a", "b", "most", F.inline(F.array(F.struct(middle("norm_a").alias("x"), middle("norm_b").alias("y")))))
-    # the band that is searched grows with the limit, and most pairs are far nearer than it
-    return both.where(F.expr("""CASE WHEN greatest(length(x), length(y)) <= most THEN true
-        WHEN levenshtein(x, y, least(most, 16)) >= 0 THEN true WHEN most <= 16 THEN false
-        WHEN levenshtein(x, y, least(most, 128)) >= 0 THEN true WHEN most <= 128 THEN false
-        ELSE levenshtein(x, y, most) >= 0 END""")).select("a", "b")
+    a, b = F.length("norm_a"), F.length("norm_b")
+    most = _most(a, b, similarity)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where((F.abs(a - b) <= most) & _similar(F.col("norm_a"), F.col("norm_b"), most)).select("a", "b")
 
 
 def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -175,12 +211,14 @@ def _looks(members: DataFrame, roots: DataFrame, mix: int) -> DataFrame:
     return keep(stray.select(F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")).distinct(), "looks")
 
 
-def _across(members: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of a bucket that are in different groups and near enough in length.
+def _across(members: DataFrame, roots: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """The similar pairs (a, b) of a bucket that are in different groups.
 
     `members`: key, c, size; `roots`: c, root of the classes that are not alone.
     In each bucket the classes outside its largest group meet all classes of
-    other groups; buckets with the same classes are looked at once.
+    other groups that are near enough in length; buckets with the same classes
+    are looked at once, and so is a pair that shares several. Lines are dealt
+    by bucket, length and parts of the strays, and compared in the join, so only links come out of it.
     """
     placed = keep(_placed(members, roots), "placed")
     of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c")).alias("x"))
@@ -188,15 +226,24 @@ def _across(members: DataFrame, roots: DataFrame, similarity: float) -> DataFram
              # of three classes two were the pivots of the third
              .where("roots > 1 AND n > 3").groupBy("x", "n").agg(F.min(F.struct("key", "most")).alias("b"))
              .select("b.key", F.col("b.most.root").alias("main")))
-    here = placed.join(mixed, "key")
-    side = lambda x: (F.col("c").alias(x), F.col("root").alias(f"root_{x}"), F.col("size").alias(f"size_{x}"))
-    stray = here.where("root != main").select("key", "main", *side("a"))
-    other = here.select("key", *side("b"))
-    near = F.least("size_a", "size_b") >= F.floor(F.greatest("size_a", "size_b") * similarity - 1e-9)
+    here = keep(placed.join(mixed, "key"), "mixed")
+    # similar lines are of the same band of lengths or of neighbouring ones
+    band = F.floor(F.log(F.col("size").cast("double")) / (2 * math.log(1 / similarity))).cast("int")
+    of_class = keep(here.groupBy("c").agg(F.collect_set("key").alias("keys")).join(lines, "c").withColumn("letters", _letters(F.col("norm"))), "mixed-lines")
+    here = here.withColumn("band", band).join(of_class, "c")
+    side = lambda x: [F.col(k).alias(f"{k}_{x}") for k in ("root", "size", "keys", "letters", "norm")] + [F.col("c").alias(x)]
+    stray = here.where("root != main")
+    cells = keep(stray.groupBy("key", "band").agg(F.ceil(F.sum("size") / STRAYS).cast("int").alias("parts")), "cells")
+    stray = stray.join(cells, ["key", "band"]).select("key", "main", "band", F.pmod(F.xxhash64("c"), "parts").cast("int").alias("part"), *side("a"))
+    other = here.withColumn("band", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)]))).join(cells, ["key", "band"])
+    other = other.select("key", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("b"))
     # two strays meet once
     once = (F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    return keep(stray.join(other, "key").where((F.col("root_a") != F.col("root_b")) & once & near)
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "across")
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
+    most = _most(F.col("size_a"), F.col("size_b"), similarity)
+    near = (F.abs(F.col("size_a") - F.col("size_b")) <= most) & first & ~_apart(F.col("letters_a"), F.col("letters_b"), most)
+    return keep(stray.join(other, ["key", "band", "part"]).where((F.col("root_a") != F.col("root_b")) & once & near & _similar(F.col("norm_a"), F.col("norm_b"), most))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "links")
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -219,7 +266,7 @@ def _groups(classes: DataFrame, lines_of, similarity: float) -> DataFrame:
     member = member.drop("pivots")
     for i in range(LOOKS):
         roots = _merged(roots, keep(_linked(_looks(member, roots, 0x2AAAAAAAA >> i), lines, similarity), "links"))
-    return _merged(roots, keep(_linked(_across(member, roots, similarity), lines, similarity), "links"))
+    return _merged(roots, _across(member, roots, lines, similarity))
 
 
 def _hashed(norm: Column, h: Column) -> Column:

@@ -146,3 +146,34 @@ def test_query_on_whole_table(spark, sf_dir):
     forms = [brute.normal_line(x) for d, t in docs.items() for k, x in enumerate(t.split("\n")) if (d, k) not in gone]
     assert len(gone) == sum(r.n_removed for r in got) > 0
     assert len([f for f in forms if f]) == len({f for f in forms if f})
+
+
+def test_unlike_lines_of_a_bucket_make_no_pairs(spark, monkeypatch):
+    """Lines that share a passage only: no table that is written, and no join, has a row for each pair of them."""
+    rng = random.Random(15)
+    end = _line(rng, 20)
+    docs = [(i, f"{_line(rng, 22)} {end}") for i in range(150)]
+    docs += [(1000 + i, f"{_edited(rng, docs[3 * i][1][:60], 2)}{docs[3 * i][1][60:]}") for i in range(30)]
+    sizes, write = [], lines.keep
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(lines, "keep", counted)
+    got = _kept(lines.occurrences(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)))
+    assert got == brute.kept_lines(docs, _keys(spark, _forms(docs))) and len(got) < 180
+    assert max(sizes)[0] < 10 * len(docs), max(sizes)
+
+
+def test_letter_counts_refuse_no_similar_pair(spark):
+    rng = random.Random(16)
+    pairs = [(a, _edited(rng, a, rng.randint(1, 12))) for a in (_line(rng, n) for n in (2, 5, 20) for _ in range(60))]
+    pairs += [(_line(rng, 5), _line(rng, 5)) for _ in range(40)]
+    df = spark.createDataFrame([(a, b, brute.edit_distance(a, b)) for a, b in pairs], "a string, b string, d int")
+    both = [lines._letters(F.col(c)) for c in "ab"]
+    got = df.select(lines._apart(*both, F.col("d")).alias("refused"), lines._apart(*both, F.lit(0)).alias("any"),
+                    lines._similar(F.col("a"), F.col("b"), F.col("d")).alias("near"), lines._similar(F.col("a"), F.col("b"), F.col("d") - 1).alias("nearer")).collect()
+    assert not any(r.refused for r in got) and any(r["any"] for r in got)
+    assert all(r.near and not r.nearer for r in got)
