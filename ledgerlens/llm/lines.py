@@ -26,7 +26,8 @@ near the end of a step has the keys of the next one too. Words play no role, so
 scripts without spaces are treated alike. A line with an edit in every part has
 no key in common with its original; README gives the recall by edits and length.
 
-The classes of a bucket (a key) are compared with its first and its last class.
+The classes of a bucket (a key) are compared with its first class and, where
+that has not put them in one group already, with its last class.
 Where a bucket then still holds several connected groups, the classes outside
 its largest group are compared with a few of that group, twice; what is apart
 after that is compared with all other groups' classes there, if the lengths
@@ -68,33 +69,51 @@ STRAYS = 16384
 _WIDEST = 3
 #: Share of a step's least length that each part at an end has.
 SHARE = 0.2
-#: A run of ASCII characters that are neither letters nor digits, but for a single space, which stays as it is.
-_OTHER = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
-_RUN = rf" [{_OTHER}]++|[\x00-\x1F\x21-\x2F\x3A-\x60\x7B-\x7F][{_OTHER}]*+"
+
+
+def _listed(codes) -> str:
+    """A character class with each character on its own, which Java looks up in a table; ranges are tried one by one."""
+    return "[" + "".join(f"\\x{c:02X}" for c in codes) + "]"
+
+
+#: ASCII characters that are neither letters nor digits (of lower-cased text).
+_OTHER = [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
+#: A run of those from its first one that is no space; _DIGITS: a run of digits.
+_RUN = f"{_listed(c for c in _OTHER if c != 0x20)}{_listed(_OTHER)}*+"
+_DIGITS = f"{_listed(range(0x30, 0x3A))}++"
+
+
+def _let(value: Column, then) -> Column:
+    """then(value), with `value` made once."""
+    return F.transform(F.array(value), then)[0]
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), _RUN, " "), "[0-9]++", "0"))
+    one = lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " ++", " ")).otherwise(t)
+    return F.trim(F.regexp_replace(_let(F.regexp_replace(F.lower(line), _RUN, " "), one), _DIGITS, "0"))
+
 
+def _thirds(text: Column, start: Column, size: Column, third: Column) -> list[Column]:
+    """Hashes of the thirds of `size` bytes from `start` (1 is the first)."""
+    return [F.xxhash64(F.lit(i), F.substring(text, start + third * i, third if i < 2 else size - third * 2)) for i in range(3)]
 
-def _third(text: Column, start: Column, size: Column, i: int) -> Column:
-    """Hash of the i-th third of `size` bytes from `start` (1 is the first)."""
-    third = F.floor(size / 3).cast("int")
-    return F.xxhash64(F.lit(i), F.substring(text, start + third * i, third if i < 2 else size - third * 2))
+
+def _majority(h) -> Column:
+    """The bits that are set in two of three hashes."""
+    return h[0].bitwiseAND(h[1]).bitwiseOR(h[2].bitwiseAND(h[0].bitwiseOR(h[1])))
 
 
 def simhash(text: Column, start: Column, size: Column) -> Column:
     """64-bit SimHash of `size` bytes from `start`: a bit is set if it is in two of the thirds' hashes."""
-    thirds = F.array(*[_third(text, start, size, i) for i in range(3)])
-    # a list of one array, so that each hash is made once
-    return F.transform(F.array(thirds), lambda h: h[0].bitwiseAND(h[1]).bitwiseOR(h[2].bitwiseAND(h[0].bitwiseOR(h[1]))))[0]
+    return _let(F.array(*_thirds(text, start, size, F.floor(size / 3).cast("int"))), _majority)
 
 
 def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataFrame:
     """`df` with `size`, the length of the normal form in column `text`, and `keys`, all its keys as an array of longs.
 
     Parts are cut by bytes, which needs no look at the characters before them.
-    Lengths and widths are columns of their own, so that each is made once.
+    Lengths, widths and hashes are columns of their own, so that each is made once, and
+    in compiled code: functions of array elements are interpreted, which took twice the time.
     """
     kept, t, n = df.columns, F.col("bytes"), F.col("n")
     one, two = round(1 / (1 - similarity)), math.ceil(2 / (1 - similarity) - 1e-9)  # lengths from which one and two edits are allowed
@@ -106,18 +125,20 @@ def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataF
     long = n >= math.ceil(two * similarity - 1e-9)
     used = {0: long, 1: long & (F.col("step1") != F.col("step0"))}
     df = df.withColumns({f"w{k}": F.when(used[k], width(f"step{k}")) for k in used})
-    sims = {}
+    third = lambda size: F.floor(size / 3).cast("int")
+    df = df.withColumns({f"t{k}": third(F.col(f"w{k}")) for k in used} | {f"m{k}": third(n - 4 * F.col(f"w{k}")) for k in used})
+    hashes = {}
     for k in used:
-        w = F.col(f"w{k}")
-        parts = [(F.lit(1), w), (w + 1, w), (2 * w + 1, n - 4 * w), (n - 2 * w + 1, w), (n - w + 1, w)]
-        parts = F.array(*[F.struct(start.cast("int").alias("start"), size.cast("int").alias("size")) for start, size in parts])
-        sims[f"s{k}"] = F.when(w.isNotNull(), F.transform(parts, lambda p: simhash(t, p["start"], p["size"])))
-    df = df.withColumns(sims)
+        w, at_end, between = F.col(f"w{k}"), F.col(f"t{k}"), F.col(f"m{k}")
+        parts = [(F.lit(1), w, at_end), (w + 1, w, at_end), (2 * w + 1, n - 4 * w, between), (n - 2 * w + 1, w, at_end), (n - w + 1, w, at_end)]
+        hashes |= {f"h{k}{j}{i}": h for j, part in enumerate(parts) for i, h in enumerate(_thirds(t, *part))}
+    df = df.withColumns(hashes)
+    df = df.withColumns({f"s{k}{j}": _majority([F.col(f"h{k}{j}{i}") for i in range(3)]) for k in used for j in range(5)})
     none = F.array().cast("array<bigint>")
 
     def of_step(k: int) -> Column:
         at = F.col(f"step{k}")
-        key = lambda chosen: F.array(*[F.xxhash64(F.lit(i), at, *[F.col(f"s{k}")[j] for j in c]) for i, c in enumerate(chosen)])
+        key = lambda chosen: F.array(*[F.xxhash64(F.lit(i), at, *[F.col(f"s{k}{j}") for j in c]) for i, c in enumerate(chosen)])
         return (F.when(F.col(f"w{k}").isNull(), none).when(at >= SINGLES, key([(j,) for j in range(5)]))
                 .when(at >= PAIRS, key([(0, 1), (2, 3), (2, 4), (3, 4)])).otherwise(key(list(itertools.combinations(range(5), 3)))))
 
@@ -131,11 +152,6 @@ def with_keys(df: DataFrame, text: str, similarity: float = SIMILARITY) -> DataF
     return df.select(*kept, "size", F.concat("k0", "k1", "k2").alias("keys"))
 
 
-def _let(value: Column, then) -> Column:
-    """then(value), with `value` made once."""
-    return F.transform(F.array(value), then)[0]
-
-
 def _common(a: Column, b: Column, cut, most: int = 27) -> Column:
     """The number of bytes that a and b share at one end, by bisection; cut(bytes, n) takes n from that end."""
     room = F.least(F.octet_length(a), F.octet_length(b))
@@ -169,6 +185,7 @@ def _similar(a: Column, b: Column, most: Column) -> Column:
         within = lambda n: F.call_function("levenshtein", x, y, n) >= 0
         # the band that is searched grows with the limit, and most linked pairs are far nearer than it
         return (F.when(F.greatest(F.length(x), F.length(y)) <= most, True)
+                .when(within(F.least(most, F.lit(4))), True).when(most <= 4, False)
                 .when(within(F.least(most, F.lit(16))), True).when(most <= 16, False)
                 .when(within(F.least(most, F.lit(128))), True).when(most <= 128, False).otherwise(within(most)))
 
@@ -179,7 +196,7 @@ def _similar(a: Column, b: Column, most: Column) -> Column:
 
 def _letters(text: Column) -> Column:
     """How often each letter from a to z is in `text`."""
-    return F.transform(F.array(*map(F.lit, string.ascii_lowercase)), lambda c: F.length(text) - F.length(F.replace(text, c, F.lit(""))))
+    return F.transform(F.array(*map(F.lit, string.ascii_lowercase)), lambda c: F.octet_length(text) - F.octet_length(F.replace(text, c, F.lit(""))))
 
 
 def _apart(a: Column, b: Column, most: Column) -> Column:
@@ -196,6 +213,13 @@ def _linked(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where((F.abs(a - b) <= most) & _similar(F.col("norm_a"), F.col("norm_b"), most)).select("a", "b")
 
 
+def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are in different groups."""
+    root_of = lambda x: roots.select(F.col("c").alias(x), F.col("root").alias(f"root_{x}"))
+    both = pairs.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "c", "left").select("key", "c", "size", F.coalesce("root", "c").alias("root"))
 
@@ -260,9 +284,12 @@ def _groups(classes: DataFrame, lines_of, similarity: float) -> DataFrame:
     keys = classes.select("c", "size", F.explode("keys").alias("key"))
     shared = keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array(F.min("c"), F.max("c")).alias("pivots")).where("n > 1").drop("n"), "shared-keys")
     member = keep(keys.join(shared, "key"), "buckets")
-    pairs = member.select(F.explode("pivots").alias("p"), "c").where("p != c").select(F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")).distinct()
+    low = keep(member.select(F.col("pivots")[0].alias("a"), F.col("c").alias("b")).where("a != b").distinct(), "low-pairs")
+    high = member.select(F.col("c").alias("a"), F.col("pivots")[1].alias("b")).where("a != b").distinct().join(low, ["a", "b"], "left_anti")
     lines = keep(lines_of(member.select("c").distinct()), "candidate-lines")
-    roots = keep(components(keep(_linked(pairs, lines, similarity), "links")).toDF("c", "root"), "roots")
+    roots = keep(components(keep(_linked(low, lines, similarity), "links")).toDF("c", "root"), "roots")
+    # of the pairs with the last class only those that the first has left apart
+    roots = _merged(roots, keep(_linked(keep(_different(high, roots), "high-pairs"), lines, similarity), "links"))
     member = member.drop("pivots")
     for i in range(LOOKS):
         roots = _merged(roots, keep(_linked(_looks(member, roots, 0x2AAAAAAAA >> i), lines, similarity), "links"))
@@ -305,17 +332,18 @@ def occurrences(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return again.join(wanted.select("c", "h1", "h2"), ["h1", "h2"]).select("c", "norm").dropDuplicates(["c"])
 
     groups = _groups(classes.select("c", "who.size", "who.keys"), lines_of, similarity)
-    first = F.struct("who.no_id", "who.doc_id", "who.line_no", "who.rid")
-    joined = classes.select("h1", "h2", first.alias("who"), "c").join(groups, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    first = joined.groupBy("root").agg(F.min("who").alias("first"))
-    of_class = joined.select("h1", "h2", "root").join(first, "root").select("h1", "h2", "first")
+    own = classes.select("h1", "h2", F.struct("who.no_id", "who.doc_id", "who.line_no", "who.rid").alias("own"), "c")
+    # a class that is alone stands for itself
+    grouped = keep(groups.join(own.select("c", "own"), "c"), "grouped")
+    first = grouped.groupBy("root").agg(F.min("own").alias("first"))
+    of_class = own.join(grouped.select("c", "root").join(first, "root").drop("root"), "c", "left").select("h1", "h2", F.coalesce("first", "own").alias("first"))
     mine = (F.col("first.rid") == F.col("rid")) & (F.col("first.line_no") == F.col("line_no"))
     return found.drop("size", "keys").join(of_class, ["h1", "h2"], "left").select(
         "rid", "doc_id", "th", "line_no", (F.col("first").isNull() | mine).alias("kept"), "first")
 
 
 def _per_row(found: DataFrame) -> DataFrame:
-    marks = F.array_sort(F.collect_list(F.struct("line_no", "kept", F.struct("first.doc_id", "first.line_no").alias("first"))))
+    marks = F.sort_array(F.collect_list(F.struct("line_no", "kept", F.struct("first.doc_id", "first.line_no").alias("first"))))
     return found.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.max("th").alias("th"), F.max("line_no").alias("last"), marks.alias("marks"))
 
 

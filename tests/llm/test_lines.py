@@ -177,3 +177,29 @@ def test_letter_counts_refuse_no_similar_pair(spark):
                     lines._similar(F.col("a"), F.col("b"), F.col("d")).alias("near"), lines._similar(F.col("a"), F.col("b"), F.col("d") - 1).alias("nearer")).collect()
     assert not any(r.refused for r in got) and any(r["any"] for r in got)
     assert all(r.near and not r.nearer for r in got)
+
+
+def test_last_class_meets_only_what_is_apart(spark, monkeypatch):
+    """Lines that differ by a word in the middle: each is compared once, not with both the first and the last class."""
+    rng = random.Random(17)
+    words = _line(rng, 50).split()
+    docs = [(i, " ".join([*words[:25], f"{rng.choice('qwxz')}{chr(97 + i // 26)}{chr(97 + i % 26)}q", *words[25:]])) for i in range(40)]
+    compared, linked = [], lines._linked
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return linked(pairs, *more)
+
+    monkeypatch.setattr(lines, "_linked", counted)
+    assert len(_kept(lines.occurrences(spark.createDataFrame(docs, "doc_id bigint, text string")))) == 1
+    assert sum(compared) == 39, compared
+
+
+def test_normal_forms(spark):
+    """Against the plain regular expressions, with runs of every ASCII character that is neither letter nor digit."""
+    rng = random.Random(18)
+    chars = "".join(map(chr, range(128))) + "  \t\t  ,.-aZ09éßЖ字  "
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    texts += ["a" + "".join(rng.choice("  ,b1") for _ in range(rng.randint(0, 9))) for _ in range(500)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines.normalised(F.col("t")).alias("n")).collect()
+    assert all(r.n == brute.normal_line(r.t) for r in got)
