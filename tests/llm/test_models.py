@@ -240,3 +240,19 @@ def test_language_model_defined_cases(spark):
     assert bloomlm.report(df.limit(0)).count() == 0
     only_held = bloomlm.report(df.where("doc_id is null")).collect()
     assert [(r.n_known, r.train_tokens, r.base_score, r.score) for r in only_held] == [(0, 0, 0.0, 0.0)]
+
+
+def test_scores_do_not_depend_on_the_head(spark, sf_dir):
+    """Bigrams with words outside the broadcast ones count, gain and are tuned on as all others, also over parts of the filter."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = docs.unionAll(docs.withColumn("doc_id", F.col("doc_id") + 10_000)).select("doc_id", "text")
+    docs = docs.unionAll(spark.createDataFrame([(20_000, None), (None, "only here only here"), (20_001, "zq zq zq vj zq"), (20_001, "zq zq zq vj zq")], docs.schema))
+    want = docs.select("doc_id", "text").exceptAll(docs.limit(0)).count()
+    rows = lambda **k: sorted(((r.doc_id or -1, r.n_tokens, r.n_known, r.base_score, r.score) for r in bloomlm.report(docs, **k).collect()))
+    whole = rows()
+    assert len(whole) == want
+    for k in ({"head": 50}, {"head": 0, "slice_tokens": 5000}, {"head": 200, "filter_bits": 1 << 16}):
+        got = rows(**k)
+        assert [r[:3] for r in got] == [r[:3] for r in whole]
+        assert np.allclose([r[3:] for r in got], [r[3:] for r in whole], rtol=1e-9), k
+    assert any(abs(r[4] - r[3]) > 1 for r in whole)
