@@ -3,20 +3,21 @@ ledger activity in a window.
 
 Plan shape
 ----------
+* Charges that the window's activity names are given their customer and invoice
+  first, never all charges: those are narrow rows, the activity is not.
 * Non-fee ledger rows (prefiltered on `created`) resolve their polymorphic
-  `source_id` against refunds, disputes and platform transfers with three
-  left joins on the same key, so the ledger is shuffled once for all three.
+  `source_id` against charges, refunds, disputes and platform transfers with
+  left joins on the same key, so the ledger is shuffled once for all four;
+  refunds and disputes bring their charge along.
 * Fee rows parse their service period from the description text.
-* Charge, customer and invoice are looked up for the activity of the window
-  only, never for all charges; rows without a charge id - every fee row, a
-  large and hot share of the ledger - join on a key of their own instead of
+* Rows without a charge id or source join on a key of their own instead of
   null, so they spread over all reducers. Ledger and payout rows that many
   lines point to are repeated and the lines dealt over the copies.
-* Each activity row yields its gross and fee lines in one pass (likewise
-  the fee and tax lines of each itemised fee): a two-element literal
-  explode tags the line kind and every column is picked per kind, so the
-  joins run once and the step stays in whole-stage codegen. The four line
-  families are then unioned distinct as in the source.
+* Each activity row has its gross and fee lines (likewise the fee and tax lines
+  of each itemised fee) side by side in one row, with the payout's dates, and
+  moves once more: by ranges of the report's order. Equal lines meet there, so
+  the lines are split, made distinct and sorted in place. Lines of a ledger row
+  that very many itemised fees belong to are split before and dealt by component.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions import decimalize, ts_lit
 from ..functions.descriptions import has_period, is_icplus, period_end, period_start
 from ..operators.links import heavy_keys, lookup
+from ..operators.reduction import reduced
 
 # Fixed value: fee rows before this instant carry no parseable period.
 PERIOD_TEXT_SINCE = "2018-04-01"
@@ -52,11 +54,13 @@ def month_window(load_time) -> tuple[dt.datetime, dt.datetime]:
     return lo, hi
 
 
-def _with_charge_context(t, df: DataFrame, row: list[str]) -> DataFrame:
-    """Charge, customer and invoice of rows that are already filtered to the window.
+#: What a charge adds to its lines.
+CONTEXT = ["_ch_dest", "_ch_customer", "_ch_currency", "_ch_amount", "invoice_id", "card_brand", "card_funding", "card_country",
+           "customer_email", "customer_description", "subscription_id"]
 
-    Fee rows, a large share of the ledger, have no charge; `lookup` spreads them.
-    """
+
+def _charge_context(t, ids: DataFrame) -> DataFrame:
+    """(charge_id, _context): charge, customer and invoice of the charges in `ids`."""
     ch = t.charges.select(F.col("id").alias("charge_id"), F.col("destination_id").alias("_ch_dest"),
                           F.col("customer_id").alias("_ch_customer"),
                           F.col("currency").alias("_ch_currency"),
@@ -66,25 +70,42 @@ def _with_charge_context(t, df: DataFrame, row: list[str]) -> DataFrame:
                             F.col("email").alias("customer_email"),
                             F.col("description").alias("customer_description"))
     inv = t.invoices.select(F.col("id").alias("invoice_id"), "subscription_id")
-    df = lookup(df, ch, "charge_id", row)
-    return lookup(lookup(df, cu, "_ch_customer", row), inv, "invoice_id", row)
+    ch = ch.join(ids.where(F.col("charge_id").isNotNull()).distinct(), "charge_id", "left_semi")
+    ch = lookup(lookup(ch, cu, "_ch_customer", ["charge_id"]), inv, "invoice_id", ["charge_id"])
+    return ch.select("charge_id", F.struct(*CONTEXT).alias("_context"))
+
+
+def _window_ledger(t, lo, hi, currency) -> DataFrame:
+    """Non-fee ledger rows of the window."""
+    cur = (F.col("currency") == currency) if currency is not None else F.lit(True)
+    return t.balance_transactions.where(
+        ~F.col("reporting_category").isin("payout", "connect_reserved_funds", "fee", "network_cost")
+        & (F.col("created") >= ts_lit(lo)) & (F.col("created") < ts_lit(hi)) & cur)
 
 
-def _activity(t, lo, hi, currency, period_since) -> DataFrame:
+def _activity(t, lo, hi, currency, period_since, fee_charges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Activity rows of the window, and the context of their charges and of `fee_charges`."""
     bts = t.balance_transactions
     rc = F.col("reporting_category")
     cur = (F.col("currency") == currency) if currency is not None else F.lit(True)
-    base = bts.where(~rc.isin("payout", "connect_reserved_funds", "fee", "network_cost")
-                     & (F.col("created") >= ts_lit(lo)) & (F.col("created") < ts_lit(hi)) & cur)
-    re = t.refunds.select(F.col("id").alias("source_id"), F.col("id").alias("refund_id"),
-                          F.col("charge_id").alias("_re_charge"),
-                          F.col("currency").alias("_re_currency"),
-                          (-F.col("amount")).alias("_re_amount"))
-    dp = t.disputes.select(F.col("id").alias("source_id"), F.col("id").alias("dispute_id"),
-                           F.col("charge_id").alias("_dp_charge"))
+    base = _window_ledger(t, lo, hi, currency)
+    re = reduced(t.refunds, "id", base, "source_id").select(
+        F.col("id").alias("_src"), F.col("id").alias("refund_id"), "charge_id",
+        F.col("currency").alias("_re_currency"), (-F.col("amount")).alias("_re_amount"))
+    dp = reduced(t.disputes, "id", base, "source_id").select(
+        F.col("id").alias("_src"), F.col("id").alias("dispute_id"), "charge_id")
     tr = t.transfers.where(F.col("type") == "stripe_account") \
-        .select(F.col("id").alias("source_id"), F.col("destination_id").alias("_tr_dest"))
-    nf = base.join(re, "source_id", "left").join(dp, "source_id", "left").join(tr, "source_id", "left")
+        .select(F.col("id").alias("_src"), F.col("destination_id").alias("_tr_dest"))
+    ids = base.where(rc == "charge").select(F.col("source_id").alias("charge_id"))
+    context = _charge_context(t, fee_charges.unionByName(ids).unionByName(re.select("charge_id")).unionByName(dp.select("charge_id")))
+    re = lookup(re, context, "charge_id", ["refund_id"]).withColumnsRenamed({"charge_id": "_re_charge", "_context": "_re_context"})
+    dp = lookup(dp, context, "charge_id", ["dispute_id"]).withColumnsRenamed({"charge_id": "_dp_charge", "_context": "_dp_context"})
+    own = context.select(F.col("charge_id").alias("_src"), F.col("_context").alias("_own_context"))
+    nf = base.withColumn("_src", F.coalesce("source_id", F.concat(F.lit("\u0001"), F.xxhash64("id").cast("string"))))
+    for dim in (re, dp, tr, own):
+        nf = nf.join(dim, "_src", "left")
+    nf = nf.withColumn("_context", F.when(rc == "charge", F.col("_own_context")).when(F.col("_re_charge").isNotNull(), F.col("_re_context"))
+                       .otherwise(F.col("_dp_context")))
     none_ts = F.lit(None).cast("timestamp_ntz")
     non_fee = nf.select(
         F.col("id").alias("balance_transaction_id"), F.col("created").alias("bt_created"),
@@ -98,7 +119,7 @@ def _activity(t, lo, hi, currency, period_since) -> DataFrame:
         F.when(rc.isin("charge", "partial_capture_reversal"), F.lit("charge_captured"))
         .otherwise(rc).alias("event_type"),
         none_ts.alias("start_time"), none_ts.alias("end_time"),
-        F.col("description").alias("bt_description"))
+        F.col("description").alias("bt_description"), "_context.*")
 
     fees = bts.where((rc == "fee") & cur & ~is_icplus("description"))
     parsed = (rc == "fee") & (F.col("created") >= ts_lit(period_since)) & has_period("description")
@@ -115,13 +136,12 @@ def _activity(t, lo, hi, currency, period_since) -> DataFrame:
         F.when(parsed, period_end("description") + F.expr("interval 1 day")).alias("end_time"),
         F.col("description").alias("bt_description"))
 
-    act = non_fee.unionByName(fee)
+    act = non_fee.unionByName(fee, allowMissingColumns=True)
     activity_at = F.coalesce(F.col("end_time") - F.expr("interval 1 second"), F.col("bt_created"))
     act = act.withColumn("activity_at", activity_at) \
              .where((F.col("activity_at") >= ts_lit(lo)) & (F.col("activity_at") < ts_lit(hi)))
-    act = _with_charge_context(t, act, ["balance_transaction_id"])
     rcc = F.col("rc")
-    return act.select(
+    act = act.select(
         "*",
         F.coalesce("_ch_dest", "dest_from_transfer").alias("destination_id"),
         F.col("_ch_customer").alias("customer_id"),
@@ -131,6 +151,21 @@ def _activity(t, lo, hi, currency, period_since) -> DataFrame:
         .when(rcc == "charge", F.col("_ch_amount")).alias("customer_facing_amount"),
         F.when(F.col("end_time").isNotNull(), F.lit("range")).otherwise(F.lit("instant"))
         .alias("activity_interval_type"))
+    return act, context
+
+
+#: Both lines of a row side by side: which it has (1, 2 or 3 for both), what they share, what each has.
+PAIR_COLS = ["_has", *[c for c in LINE_COLS if c not in ("balance_transaction_component", "amount")],
+             "_component_1", "_component_2", "_amount_1", "_amount_2", "_effective"]
+
+
+def _pairs(rows: DataFrame, fields: dict, components, amounts, exists) -> DataFrame:
+    """PAIR_COLS of the rows that have a line."""
+    has = sum((F.when(on, F.lit(k)).otherwise(F.lit(0)) for k, on in enumerate(exists, 1)), F.lit(0))
+    fields = fields | {"_has": has, "_effective": F.col("_effective")} \
+        | {f"_component_{k}": c for k, c in enumerate(components, 1)} \
+        | {f"_amount_{k}": a.cast("decimal(38,12)") for k, a in enumerate(amounts, 1)}
+    return rows.select(*[fields[c].alias(c) for c in PAIR_COLS]).where(F.col("_has") != 0)
 
 
 def _ledger_lines(act: DataFrame) -> DataFrame:
@@ -160,19 +195,11 @@ def _ledger_lines(act: DataFrame) -> DataFrame:
                      .when(rc.isin("transfer", "transfer_reversal"), F.concat(rc, F.lit("_fee")))
                      .when(rc == "other_adjustment", F.lit("other_fee"))
                      .otherwise(F.lit("payments_fee")))
-    fields = dict(common)
-    kind = F.col("_line")  # 1 = gross line, 2 = fee line
-    fields.update(
-        balance_transaction_component=F.when(kind == 1, gross_component).otherwise(fee_component),
-        amount=F.when(kind == 1, F.col("gross")).otherwise(-F.col("fee")).cast("decimal(38,12)"),
-        customer_facing_currency=F.when(kind == 1, F.col("customer_facing_currency")),
-        customer_facing_amount=F.when(kind == 1, F.col("customer_facing_amount")).cast("bigint"))
-    # One pass: each activity row yields up to two lines through a two-element
-    # literal explode; the columns are picked per line kind afterwards (no
-    # wide structs, stays in whole-stage codegen).
-    lines = act.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_line")) \
-        .where(((kind == 1) & (F.col("gross") != 0)) | ((kind == 2) & (F.col("fee") != 0)))
-    return lines.select(*[fields[c].alias(c) for c in LINE_COLS])
+    # only the gross line has a customer-facing amount
+    common.update(customer_facing_currency=F.col("customer_facing_currency"),
+                  customer_facing_amount=F.col("customer_facing_amount").cast("bigint"))
+    return _pairs(act, common, (gross_component, fee_component), (F.col("gross"), -F.col("fee")),
+                  (F.col("gross") != 0, F.col("fee") != 0))
 
 
 def _window_fees(t, lo, hi, currency) -> DataFrame:
@@ -195,19 +222,22 @@ def _fee_ledger(t) -> DataFrame:
                 F.col("description").alias("_bt_desc"))
 
 
-def _heavy_payouts(t, lo, hi, heavy_ledger: DataFrame) -> DataFrame:
-    """`heavy_keys` of the payouts: by their ledger rows in the window, and by the heavy ledger rows of itemised fees."""
-    bts = t.balance_transactions
-    own = heavy_keys(bts.where((F.col("created") >= ts_lit(lo)) & (F.col("created") < ts_lit(hi))), "automatic_transfer_id")
-    fees = (bts.join(F.broadcast(heavy_ledger), F.col("id") == F.col("_hot"))
-            .where(F.col("automatic_transfer_id").isNotNull()).select(F.col("automatic_transfer_id").alias("_hot"), "_copies"))
-    return own.unionByName(fees).groupBy("_hot").agg(F.sum("_copies").cast("int").alias("_copies"))
+def _effective(t) -> DataFrame:
+    """(automatic_payout_id, _effective): when each payout takes effect, one array a payout, null rows included."""
+    payouts = t.transfers.where(F.col("automatic")).select(F.col("id").alias("automatic_payout_id"))
+    return t.balance_transactions.where(F.col("reporting_category") == "payout") \
+        .select(F.col("source_id").alias("automatic_payout_id"), F.struct(F.col("available_on").alias("at")).alias("_at")) \
+        .join(payouts, "automatic_payout_id", "inner") \
+        .groupBy("automatic_payout_id").agg(F.sort_array(F.collect_list("_at")).alias("_effective"))
 
 
-def _icplus_lines(t, ic: DataFrame, heavy_ledger: DataFrame) -> DataFrame:
+def _icplus_lines(t, ic: DataFrame, context: DataFrame, effective: DataFrame, heavy_ledger: DataFrame) -> DataFrame:
     ic = ic.drop("card_brand", "card_funding")
+    ledger = _fee_ledger(t)
+    ledger = lookup(ledger, effective.withColumnRenamed("automatic_payout_id", "_bt_payout"), "_bt_payout", ["balance_transaction_id"],
+                    heavy_keys(ledger, "_bt_payout"))
     # one monthly ledger row can stand for millions of itemised fees
-    j = _with_charge_context(t, lookup(ic, _fee_ledger(t), "balance_transaction_id", ["id"], heavy_ledger), ["id"])
+    j = lookup(lookup(ic, ledger, "balance_transaction_id", ["id"], heavy_ledger), context, "charge_id", ["id"]).select("*", "_context.*")
     fx = F.coalesce(F.col("fx_rate"), F.lit(1).cast("decimal(18,8)"))
     none_s = F.lit(None).cast("string")
     common = {
@@ -234,45 +264,56 @@ def _icplus_lines(t, ic: DataFrame, heavy_ledger: DataFrame) -> DataFrame:
         "balance_transaction_description": F.col("_bt_desc"),
     }
 
-    fields = dict(common)
-    kind = F.col("_line")  # 1 = fee line, 2 = tax line
-    fields.update(
-        balance_transaction_component=F.when(kind == 1, F.col("fee_name")).otherwise(F.lit("tax")),
-        amount=F.when(kind == 1, -F.col("subtotal_amount") * fx)
-        .otherwise(-F.col("tax_amount") * fx).cast("decimal(38,12)"))
-    lines = j.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_line")) \
-        .where(((kind == 1) & (F.col("subtotal_amount") != 0))
-               | ((kind == 2) & (F.col("tax_amount") != 0)))
-    return lines.select(*[fields[c].alias(c) for c in LINE_COLS])
+    return _pairs(j, common, (F.col("fee_name"), F.lit("tax")), (-F.col("subtotal_amount") * fx, -F.col("tax_amount") * fx),
+                  (F.col("subtotal_amount") != 0, F.col("tax_amount") != 0))
+
+
+def _ordered_lines(pairs: DataFrame, heavy_ledger: DataFrame) -> DataFrame:
+    """Distinct LINE_COLS of `pairs` with the payout's dates, in the report's order.
+
+    Identical lines share ledger id and creation, and the order begins with them: ranges of the two hold all equal lines
+    and all lines of a ledger row, so one shuffle serves the distinct and the order. A row with more than its part of all
+    itemised fees is cut by the rest of the order as well.
+    """
+    hot = F.col("_hot").isNotNull()
+    rank = lambda component: F.when(component == "gross", 1).otherwise(2)
+    component = F.when(F.col("_has") == 2, F.col("_component_2")).otherwise(F.col("_component_1"))
+    pairs = (pairs.where(F.col("balance_transaction_id").isNotNull())
+             .join(F.broadcast(heavy_ledger.select("_hot")), F.col("balance_transaction_id") == F.col("_hot"), "left")
+             .withColumn("_of", F.explode(F.when(hot, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(3)))))
+             .withColumn("_has", F.col("_has").bitwiseAND(F.col("_of"))).where(F.col("_has") != 0)
+             .withColumn("_at", F.date_trunc("second", "balance_transaction_created_at"))
+             .withColumn("_rank", F.when(hot, rank(component))).withColumn("_component", F.when(hot, component)).drop("_hot", "_of")
+             .repartitionByRange(F.col("_at").asc_nulls_last(), F.col("balance_transaction_id").asc(), F.col("_rank").asc(),
+                                 F.col("_component").asc_nulls_last()))
+    first = F.col("_line") == 1
+    own = {"balance_transaction_component": F.when(first, F.col("_component_1")).otherwise(F.col("_component_2")),
+           "amount": F.when(first, F.col("_amount_1")).otherwise(F.col("_amount_2"))} \
+        | {c: F.when(first, F.col(c)) for c in ("customer_facing_currency", "customer_facing_amount")}
+    lines = (pairs.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_line"))
+             .where(F.col("_has").bitwiseAND(F.col("_line")) != 0)
+             .select(*[own.get(c, F.col(c)).alias(c) for c in LINE_COLS], "_effective", "_at", "_rank", "_component").distinct())
+    component = F.col("balance_transaction_component")
+    return (lines.select("*", F.explode_outer("_effective").alias("_paid")).withColumn("automatic_payout_effective_at", F.col("_paid.at"))
+            .sortWithinPartitions(F.col("_at").asc_nulls_last(), "balance_transaction_id", rank(component), component.asc_nulls_last()))
 
 
 def line_items(t, lo, hi, currency: str | None = None,
                period_since=PERIOD_TEXT_SINCE) -> DataFrame:
     """R1 over the half-open window [lo, hi); currency=None means every currency."""
-    act = _activity(t, lo, hi, currency, period_since)
-    # Distinct as in the source (equal lines merge). Identical rows share
-    # (ledger id, fee id, component), so hash-partitioning on those three is
-    # enough for an exact distinct and skips the wide all-column map-side
-    # pass. It is skew-safe: ledger ids are unique per ledger row, and the
-    # millions of itemised lines behind one monthly fee row spread on their
-    # own fee ids.
     fees = _window_fees(t, lo, hi, currency)
     heavy_ledger = heavy_keys(fees, "balance_transaction_id")
-    lines = (_ledger_lines(act).unionByName(_icplus_lines(t, fees, heavy_ledger))
-             .repartition("balance_transaction_id", "fee_id", "balance_transaction_component")
-             .distinct())
-    payouts = t.transfers.where(F.col("automatic")).select(F.col("id").alias("automatic_payout_id"))
-    effective = t.balance_transactions.where(F.col("reporting_category") == "payout") \
-        .select(F.col("source_id").alias("automatic_payout_id"),
-                F.col("available_on").alias("automatic_payout_effective_at")) \
-        .join(payouts, "automatic_payout_id", "inner")
+    act, context = _activity(t, lo, hi, currency, period_since, fees.select("charge_id"))
+    effective = _effective(t)
     # one payout has many lines, and unsettled lines have none
-    li = lookup(lines, effective, "automatic_payout_id",
-                ["balance_transaction_id", "fee_id", "balance_transaction_component"], _heavy_payouts(t, lo, hi, heavy_ledger))
+    bts = t.balance_transactions
+    act = lookup(act, effective, "automatic_payout_id", ["balance_transaction_id"],
+                 heavy_keys(bts.where((F.col("created") >= ts_lit(lo)) & (F.col("created") < ts_lit(hi))), "automatic_transfer_id"))
+    li = _ordered_lines(_ledger_lines(act).unionByName(_icplus_lines(t, fees, context, effective, heavy_ledger)), heavy_ledger)
     ts_fmt = "yyyy-MM-dd HH:mm:ss"
     end_or_at = F.coalesce(F.col("activity_end_time") - F.expr("interval 1 second"),
                            F.col("activity_at"))
-    out = li.where(F.col("balance_transaction_id").isNotNull()).select(
+    return li.select(
         "balance_transaction_id",
         F.date_format("balance_transaction_created_at", ts_fmt).alias("balance_transaction_created_at"),
         "balance_transaction_reporting_category", "balance_transaction_component",
@@ -290,10 +331,6 @@ def line_items(t, lo, hi, currency: str | None = None,
         .alias("activity_start_date"),
         F.date_format(end_or_at, "yyyy-MM-dd").alias("activity_end_date"),
         "balance_transaction_description")
-    return out.orderBy(F.col("balance_transaction_created_at").asc_nulls_last(),
-                       "balance_transaction_id",
-                       F.when(F.col("balance_transaction_component") == "gross", 1).otherwise(2),
-                       F.col("balance_transaction_component").asc_nulls_last())
 
 
 def activity_report(t, load_time, currency: str | None = None, period_since=PERIOD_TEXT_SINCE) -> DataFrame:

@@ -228,6 +228,53 @@ def test_itemised_fees_move_once(derived, no_broadcast):
     assert len(above) == 1 and kinds.count("ShuffleExchangeExec") == 1 and kinds.count("SortMergeJoinExec") == 2
 
 
+def test_line_items_are_shuffled_for_three_keys(derived, no_broadcast):
+    """Itemised fees move for their ledger row, their charge and the order, ledger rows for their source, their payout and the order."""
+    moves = {"icplus_fees": [], "balance_transactions": []}
+    for path, above in _scans(PLANS["line_items"](derived)._jdf.queryExecution().executedPlan()):
+        table, output = path.rstrip("/").rsplit("/", 1)[-1], above[0].output().toString()
+        if "fee_name#" in output or "fee#" in output and "source_id#" in output:
+            moves[table].append([n.getClass().getSimpleName() for n in above].count("ShuffleExchangeExec"))
+    assert moves == {"icplus_fees": [3], "balance_transactions": [3]}
+
+
+def test_line_items_of_repeated_null_and_hot_keys(spark, derived, duck, tmp_path):
+    """R1 by its SQL: one ledger row has most itemised fees, rows and payouts come twice, ids and dates are null."""
+    from ledgerlens.plans import line_items, oracle_reports
+    from ledgerlens.sources.fixtures import FIXTURES
+    from ledgerlens.sources.tables import Tables
+    from pyspark.sql import functions as F
+    fees, bts = derived.icplus_fees, derived.balance_transactions
+    one = bts.where("reporting_category = 'network_cost' and description like 'IC+%'").agg(F.min("id")).first()[0]
+    fees = fees.withColumn("balance_transaction_id", F.when(F.crc32("request_id") % 10 < 7, one).when(F.crc32("request_id") % 10 < 9, F.col("balance_transaction_id")))
+    fees = fees.withColumn("charge_id", F.when(F.crc32("id") % 7 > 0, F.col("charge_id"))).withColumn("id", F.when(F.crc32("id") % 5 > 0, F.col("id")))
+    payout = F.col("reporting_category") == "payout"
+    late = bts.where(payout & (F.crc32("id") % 3 == 0)).withColumn("available_on", F.when(F.crc32("id") % 2 == 0, F.col("available_on")))
+    bts = bts.withColumn("source_id", F.when(payout | (F.crc32("id") % 11 > 0), F.col("source_id")))
+    bound = {"icplus_fees": fees.unionAll(fees.where(F.crc32("request_id") % 4 == 0)),
+             "balance_transactions": bts.unionAll(bts.where((F.crc32("id") % 6 == 0) & ~payout)).unionAll(late)}
+    for name, df in bound.items():
+        df.write.parquet(str(tmp_path / name))
+        bound[name] = spark.read.parquet(str(tmp_path / name))
+    rows = line_items.line_items(Tables(spark, derived.sf_dir, derived.derived_dir, bind=bound), dt.datetime(1995, 1, 1), dt.datetime(2002, 1, 1),
+                                 period_since="1995-01-01").collect()
+    con = duck.cursor()
+    con.execute("create schema odd")
+    con.execute("use odd")
+    for name in FIXTURES:
+        if name != "order_facts":
+            folder = tmp_path / name if name in bound else f"{derived.derived_dir}/{name}"
+            con.execute(f"create view {name} as select * from read_parquet('{folder}/*.parquet')")
+    res = con.execute(oracle_reports.LINE_ITEMS.replace("{lo}", "1995-01-01").replace("{hi}", "2002-01-01").replace("{period_since}", "1995-01-01"))
+    names = [d[0] for d in res.description]
+    plain = lambda r: tuple(f"{r[c]:.6f}" if isinstance(r[c], float) else str(r[c]) for c in sorted(names))
+    want = sorted(plain(dict(zip(names, r, strict=True))) for r in res.fetchall())
+    assert sorted(plain(r.asDict()) for r in rows) == want
+    assert sum(r.balance_transaction_id == one for r in rows) > len(rows) / 4
+    order = [(r.balance_transaction_created_at or "9", r.balance_transaction_id, r.balance_transaction_component != "gross", r.balance_transaction_component) for r in rows]
+    assert order == sorted(order)
+
+
 def test_tags_and_subscriptions_of_itemised_fees(spark):
     """Tags count without a charge, a subscription only with one; repeated keys repeat rows."""
     from ledgerlens.plans import fees
